@@ -73,8 +73,6 @@ def region_text(chrom: Column, start: Column, end: Column) -> Column:
     return F.format_string("%s:%d-%d", chrom, start, end)
 
 
-def variant_key(line: Column) -> Column:
-    """``chrom,pos,ref,alt`` of a call line; NULL with fewer than five fields."""
-    fields = F.split(F.trim(line), r"\s+")
-    key = F.concat_ws(",", fields[0], fields[1], fields[3], fields[4])
-    return F.when(F.size(fields) >= 5, key)
+def variant_key(fields: Column) -> Column:
+    """``chrom,pos,ref,alt`` of the fields of a call line."""
+    return F.concat_ws(",", fields[0], fields[1], fields[3], fields[4])

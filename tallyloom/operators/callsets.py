@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.genome import variant_key
+from tallyloom.sources.lines import with_fields
 
 
 def sort_calls(calls: DataFrame) -> DataFrame:
@@ -15,8 +16,11 @@ def sort_calls(calls: DataFrame) -> DataFrame:
 
 def call_keys(lines: DataFrame) -> DataFrame:
     """``key`` of each call line; comments, blank and short lines have none."""
-    lines = lines.where(~F.col("value").startswith("#") & F.split("value", r"\s+")[0].contains("chr"))
-    return lines.select(variant_key(F.col("value")).alias("key")).where("key is not null")
+    calls = with_fields(lines.where(~F.col("value").startswith("#")), r"\s+")
+    fields = F.col("fields")
+    return calls.where((F.size(fields) >= 5) & fields[0].contains("chr")).select(
+        variant_key(fields).alias("key")
+    )
 
 
 def shared_keys(truth: DataFrame, calls: DataFrame) -> DataFrame:

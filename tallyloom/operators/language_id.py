@@ -12,89 +12,105 @@ from tallyloom.session import materialize
 
 #: A model with more languages than ISO 639-1 has codes is refused.
 MAX_LANGUAGES = 200
+#: Weights up to this size are sent to every task; larger ones are joined by shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 class LanguageModel(NamedTuple):
-    """``weights``: trigram and one log weight per language; ``base``: log weight of a
-    trigram the language never showed."""
+    """Trained weights.
+
+    ``weights`` has one row per trigram and a column per language, ``base`` holds the
+    weight of a trigram that a language never showed, ``rows`` counts the trigrams.
+    """
 
     languages: list[str]
     weights: DataFrame
     base: list[float]
+    rows: int
+
+    def is_small(self) -> bool:
+        return self.rows * (64 + 8 * len(self.languages)) <= BROADCAST_BYTES
 
 
-def trigram_counts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``key, gram, n`` over the whole text.
+def with_words(texts: DataFrame, text: str = "text") -> DataFrame:
+    """One row per ``word`` of the whole text: runs of letters, in lower case.
 
-    Words are counted first and cut into trigrams afterwards, blanks standing for
-    their borders, so the cost is linear in the text and repeated words are cut
-    once per key.
+    A text without letters keeps one row with a NULL word.
     """
     letters = F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}]+", " "))
-    words = (
-        texts.select(key, F.explode(F.split(letters, " ")).alias("word"))
-        .where(F.col("word") != "")
-        .groupBy(key, "word")
-        .agg(F.count("*").alias("n"))
-    )
+    return texts.withColumn("word", F.explode_outer(F.split(F.nullif(letters, F.lit("")), " "))).drop(text)
+
+
+def with_trigrams(words: DataFrame) -> DataFrame:
+    """One row per ``gram`` of ``word``; blanks stand for the word's borders."""
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    grams = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(padded, i, F.lit(3)))
     return (
-        words.select(key, F.explode(grams).alias("gram"), "n")
-        .groupBy(key, "gram")
-        .agg(F.sum("n").alias("n"))
+        words.withColumn("at", F.explode_outer(F.sequence(F.lit(1), F.length("word"))))
+        .withColumn("gram", F.substring(padded, F.col("at"), F.lit(3)))
+        .drop("at", "word")
     )
 
 
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> LanguageModel:
     """Add-one trigram weights per language of labelled texts.
 
-    The driver receives one row per language, and no more than ``MAX_LANGUAGES``.
+    Words are counted per language before they are cut, so the cutting is done once
+    per word. The driver receives one row per language, at most ``MAX_LANGUAGES``.
     """
-    counts = materialize(trigram_counts(labelled, lang, text), "trigrams")
-    rows = (
-        counts.groupBy(lang)
-        .agg(F.sum("n").alias("total"))
-        .orderBy(lang)
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_LANGUAGES:
+    words = with_words(labelled.select(lang, text), text).where("word is not null")
+    words = words.groupBy(lang, "word").agg(F.count("*").alias("n"))
+    counts = materialize(with_trigrams(words).groupBy(lang, "gram").agg(F.sum("n").alias("n")), "trigrams")
+    sizes = counts.groupBy(lang).agg(F.sum("n").alias("total")).orderBy(lang).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     vocabulary = counts.select("gram").distinct().count()
-    languages = [r[lang] for r in rows]
-    size = {r[lang]: F.lit(float(r["total"] + vocabulary)) for r in rows}
-    weight = lambda name: F.log((F.coalesce(F.sum(F.when(F.col(lang) == name, F.col("n"))), F.lit(0)) + 1) / size[name])
-    weights = counts.groupBy("gram").agg(*[weight(name).alias(f"w{i}") for i, name in enumerate(languages)])
-    base = [-math.log(r["total"] + vocabulary) for r in rows]
-    return LanguageModel(languages, materialize(weights, "weights"), base)
+    languages = [r[lang] for r in sizes]
+    totals = [float(r["total"] + vocabulary) for r in sizes]
+
+    def weight(name, total):
+        seen = F.coalesce(F.sum(F.when(F.col(lang) == name, F.col("n"))), F.lit(0))
+        return F.log((seen + 1) / F.lit(total))
+
+    weights = counts.groupBy("gram").agg(
+        *[weight(name, total).alias(f"w{i}") for i, (name, total) in enumerate(zip(languages, totals, strict=True))]
+    )
+    return LanguageModel(languages, materialize(weights, "weights"), [-math.log(t) for t in totals], vocabulary)
 
 
 def detect(texts: DataFrame, model: LanguageModel, key: str, text: str = "text", floor: float | None = None) -> DataFrame:
-    """``key, detected``: the language with the highest summed weight.
+    """``key, detected, mean_weight``: the language with the highest summed weight.
 
     Texts without letters get NULL. Where the best mean weight per trigram is below
     ``floor``, text with Hiragana becomes ``ja`` and text with Hangul ``ko``.
+
+    With small weights each task looks its trigrams up and folds a text into one
+    row before the only shuffle. Otherwise equal trigrams of a text are counted
+    first and the weights are joined by shuffle.
     """
-    scored = (
-        trigram_counts(texts, key, text)
-        .join(model.weights, "gram", "left")
-        .groupBy(key)
-        .agg(
-            *[
-                F.sum(F.col("n") * F.coalesce(F.col(f"w{i}"), F.lit(b))).alias(f"s{i}")
-                for i, b in enumerate(model.base)
-            ],
-            F.sum("n").alias("grams"),
-        )
+    script = F.when(F.col(text).rlike(r"\p{InHiragana}"), "ja").when(F.col(text).rlike(r"\p{IsHangul}"), "ko")
+    grams = with_trigrams(with_words(texts.select(key, text, script.alias("script")), text))
+    if model.is_small():
+        met = grams.withColumn("n", F.lit(1)).join(F.broadcast(model.weights), "gram", "left")
+    else:
+        counted = grams.groupBy(key, "script", "gram").agg(F.count("*").alias("n"))
+        met = counted.join(model.weights.hint("merge"), "gram", "left")
+    met = met.withColumn("n", F.when(F.col("gram").isNotNull(), F.col("n")))
+    scored = met.groupBy(key).agg(
+        F.max("script").alias("script"),
+        F.sum("n").alias("grams"),
+        *[
+            F.sum(F.col("n") * F.coalesce(F.col(f"w{i}"), F.lit(b))).alias(f"s{i}")
+            for i, b in enumerate(model.base)
+        ],
     )
-    ranked = F.array(*[F.struct(F.col(f"s{i}").alias("s"), F.lit(l).alias("l")) for i, l in enumerate(model.languages)])
-    best = scored.withColumn("best", F.array_max(ranked)).select(
-        key, F.col("best.l").alias("detected"), (F.col("best.s") / F.col("grams")).alias("mean_weight")
+    ranked = F.array(
+        *[F.struct(F.col(f"s{i}").alias("s"), F.lit(name).alias("name")) for i, name in enumerate(model.languages)]
     )
-    out = texts.join(best, key, "left")
+    mean = F.col("best.s") / F.col("grams")
+    found = F.when(F.col("grams").isNotNull(), F.col("best.name"))
     if floor is not None:
-        unsure = F.col("mean_weight").isNull() | (F.col("mean_weight") < floor)
-        script = F.when(F.col(text).rlike(r"\p{InHiragana}"), "ja").when(F.col(text).rlike(r"\p{IsHangul}"), "ko")
-        out = out.withColumn("detected", F.when(unsure, F.coalesce(script, "detected")).otherwise(F.col("detected")))
-    return out.select(key, "detected", "mean_weight")
+        unsure = mean.isNull() | (mean < floor)
+        found = F.when(unsure, F.coalesce("script", found)).otherwise(found)
+    return scored.withColumn("best", F.array_max(ranked)).select(
+        key, found.alias("detected"), mean.alias("mean_weight")
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
 from tallyloom.functions.text import to_bigint
-from tallyloom.sources.lines import Parsed, number_lines, split_rejects
+from tallyloom.sources.lines import Parsed, number_lines, split_rejects, with_fields
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -30,10 +30,10 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     """The eleven alignment columns, ``tags`` and the last base covered."""
-    fields = F.split("value", "\t")
+    fields = F.col("fields")
     text = lambda i: F.get(fields, i)
     whole = lambda i: F.get(fields, i).try_cast("int")
-    parsed = lines.where(~F.col("value").startswith("@")).select(
+    parsed = with_fields(lines.where(~F.col("value").startswith("@")), "\t").select(
         "value",
         text(0).alias("qname"),
         whole(1).alias("flag"),
@@ -102,9 +102,9 @@ def parse_vcf(lines: DataFrame, chr_only: bool = False, on_error: str = "quarant
     """
     value = F.col("value")
     keep = value.startswith("chr") if chr_only else ~value.startswith("#") & (F.trim(value) != "")
-    fields = F.split("value", "\t")
+    fields = F.col("fields")
     text = lambda i: F.get(fields, i)
-    parsed = lines.where(keep).select(
+    parsed = with_fields(lines.where(keep), "\t").select(
         "value",
         text(0).alias("chrom"),
         text(1).try_cast("int").alias("pos"),

@@ -38,6 +38,15 @@ def split_rejects(parsed: DataFrame, valid, line: str, on_error: str = "quaranti
     return Parsed(parsed.where(ok).drop(line), rejects)
 
 
+def with_fields(lines: DataFrame, separator: str, limit: int = -1) -> DataFrame:
+    """Add ``fields``, the line cut at ``separator``.
+
+    The cut goes through a generator of one row, which keeps the optimizer from
+    copying it into every filter and column that uses a field.
+    """
+    return lines.select("value", F.explode(F.array(F.split("value", separator, limit))).alias("fields"))
+
+
 def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``pos, value``: zero-based line number over all files, in path order.
 

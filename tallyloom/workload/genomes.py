@@ -15,12 +15,11 @@ from tallyloom.session import scratch_path
 from tallyloom.sources import alignments as A
 from tallyloom.sources import fastq, sinks
 from tallyloom.sources.lines import number_lines, read_lines
-from tallyloom.workload.registry import query, table
+from tallyloom.workload.registry import query, spread, table
 
 HEX = "0123456789abcdef"
 BASES = "ACGTACGTACGTACGT"
 QUALS = "#@)+.258;>ADGIJK"
-ILLUMINA_QUALS = "BCDEFGHQWZ`cfhij"
 
 # ---- FASTQ ---------------------------------------------------------------
 
@@ -39,7 +38,7 @@ def write_fastq(spark, sf_dir, mate: int) -> str:
     )
     path = scratch_path(spark, "fastq")
     (
-        table(spark, sf_dir, "documents")
+        spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
         .select("doc_id", read.alias("value"))
         .repartitionByRange(3, "doc_id")
         .sortWithinPartitions("doc_id")
@@ -147,9 +146,11 @@ def write_sam(spark, sf_dir) -> str:
     )
     extra = F.when(number == 2, 2).when(number.between(3, 5), 3).otherwise(0)
     length = F.col("l_quantity").cast("int") + extra
-    digest = F.concat(F.md5("qname"), F.md5(F.concat("qname", F.lit("x"))))
-    alphabet = lambda quals: F.translate(digest, HEX, quals)
-    rows = table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
+    )
+    digest = F.sha2("qname", 256).substr(F.lit(1), F.col("length"))
+    rows = spread(items).select(
         qname.alias("qname"),
         unmapped.alias("unmapped"),
         cigar.alias("cigar"),
@@ -160,7 +161,8 @@ def write_sam(spark, sf_dir) -> str:
         "l_returnflag",
     )
     star = lambda c: F.when(F.col("unmapped"), F.lit("*")).otherwise(c)
-    qual = F.when(F.col("l_returnflag") == "R", alphabet(ILLUMINA_QUALS)).otherwise(alphabet(QUALS))
+    rows = rows.withColumn("digest", digest)
+    qual = F.when(F.col("l_returnflag") == "R", F.col("digest")).otherwise(F.upper("digest"))
     line = F.concat_ws(
         "\t",
         "qname",
@@ -172,8 +174,8 @@ def write_sam(spark, sf_dir) -> str:
         F.lit("*"),
         F.lit("0"),
         F.lit("0"),
-        F.translate(digest, HEX, BASES).substr(F.lit(1), F.col("length")),
-        qual.substr(F.lit(1), F.col("length")),
+        F.translate("digest", HEX, BASES),
+        qual,
         F.lit("NM:i:0"),
         F.concat(F.lit("XR:Z:"), "l_returnflag"),
     )
@@ -200,8 +202,8 @@ sam as (
          case when unmapped then '*' else chrom end as rname, case when unmapped then 0 else p1 end as pos, 60 as mapq,
          case when unmapped then '*' else case num when 2 then '2S' || q || 'M' when 3 then q || 'M1I2M'
               when 4 then q || 'M2D3M' when 5 then q || 'M3S' else q || 'M' end end as cigar,
-         substring(translate(md5(qname) || md5(qname || 'x'), '{HEX}', '{BASES}'), 1, len) as seq,
-         substring(translate(md5(qname) || md5(qname || 'x'), '{HEX}', case when rf = 'R' then '{ILLUMINA_QUALS}' else '{QUALS}' end), 1, len) as qual,
+         translate(substring(sha256(qname), 1, len), '{HEX}', '{BASES}') as seq,
+         case when rf = 'R' then substring(sha256(qname), 1, len) else upper(substring(sha256(qname), 1, len)) end as qual,
          case when unmapped then -1 else p1 - 1 + q + case num when 3 then 2 when 4 then 5 else 0 end end as aln_end,
          ref, ref_length, rf, num, q, unmapped
   from (select *, q + case num when 2 then 2 when 3 then 3 when 4 then 3 when 5 then 3 else 0 end as len from raw)),
@@ -545,7 +547,8 @@ def call_lines(spark, sf_dir, truth: bool):
         F.expr(f"(l_partkey * 37 + l_linenumber) % (50000 + 1000 * {REF}) + 1"),
         F.lit("."), base(1), alt, F.lit("50"), F.lit("."), F.lit("AC=1"), F.lit("GT"), F.lit("0/1"),
     )
-    rows = table(spark, sf_dir, "lineitem").select(line.alias("value"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    rows = spread(items).select(line.alias("value"))
     header = spark.range(1).select(
         F.explode(F.array(F.lit("##contig=<ID=chr1>"), F.lit("#CHROM\tPOS\tID"), F.lit(""))).alias("value")
     )

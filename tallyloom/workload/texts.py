@@ -8,7 +8,7 @@ from tallyloom.operators import balance as B
 from tallyloom.operators.language_id import detect, train
 from tallyloom.operators.process import map_partitions, pipe_rows
 from tallyloom.workload.genomes import N_PARTS, PLAN_SQL, SAM, sam_mapped
-from tallyloom.workload.registry import query, table
+from tallyloom.workload.registry import query, spread, table
 
 GRAMS = r"""
 words as (
@@ -27,7 +27,7 @@ scored as (select d.doc_id, e.lang, sum(d.n * e.w) as score from grams d join ev
 
 @query("detect_language", f"with {GRAMS} select doc_id, arg_max(lang, score) as detected from scored group by doc_id")
 def detect_language(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     model = train(documents)
     return detect(documents, model, "doc_id").where("detected is not null").select("doc_id", "detected")
 
