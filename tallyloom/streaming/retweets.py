@@ -109,18 +109,19 @@ def log_rows(rows: DataFrame, start) -> DataFrame:
     )
 
 
+def write_log_batch(batch: DataFrame, batch_id: int, path: str, start) -> None:
+    """One micro-batch as ordered Parquet below ``batch_id=<n>``, replacing an earlier try."""
+    rows = log_rows(after_warm_up(batch, start), start)
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def start_log(rows: DataFrame, path: str, checkpoint: str, start, interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
-    """Write each micro-batch as ordered Parquet below ``batch_id=<n>``.
+    """Log each micro-batch with :func:`write_log_batch`.
 
     A batch that runs again after a failure replaces its own folder, so nothing is
     logged twice. ``interval=None`` processes what is there and stops.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        log_rows(after_warm_up(batch, start), start).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
-
+    write = lambda batch, batch_id: write_log_batch(batch, batch_id, path, start)
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()

@@ -1,0 +1,41 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.operators import language_id as L
+
+DOCUMENTS = "/root/testdata/sf0.01/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return L.train(spark.read.parquet(DOCUMENTS).where("doc_id % 2 = 0"))
+
+
+def test_held_out_accuracy(spark, model):
+    held = spark.read.parquet(DOCUMENTS).where("doc_id % 2 = 1")
+    found = L.detect(held, model, "doc_id").join(held, "doc_id").where("detected is not null")
+    right = found.agg(F.avg((F.col("detected") == F.col("lang")).cast("int"))).first()[0]
+    assert right >= 0.95
+
+
+def test_shuffled_weights_give_the_same(spark, rows, model, monkeypatch):
+    texts = spark.read.parquet(DOCUMENTS).where("doc_id < 60")
+    small = rows(L.detect(texts, model, "doc_id"), "doc_id", "detected")
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
+    assert not model.is_small()
+    assert rows(L.detect(texts, model, "doc_id"), "doc_id", "detected") == small
+
+
+def test_scripts_and_empty_text(spark, rows, model):
+    df = spark.createDataFrame(
+        [(1, "こんにちは"), (2, "안녕하세요"), (3, "12 ..."), (4, "")], "doc_id int, text string"
+    )
+    assert rows(L.detect(df, model, "doc_id", floor=-9.0), "doc_id", "detected") == [
+        (1, "ja"), (2, "ko"), (3, None), (4, None)
+    ]
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        L.train(spark.createDataFrame([("a", "x"), ("b", "y")], "lang string, text string"))

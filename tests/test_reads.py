@@ -1,0 +1,160 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.functions import genome as G
+from tallyloom.operators import reads as R
+from tallyloom.plans.alignments import call_input, regions_of, usable_reads
+from tallyloom.sources import sinks
+from tallyloom.sources.alignments import mapped_reads, parse_sam, with_reference
+
+SAM = "\n".join(
+    "\t".join(x)
+    for x in [
+        ["@SQ", "SN:chr1", "LN:5000"],
+        ["a", "0", "chr1", "100", "60", "4M", "*", "0", "0", "ACGT", "IIII", "NM:i:0", "X:Z:1"],
+        ["b", "0", "chr1", "154", "60", "2M1D2M", "*", "0", "0", "ACGT", "IIII"],
+        ["c", "0", "chr1", "400", "60", "2S2M", "*", "0", "0", "ACGT", "IIII"],
+        ["d", "4", "*", "0", "9", "*", "*", "0", "0", "ACGT", "IIII"],
+        ["e", "0", "chrM", "5", "60", "4M", "*", "0", "0", "ACGT", "IIII"],
+        ["bad", "x", "chr1", "1", "60", "4M", "*", "0", "0", "ACGT", "IIII"],
+        ["short", "0", "chr1"],
+    ]
+)
+
+
+@pytest.fixture
+def dictionary(spark):
+    return spark.createDataFrame([(0, "chrM", 100), (1, "chr1", 5000)], "ref_index int, name string, length int")
+
+
+def reads_of(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "qname string, flag int, rname string, pos int, cigar string, rnext string, pnext int, seq string, qual string",
+    ).withColumns(
+        {
+            "aln_end": G.alignment_end(F.col("pos"), F.col("cigar")),
+            "quals": G.base_qualities(F.col("qual")),
+            "library": F.lit("L"),
+        }
+    )
+
+
+def test_sam_lines(lines, rows, dictionary):
+    parsed = parse_sam(lines(SAM))
+    assert rows(parsed.rejects) == [("bad\tx\tchr1\t1\t60\t4M\t*\t0\t0\tACGT\tIIII",), ("short\t0\tchr1",)]
+    tags = parsed.rows.select("qname", F.concat_ws(",", "tags").alias("t"))
+    assert rows(tags)[:2] == [("a", "NM:i:0,X:Z:1"), ("b", "")]
+    mapped = mapped_reads(with_reference(parsed.rows, dictionary))
+    assert rows(mapped, "qname", "aln_end") == [("a", 103), ("b", 158), ("c", 401)]
+
+
+def test_usable_reads_and_regions(lines, rows, dictionary):
+    usable = usable_reads(lines(SAM), dictionary)
+    assert rows(usable, "qname", "library", "sample") == [(q, "LIB1", "SAMPLE1") for q in "abc"]
+    assert rows(regions_of(usable)) == [("chr1", 100, 158, 2), ("chr1", 400, 401, 1)]
+
+
+def test_clean(spark, rows):
+    df = spark.createDataFrame(
+        [("in", 0, 10, 20, 60), ("out", 0, 25, 20, 60), ("un", 4, -1, None, 60)],
+        "qname string, flag int, aln_end int, ref_length int, mapq int",
+    )
+    assert rows(R.clean_alignments(df), "qname", "aln_end", "mapq", "past_end") == [
+        ("in", 10, 60, False), ("out", 20, 60, True), ("un", -1, 0, False)
+    ]
+    assert R.with_read_group(df, sample="S2").first()["sample"] == "S2"
+
+
+@pytest.mark.parametrize("quals, encoding", [([2, 60], "SANGER"), ([61, 35], "ILLUMINA")])
+def test_encoding(spark, quals, encoding):
+    df = spark.createDataFrame([("s", quals)], "sample string, quals array<int>")
+    assert R.sample_encoding(df).first()["encoding"] == encoding
+
+
+def test_fix_qualities(spark, rows):
+    df = spark.createDataFrame(
+        [("a", [61, 31]), ("a", [30, 40]), ("b", [10, 60]), ("b", None)], "sample string, quals array<int>"
+    )
+    fixed = R.fix_qualities(df, R.sample_encoding(df))
+    got = fixed.select("sample", F.concat_ws(",", F.col("quals").cast("array<string>")).alias("q"), "bad_quality")
+    assert rows(got) == [("a", "-1,9", True), ("a", "30,0", False), ("b", "", False), ("b", "10,60", False)]
+
+
+@pytest.mark.parametrize(
+    "flag, pos, cigar, want", [(0, 100, "3S4M", 97), (0, 100, "1H2S4M", 97), (16, 100, "4M3S", 106), (16, 100, "3S4M", 103)]
+)
+def test_five_prime(spark, flag, pos, cigar, want):
+    df = spark.createDataFrame([(flag, pos, cigar)], "flag int, pos int, cigar string")
+    end = G.alignment_end(F.col("pos"), F.col("cigar"))
+    assert df.select(G.unclipped_five_prime(F.col("pos"), end, F.col("cigar"), F.col("flag"))).first()[0] == want
+
+
+def test_duplicates(spark, rows):
+    """A clipped copy shares the 5' end; the other strand does not; a hot fragment keeps one read."""
+    reads = [
+        ("r1", 0, "c", 100, "4M", "*", 0, "ACGT", "IIII"),
+        ("r2", 0, "c", 102, "2S4M", "*", 0, "ACGTAC", "IIIIII"),
+        ("r3", 16, "c", 100, "4M", "*", 0, "ACGT", "IIII"),
+        ("r4", 4, "*", 0, "*", "*", 0, "ACGT", "*"),
+        ("r5", 1024, "c", 500, "4M", "*", 0, "ACGT", "IIII"),
+    ] + [(f"h{i:03}", 0, "c", 900, "4M", "*", 0, "ACGT", "####") for i in range(300)]
+    marked = R.mark_duplicates(reads_of(spark, reads), ["qname", "flag"])
+    duplicates = rows(marked.where(G.has_flag(F.col("flag"), G.DUPLICATE)), "qname")
+    # r5 came in with the bit set: it is judged anew, and its id has changed with it.
+    assert duplicates == sorted([("r1",)] + [(f"h{i:03}",) for i in range(299)])
+    assert rows(R.duplicate_metrics(marked)) == [("L", 304, 300, 98.6842)]
+
+
+def brute_bases(reads, threshold):
+    import re
+    from collections import defaultdict
+
+    seen = defaultdict(list)
+    for _, _, rname, pos, cigar, _, _, seq, qual in reads:
+        at, ref = 0, pos
+        for n, op in re.findall(r"([0-9]+)([MIDNSHP=X])", cigar):
+            for _ in range(int(n)):
+                if op in "M=X":
+                    seen[rname, ref, seq[at]].append(ord(qual[at]) - 33)
+                at += op in "MIS=X"
+                ref += op in "MDN=X"
+    return sorted(
+        (*k, len(q), round(sum(q) / len(q), 3)) for k, q in seen.items() if sum(q) >= threshold * len(q)
+    )
+
+
+def test_base_counts(spark, rows):
+    rnd = random.Random(4)
+    shapes = [("2S3M1I2M1D2M", 10), ("4M", 4), ("1H3=1X2N2M", 6), ("5M2P1M3S", 9)]
+    reads = []
+    for i in range(80):
+        cigar, n = rnd.choice(shapes)
+        qual = "".join(rnd.choices("#5?I", k=n))
+        reads.append((f"r{i}", 0, "c", rnd.randrange(1, 30), cigar, "*", 0, "".join(rnd.choices("ACGT", k=n)), qual))
+    assert rows(R.base_counts(reads_of(spark, reads), 20.0)) == brute_bases(reads, 20.0)
+
+
+def test_call_input(spark, lines, rows, dictionary):
+    targets = spark.createDataFrame([("chr1", 90, 110), ("chr1", 300, 500)], "chrom string, start int, end int")
+    result = call_input(usable_reads(lines(SAM), dictionary), targets)
+    assert rows(result.regions) == [("chr1", 100, 110), ("chr1", 400, 401)]
+    assert result.bases.count() == 10
+
+
+def test_sorted_alignments(spark, tmp_path):
+    """One hot reference spans several files; reading them in order gives coordinate order."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 == 0, 2).otherwise(1).alias("ref_index"),
+        (F.hash("id") % 500).alias("pos"),
+        F.col("id").cast("string").alias("qname"),
+        F.lit(0).alias("flag"),
+    )
+    path = str(tmp_path / "sorted")
+    sinks.write_sorted_alignments(df, path, 6)
+    hot = sorted((tmp_path / "sorted" / "ref_index=1").glob("*.parquet"))
+    assert len(hot) > 3
+    got = [(r.pos, r.qname) for f in hot for r in spark.read.parquet(str(f)).collect()]
+    assert got == sorted(got) and len(got) == 2700
