@@ -14,28 +14,38 @@ def group_sizes(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).count().orderBy(F.desc("count"), key)
 
 
-def plan_partitions(sizes: DataFrame, key: str, n: int, max_planned: int = MAX_PLANNED) -> DataFrame:
-    """``key, count, partition``: largest group first, each to the lightest partition.
+def _place(sizes: DataFrame, key: str, n: int, max_planned: int) -> tuple[DataFrame, bool]:
+    """The largest groups with their partitions, and whether those are all groups.
 
-    Ties go to the smaller key and to the lowest partition. The driver sees at most
-    ``max_planned`` rows of the sizes, never data; this is exact for that many
-    groups. Groups after those are the smallest ones and are spread by hash.
+    The driver sees at most ``max_planned`` rows of sizes, never data.
     """
-    ordered = sizes.orderBy(F.desc("count"), key)
-    head = ordered.limit(max_planned).collect()
+    head = sizes.orderBy(F.desc("count"), key).limit(max_planned + 1).collect()
     loads = [0] * n
     placed = []
-    for row in head:
+    for row in head[:max_planned]:
         target = loads.index(min(loads))
         loads[target] += row["count"]
-        placed.append((row[key], target))
-    schema = f"{key} {sizes.schema[key].dataType.simpleString()}, partition int"
-    planned = sizes.sparkSession.createDataFrame(placed, schema)
-    hashed = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    # At most max_planned rows, so the planned side may always be broadcast.
-    return sizes.join(F.broadcast(planned), key, "left").withColumn(
-        "partition", F.coalesce("partition", hashed)
-    )
+        placed.append((row[key], row["count"], target))
+    schema = f"{key} {sizes.schema[key].dataType.simpleString()}, count bigint, partition int"
+    return sizes.sparkSession.createDataFrame(placed, schema), len(head) <= max_planned
+
+
+def _hashed(key: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
+def plan_partitions(sizes: DataFrame, key: str, n: int, max_planned: int = MAX_PLANNED) -> DataFrame:
+    """``key, count, partition``: largest group first, each to the lightest partition.
+
+    Ties go to the smaller key and to the lowest partition. This is exact for
+    ``max_planned`` groups; the groups after those are the smallest ones and are
+    spread by hash.
+    """
+    planned, complete = _place(sizes, key, n, max_planned)
+    if complete:
+        return planned
+    rest = sizes.join(F.broadcast(planned), key, "left_anti")
+    return planned.unionByName(rest.select(key, "count", _hashed(key, n).alias("partition")))
 
 
 def split_heavy_groups(df: DataFrame, key: str, sizes: DataFrame, n: int, spread: Column) -> DataFrame:
@@ -59,9 +69,15 @@ def split_heavy_groups(df: DataFrame, key: str, sizes: DataFrame, n: int, spread
     )
 
 
-def route(df: DataFrame, plan: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """Send each row to the partition its group was planned for."""
-    return df.join(plan.select(*keys, "partition"), keys).repartitionById(n, "partition")
+def route(df: DataFrame, sizes: DataFrame, key: str, n: int, max_planned: int = MAX_PLANNED) -> DataFrame:
+    """Send each row to the partition its group is planned for, with that ``partition``.
+
+    At most ``max_planned`` rows are broadcast, so rows find their partition without
+    a shuffle by key; the only shuffle is the one to the partitions.
+    """
+    planned, _ = _place(sizes, key, n, max_planned)
+    placed = df.join(F.broadcast(planned.drop("count")), key, "left")
+    return placed.withColumn("partition", F.coalesce("partition", _hashed(key, n))).repartitionById(n, "partition")
 
 
 def balance(df: DataFrame, key: str, n: int, spread: Column | None = None) -> DataFrame:
@@ -71,11 +87,10 @@ def balance(df: DataFrame, key: str, n: int, spread: Column | None = None) -> Da
     """
     sizes = df.groupBy(key).count()
     if spread is None:
-        return route(df, plan_partitions(sizes, key, n), [key], n)
+        return route(df, sizes, key, n)
     part = F.concat_ws("/", F.col(key).cast("string"), "slice")
     sliced = split_heavy_groups(df, key, sizes, n, spread).withColumn("_part", part)
-    plan = plan_partitions(sliced.groupBy("_part").count(), "_part", n)
-    return route(sliced, plan, ["_part"], n).drop("_part", "slice")
+    return route(sliced, sliced.groupBy("_part").count(), "_part", n).drop("_part", "slice")
 
 
 def spread_evenly(df: DataFrame, n: int) -> DataFrame:

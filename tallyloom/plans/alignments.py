@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
-from tallyloom.operators import intervals, reads as R
+from tallyloom.operators import intervals
+from tallyloom.operators import reads as R
+from tallyloom.session import materialize
 from tallyloom.sources.alignments import mapped_reads, parse_sam, with_reference
 
 
@@ -34,6 +36,8 @@ class CallInput(NamedTuple):
 
 
 def call_input(reads: DataFrame, targets: DataFrame, min_mean_quality: float = 30.0) -> CallInput:
+    """Written reads, so that the lines are parsed once for all three results."""
+    reads = materialize(reads, "reads")
     marked = R.mark_duplicates(reads, ["qname", "flag"])
     unique = marked.where(~G.has_flag(F.col("flag"), G.DUPLICATE))
     return CallInput(

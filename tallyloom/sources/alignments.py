@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
 from tallyloom.functions.text import to_bigint
+from tallyloom.session import materialize
 from tallyloom.sources.lines import Parsed, number_lines, split_rejects, with_fields
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """``ref_index, name, length``: the first line is a header, order is the index.
 
-    A length that is no number becomes 0.
+    A length that is no number becomes 0. The result is a written table: its size is
+    known when reads are joined to it, and each use reads it instead of parsing anew.
     """
     fields = F.split("value", r"\s+")
     after_colon = lambda c: F.regexp_replace(c, "^[^:]*:", "")
-    return (
+    parsed = (
         number_lines(spark, path)
         .where(F.col("pos") > 0)
         .select(
@@ -26,6 +28,7 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
             F.coalesce(after_colon(fields[2]).try_cast("int"), F.lit(0)).alias("length"),
         )
     )
+    return materialize(parsed, "dictionary")
 
 
 def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tallyloom.session import materialize
 
 
+#: Block offsets up to this number of rows are sent to every task.
+MAX_BLOCKS = 200_000
+
+
 class Parsed(NamedTuple):
     """Rows that parsed, and the source lines that did not."""
 
@@ -50,11 +54,11 @@ def with_fields(lines: DataFrame, separator: str, limit: int = -1) -> DataFrame:
 def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``pos, value``: zero-based line number over all files, in path order.
 
-    Pass one counts lines per input block; its result has one row per block and
-    is written, so the planner knows its size when it joins. Pass two adds the
-    block's offset to the row's place inside the block. Should the blocks differ
-    between the passes, the job stops instead of numbering wrongly; pin
-    ``spark.sql.files.minPartitionNum`` where executors come and go.
+    Pass one counts lines per input block; its result has one row per block and is
+    written. Pass two adds the block's offset to the row's place inside the block;
+    up to ``MAX_BLOCKS`` offsets are broadcast, more are joined by shuffle. Should
+    the blocks differ between the passes, the job stops instead of numbering
+    wrongly; pin ``spark.sql.files.minPartitionNum`` where executors come and go.
     """
     raw = read_lines(spark, path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -80,6 +84,8 @@ def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .join(files, "file")
         .select("file", "block", "first", "n", (F.col("file_offset") + F.col("block_offset")).alias("offset"))
     )
+    if blocks.count() <= MAX_BLOCKS:
+        offsets = F.broadcast(offsets)
     in_block = F.col("row") - F.col("first")
     moved = F.col("offset").isNull() | (in_block < 0) | (in_block >= F.col("n"))
     stop = F.raise_error(F.lit("input blocks changed between passes")).cast("bigint")

@@ -24,7 +24,9 @@ def test_groups_beyond_the_plan_are_hashed(spark, rows):
     placed = dict(rows(plan, "g", "partition"))
     assert len(placed) == 30 and set(placed.values()) <= {0, 1, 2, 3}
     assert [placed[k] for k in (29, 28, 27)] == [0, 1, 2]
-    assert B.route(df, plan, ["g"], 4).count() == df.count()
+    routed = B.route(df, B.group_sizes(df, "g"), "g", 4, max_planned=3)
+    assert dict(rows(routed.select("g", "partition").distinct())) == placed
+    assert routed.count() == df.count()
 
 
 def test_heavy_group_is_sliced(spark, rows):

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
-from tallyloom.sources import fastq
+from tallyloom.sources import fastq, lines
 from tallyloom.sources.alignments import read_dictionary
 from tallyloom.sources.lines import number_lines
 
@@ -16,7 +16,9 @@ def write(path, n, mate, seed=0):
             f.write(f"@r{i}/{mate}\n{seq}\n+\n@{'I' * 19}\n")
 
 
-def test_numbers_over_many_splits(spark, tmp_path):
+@pytest.mark.parametrize("max_blocks", [lines.MAX_BLOCKS, 2])
+def test_numbers_over_many_splits(spark, tmp_path, monkeypatch, max_blocks):
+    monkeypatch.setattr(lines, "MAX_BLOCKS", max_blocks)
     for k in range(3):
         (tmp_path / f"part-{k}.txt").write_text("".join(f"{k}-{i}\n" for i in range(4000 + k)))
     want = [f"{k}-{i}" for k in range(3) for i in range(4000 + k)]
@@ -77,8 +79,8 @@ def test_chunk_round_trip(spark, tmp_path, n_reads, n_chunks, files):
     want = [line for i in range(n_reads) for t in texts for line in t[4 * i : 4 * i + 4]]
     in_order = [line for c in sorted(chunks, key=lambda c: int(c.removeprefix("output"))) for line in chunks[c]]
     assert in_order == want
-    for c, lines in chunks.items():
-        assert lines[0] == f"@r{c.removeprefix('output')}/1"
+    for c, text in chunks.items():
+        assert text[0] == f"@r{c.removeprefix('output')}/1"
 
 
 def test_dictionary(spark, tmp_path, rows):
