@@ -101,6 +101,10 @@ def duplicate_metrics(marked: DataFrame) -> DataFrame:
     )
 
 
+#: Positions per tile when reads are brought together.
+TILE = 1 << 12
+
+
 def aligned_bases(reads: DataFrame) -> DataFrame:
     """``rname, position, base, quality``: one row per base aligned by M, = or X."""
     ops = F.arrays_zip(
@@ -150,11 +154,14 @@ def aligned_bases(reads: DataFrame) -> DataFrame:
 def base_counts(reads: DataFrame, min_mean_quality: float = 30.0) -> DataFrame:
     """Depth and mean quality of each base at each position, above a threshold.
 
-    Counts only; no genotype model. Partial aggregation keeps a position with very
-    deep coverage at one row per task.
+    Counts only; no genotype model. Reads are brought together by tile while they are
+    still compact, so that a task folds the depth of its positions before the bases
+    are shuffled. The rebalance is free to split a tile with very many reads; the
+    partial aggregate then costs one row per position and task.
     """
+    near = reads.select("rname", "pos", "cigar", "seq", "quals", F.expr(f"pos div {TILE}").alias("tile"))
     return (
-        aligned_bases(reads)
+        aligned_bases(near.hint("rebalance", "rname", "tile"))
         .groupBy("rname", "position", "base")
         .agg(F.count("*").alias("depth"), F.sum("quality").alias("quality_sum"))
         .where(F.col("quality_sum") >= min_mean_quality * F.col("depth"))

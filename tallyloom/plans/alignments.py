@@ -14,13 +14,18 @@ from tallyloom.session import materialize
 from tallyloom.sources.alignments import mapped_reads, parse_sam, with_reference
 
 
-def usable_reads(lines: DataFrame, dictionary: DataFrame, on_error: str = "drop") -> DataFrame:
+def prepare(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Mapped reads of the main references, cleaned, with qualities and read group."""
-    reads = with_reference(parse_sam(lines, on_error).rows, dictionary)
-    reads = R.clean_alignments(mapped_reads(reads)).withColumn("quals", G.base_qualities(F.col("qual")))
+    reads = mapped_reads(with_reference(parsed, dictionary))
+    reads = R.clean_alignments(reads).withColumn("quals", G.base_qualities(F.col("qual")))
     return R.with_read_group(reads)
 
 
+def usable_reads(lines: DataFrame, dictionary: DataFrame, on_error: str = "drop") -> DataFrame:
+    """:func:`prepare` of alignment lines."""
+    return prepare(parse_sam(lines, on_error).rows, dictionary)
+
+
 def regions_of(reads: DataFrame, gap: int = intervals.REGION_GAP) -> DataFrame:
     """Covered regions of reads."""
     spans = reads.select(F.col("rname").alias("chrom"), F.col("pos").alias("start"), F.col("aln_end").alias("end"))

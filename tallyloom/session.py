@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do not aggregate or window on the few partitions of an earlier, coarser shuffle.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (

@@ -11,6 +11,10 @@ from tallyloom.session import materialize
 from tallyloom.sources.lines import Parsed, number_lines, split_rejects, with_fields
 
 
+#: Dictionaries up to this number of sequences are sent to every task.
+MAX_SEQUENCES = 100_000
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """``ref_index, name, length``: the first line is a header, order is the index.
 
@@ -61,11 +65,14 @@ def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
 def with_reference(reads: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``ref_index`` and ``ref_length`` by sequence name (NULL if unknown).
 
-    No hint: the dictionary is broadcast only if Spark measures it as small.
+    A dictionary of up to ``MAX_SEQUENCES`` rows is counted and broadcast; the reads
+    of a long one are joined by shuffle, where adaptive execution splits hot names.
     """
     dims = dictionary.select(
         F.col("name").alias("rname"), "ref_index", F.col("length").alias("ref_length")
     )
+    if dims.limit(MAX_SEQUENCES + 1).count() <= MAX_SEQUENCES:
+        dims = F.broadcast(dims)
     return reads.join(dims, "rname", "left")
 
 

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import language_of_project, to_bigint
-from tallyloom.sources.lines import Parsed, split_rejects
+from tallyloom.sources.lines import Parsed, split_rejects, with_fields
 
 
 def parse_pagecounts(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     """``project, lang, title, views, bytes`` of blank-separated lines."""
-    fields = F.split("value", " ")
-    parsed = lines.select(
+    fields = F.col("fields")
+    parsed = with_fields(lines, " ").select(
         "value",
         F.get(fields, 0).alias("project"),
         language_of_project(F.get(fields, 0)).alias("lang"),
@@ -31,9 +31,9 @@ RETWEET_LOG_HEADER = (
 
 def parse_retweet_log(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     """Nine columns of a retweet log; the text keeps its commas, headers are dropped."""
-    fields = F.split("value", ",", 9)
+    fields = F.col("fields")
     number = lambda i: to_bigint(F.get(fields, i))
-    parsed = lines.where(fields[0] != "Seconds").select(
+    parsed = with_fields(lines.where(~F.col("value").startswith("Seconds,")), ",", 9).select(
         "value",
         to_bigint(F.regexp_replace(F.get(fields, 0), r"^\((.*)\)$", "$1")).alias("seconds"),
         F.get(fields, 1).alias("language"),

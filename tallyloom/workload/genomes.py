@@ -10,7 +10,7 @@ from tallyloom.operators import callsets as C
 from tallyloom.operators import intervals as I
 from tallyloom.operators import reads as R
 from tallyloom.operators.numbering import numbered
-from tallyloom.plans.alignments import call_input, regions_of, usable_reads
+from tallyloom.plans.alignments import call_input, prepare, regions_of
 from tallyloom.session import scratch_path
 from tallyloom.sources import alignments as A
 from tallyloom.sources import fastq, sinks
@@ -116,14 +116,11 @@ def fastq_chunks(spark, sf_dir):
 
 def write_dictionary(spark, sf_dir) -> str:
     """Nations as sequences: chrM, chr1 to chr22, chrX, chrY."""
-    key = F.col("n_nationkey")
-    name = F.when(key == 0, "M").when(key == 23, "X").when(key == 24, "Y").otherwise(key.cast("string"))
-    lines = table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("@SQ\tSN:chr"), name, F.lit("\tLN:"), (50000 + 1000 * key).cast("string")).alias("value"), key.alias("n")
-    )
-    header = spark.range(1).select(F.lit("@HD\tVN:1.0\tSO:unsorted").alias("value"), F.lit(-1).alias("n"))
+    line = F.concat(F.lit("@SQ\tSN:"), "name", F.lit("\tLN:"), F.col("length").cast("string"))
+    lines = dictionary(spark, sf_dir).select(line.alias("value"), "ref_index")
+    header = spark.range(1).select(F.lit("@HD\tVN:1.0\tSO:unsorted").alias("value"), F.lit(-1).alias("ref_index"))
     path = scratch_path(spark, "dictionary")
-    header.unionAll(lines).orderBy("n").select("value").write.text(path)
+    header.unionAll(lines).orderBy("ref_index").select("value").write.text(path)
     return path
 
 
@@ -131,11 +128,9 @@ REF = "(l_suppkey % 25)"
 CHROM = f"case {REF} when 0 then 'chrM' when 23 then 'chrX' when 24 then 'chrY' else 'chr' || cast({REF} as string) end"
 
 
-def write_sam(spark, sf_dir) -> str:
-    """One alignment per order line, with a header; late shipments are unmapped."""
+def sam_columns(spark, sf_dir):
+    """One alignment per order line, as columns; late shipments are unmapped."""
     q = F.col("l_quantity").cast("int").cast("string")
-    unmapped = F.col("l_shipdate") >= F.lit("2001-06-01").cast("timestamp_ntz")
-    qname = F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd"))
     number = F.col("l_linenumber")
     cigar = (
         F.when(number == 2, F.concat(F.lit("2S"), q, F.lit("M")))
@@ -145,43 +140,38 @@ def write_sam(spark, sf_dir) -> str:
         .otherwise(F.concat(q, F.lit("M")))
     )
     extra = F.when(number == 2, 2).when(number.between(3, 5), 3).otherwise(0)
-    length = F.col("l_quantity").cast("int") + extra
+    unmapped = F.col("l_shipdate") >= F.lit("2001-06-01").cast("timestamp_ntz")
     items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
-    )
-    digest = F.sha2("qname", 256).substr(F.lit(1), F.col("length"))
-    rows = spread(items).select(
-        qname.alias("qname"),
-        unmapped.alias("unmapped"),
-        cigar.alias("cigar"),
-        length.alias("length"),
-        F.expr(CHROM).alias("chrom"),
-        F.expr(f"cast((l_partkey * 37 + l_linenumber) % (50000 + 1000 * {REF}) + 1 as string)").alias("pos"),
-        F.when(F.col("l_linestatus") == "O", G.REVERSE).otherwise(0).alias("strand"),
+        F.concat_ws(
+            ":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
+        ).alias("qname"),
+        (F.when(F.col("l_linestatus") == "O", G.REVERSE).otherwise(0) + F.when(unmapped, G.UNMAPPED).otherwise(0)).alias("flag"),
+        F.when(unmapped, "*").otherwise(F.expr(CHROM)).alias("rname"),
+        F.when(unmapped, 0)
+        .otherwise(F.expr(f"cast((l_partkey * 37 + l_linenumber) % (50000 + 1000 * {REF}) + 1 as int)"))
+        .alias("pos"),
+        F.lit(60).alias("mapq"),
+        F.when(unmapped, "*").otherwise(cigar).alias("cigar"),
+        F.lit("*").alias("rnext"),
+        F.lit(0).alias("pnext"),
+        F.lit(0).alias("tlen"),
+        (F.col("l_quantity").cast("int") + extra).alias("length"),
         "l_returnflag",
     )
-    star = lambda c: F.when(F.col("unmapped"), F.lit("*")).otherwise(c)
-    rows = rows.withColumn("digest", digest)
-    qual = F.when(F.col("l_returnflag") == "R", F.col("digest")).otherwise(F.upper("digest"))
-    line = F.concat_ws(
-        "\t",
-        "qname",
-        (F.col("strand") + F.when(F.col("unmapped"), G.UNMAPPED).otherwise(0)).cast("string"),
-        star(F.col("chrom")),
-        F.when(F.col("unmapped"), "0").otherwise(F.col("pos")),
-        F.lit("60"),
-        star(F.col("cigar")),
-        F.lit("*"),
-        F.lit("0"),
-        F.lit("0"),
-        F.translate("digest", HEX, BASES),
-        qual,
-        F.lit("NM:i:0"),
-        F.concat(F.lit("XR:Z:"), "l_returnflag"),
+    digest = F.sha2("qname", 256).substr(F.lit(1), F.col("length"))
+    return spread(items).withColumn("digest", digest).select(
+        *[c for c in items.columns if c not in ("length", "l_returnflag")],
+        F.translate("digest", HEX, BASES).alias("seq"),
+        F.when(F.col("l_returnflag") == "R", F.col("digest")).otherwise(F.upper("digest")).alias("qual"),
+        F.array(F.lit("NM:i:0"), F.concat(F.lit("XR:Z:"), "l_returnflag")).alias("tags"),
     )
+
+
+def write_sam(spark, sf_dir) -> str:
+    """The alignments as text, with a header line."""
     header = spark.range(1).select(F.lit("@HD\tVN:1.0").alias("value"))
     path = scratch_path(spark, "sam")
-    header.unionAll(rows.select(line.alias("value"))).write.text(path)
+    header.unionAll(sam_columns(spark, sf_dir).select(F.concat_ws("\t", "*").alias("value"))).write.text(path)
     return path
 
 
@@ -216,11 +206,27 @@ usable as (
 
 
 def dictionary(spark, sf_dir):
-    return A.read_dictionary(spark, write_dictionary(spark, sf_dir))
+    """The nations as a dictionary, without the text in between."""
+    key = F.col("n_nationkey")
+    name = F.when(key == 0, "M").when(key == 23, "X").when(key == 24, "Y").otherwise(key.cast("string"))
+    return table(spark, sf_dir, "nation").select(
+        key.alias("ref_index"), F.concat(F.lit("chr"), name).alias("name"), (50000 + 1000 * key).alias("length")
+    )
+
+
+def alignments(spark, sf_dir):
+    """The alignments as parsed rows, without the text in between."""
+    end = G.alignment_end(F.col("pos"), F.col("cigar"))
+    return sam_columns(spark, sf_dir).withColumn("aln_end", end)
 
 
 def reads(spark, sf_dir):
-    return usable_reads(sam_lines(spark, sf_dir), dictionary(spark, sf_dir))
+    return prepare(alignments(spark, sf_dir), dictionary(spark, sf_dir))
+
+
+def mapped(spark, sf_dir):
+    placed = A.mapped_reads(A.with_reference(alignments(spark, sf_dir), dictionary(spark, sf_dir)))
+    return placed.select("qname", "flag", "ref_index", "pos", "aln_end")
 
 
 @query(
@@ -229,7 +235,7 @@ def reads(spark, sf_dir):
     50000 + 1000 * n_nationkey as length from nation""",
 )
 def sequence_dictionary(spark, sf_dir):
-    return dictionary(spark, sf_dir)
+    return A.read_dictionary(spark, write_dictionary(spark, sf_dir))
 
 
 @query(
@@ -243,13 +249,15 @@ def sam_parse(spark, sf_dir):
 
 @query("sam_mapped", f"with {SAM} select qname, flag, ref as ref_index, pos, aln_end from mapped")
 def sam_mapped(spark, sf_dir):
-    parsed = A.with_reference(A.parse_sam(sam_lines(spark, sf_dir)).rows, dictionary(spark, sf_dir))
+    """From text: alignment lines and a dictionary file."""
+    reference = A.read_dictionary(spark, write_dictionary(spark, sf_dir))
+    parsed = A.with_reference(A.parse_sam(sam_lines(spark, sf_dir)).rows, reference)
     return A.mapped_reads(parsed).select("qname", "flag", "ref_index", "pos", "aln_end")
 
 
 @query("reads_per_chrom", f"with {SAM} select ref as ref_index, count(*) as count from mapped group by ref")
 def reads_per_chrom(spark, sf_dir):
-    return B.group_sizes(sam_mapped(spark, sf_dir), "ref_index")
+    return B.group_sizes(mapped(spark, sf_dir), "ref_index")
 
 
 @query(
@@ -259,7 +267,7 @@ def reads_per_chrom(spark, sf_dir):
     case when unmapped then 0 else 60 end as mapq from sam""",
 )
 def clean_alignments(spark, sf_dir):
-    parsed = A.with_reference(A.parse_sam(sam_lines(spark, sf_dir)).rows, dictionary(spark, sf_dir))
+    parsed = A.with_reference(alignments(spark, sf_dir), dictionary(spark, sf_dir))
     out = R.clean_alignments(parsed)
     return out.select("qname", "flag", "past_end", "aln_end", "mapq")
 
@@ -270,8 +278,7 @@ def clean_alignments(spark, sf_dir):
     'UNIT1' as platform_unit, 'SAMPLE1' as sample from sam""",
 )
 def read_groups(spark, sf_dir):
-    parsed = A.parse_sam(sam_lines(spark, sf_dir)).rows
-    return R.with_read_group(parsed).select("qname", "flag", *R.READ_GROUP)
+    return R.with_read_group(alignments(spark, sf_dir)).select("qname", "flag", *R.READ_GROUP)
 
 
 def _sampled(spark, sf_dir):
@@ -381,13 +388,12 @@ def partition_plan(spark, sf_dir):
     from plan group by partition""",
 )
 def balanced_partitions(spark, sf_dir):
-    mapped = sam_mapped(spark, sf_dir)
-    return B.partition_loads(B.balance(mapped, "ref_index", N_PARTS))
+    return B.partition_loads(B.balance(mapped(spark, sf_dir), "ref_index", N_PARTS))
 
 
 @query("even_partitions", f"with {SAM} select count(*) as rows, {N_PARTS}::bigint as partitions, true as even from mapped")
 def even_partitions(spark, sf_dir):
-    spread = B.spread_evenly(sam_mapped(spark, sf_dir).select("qname"), N_PARTS)
+    spread = B.spread_evenly(mapped(spark, sf_dir).select("qname"), N_PARTS)
     sizes = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
     # A task deals its rows in turn, so two partitions differ by one row per task at most.
     return sizes.agg(
@@ -405,7 +411,7 @@ def even_partitions(spark, sf_dir):
 def coordinate_sorted(spark, sf_dir):
     """Written sorted, read back and numbered by coordinate."""
     path = scratch_path(spark, "sorted")
-    sinks.write_sorted_alignments(sam_mapped(spark, sf_dir), path, N_PARTS)
+    sinks.write_sorted_alignments(mapped(spark, sf_dir), path, N_PARTS)
     written = spark.read.parquet(path)
     return numbered(written, "ref_index", ["pos", "qname", "flag"]).select("ref_index", "n", "qname", "flag", "pos")
 

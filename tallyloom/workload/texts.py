@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import balance as B
 from tallyloom.operators.language_id import detect, train
 from tallyloom.operators.process import map_partitions, pipe_rows
-from tallyloom.workload.genomes import N_PARTS, PLAN_SQL, SAM, sam_mapped
+from tallyloom.workload.genomes import N_PARTS, PLAN_SQL, SAM, mapped
 from tallyloom.workload.registry import query, spread, table
 
 GRAMS = r"""
@@ -63,6 +63,6 @@ def _first_and_last(index, batches):
            arg_max(ref, (ref, pos)) as last_ref, arg_max(pos, (ref, pos)) as last_pos, true as ordered from x group by partition""",
 )
 def region_map(spark, sf_dir):
-    routed = B.balance(sam_mapped(spark, sf_dir), "ref_index", N_PARTS).select("ref_index", "pos")
+    routed = B.balance(mapped(spark, sf_dir), "ref_index", N_PARTS).select("ref_index", "pos")
     schema = "partition int, rows bigint, first_ref int, first_pos int, last_ref int, last_pos int, ordered boolean"
     return map_partitions(routed, ["ref_index", "pos"], _first_and_last, schema)
