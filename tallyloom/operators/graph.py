@@ -36,7 +36,7 @@ def people_counts(people: DataFrame) -> DataFrame:
     n = lambda cond: F.count(F.when(cond, 1))
     counts = people.agg(n(F.col("sex")).alias("males"), n(~F.col("sex")).alias("females"))
     total = F.col("males") + F.col("females")
-    share = lambda name: F.round(100.0 * F.col(name) / total, 1)
+    share = lambda name: F.round(F.try_divide(100.0 * F.col(name), total), 1)
     return counts.select(
         total.alias("people"),
         "males",
@@ -138,7 +138,7 @@ def distance_counts(reached: DataFrame, people: DataFrame, max_distance: int = M
 
 
 def distance_shares(counts: DataFrame, totals: DataFrame) -> DataFrame:
-    """Add the percent of all men and of all women to each distance row.
+    """Add the percent of all men and of all women to each distance row (NULL of none).
 
     ``totals`` is the single row of :func:`people_counts`.
     """
@@ -146,9 +146,9 @@ def distance_shares(counts: DataFrame, totals: DataFrame) -> DataFrame:
     return counts.select(
         "distance",
         "males",
-        F.round(100.0 * F.col("males") / of("males"), 1).alias("male_pct"),
+        F.round(F.try_divide(100.0 * F.col("males"), of("males")), 1).alias("male_pct"),
         "females",
-        F.round(100.0 * F.col("females") / of("females"), 1).alias("female_pct"),
+        F.round(F.try_divide(100.0 * F.col("females"), of("females")), 1).alias("female_pct"),
     )
 
 
@@ -157,7 +157,7 @@ def reach_totals(counts: DataFrame, totals: DataFrame) -> DataFrame:
     of = lambda name: totals.select(name).scalar()
     sums = counts.agg(F.sum("males").alias("males"), F.sum("females").alias("females"))
     everyone = F.col("males") + F.col("females")
-    ratio = lambda part, whole: F.round(part / whole, 6)
+    ratio = lambda part, whole: F.round(F.try_divide(part, whole), 6)
     return sums.select(
         everyone.alias("people"),
         ratio(everyone, of("people")).alias("ratio"),

@@ -13,10 +13,13 @@ from tallyloom.operators.numbering import numbered
 
 
 class Degrees(NamedTuple):
+    """Results of one run: totals, number of movies, counts per distance, last names."""
+
     totals: DataFrame
     movies: DataFrame
     counts: DataFrame
     names: DataFrame
+    last: int
 
 
 def degrees_of_separation(people: DataFrame, source: str, max_distance: int = graph.MAX_DISTANCE) -> Degrees:
@@ -32,6 +35,7 @@ def degrees_of_separation(people: DataFrame, source: str, max_distance: int = gr
         movies=edges.agg(F.countDistinct("movie").alias("movies")),
         counts=graph.distance_counts(reached, names, max_distance),
         names=names_at(reached, names, max_distance),
+        last=max_distance,
     )
 
 
@@ -46,6 +50,7 @@ def names_at(reached: DataFrame, people: DataFrame, distance: int) -> DataFrame:
 
 def report_lines(result: Degrees) -> DataFrame:
     """``part, n, line``: the report as ordered text lines."""
+    # The wording of the lines.
     t = result.totals
     movies = result.movies.select("movies").scalar()
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -69,7 +74,7 @@ def report_lines(result: Degrees) -> DataFrame:
     )
     reach = graph.reach_totals(result.counts, t)
     total = lambda n, label, count, ratio: reach.select(
-        *line(3, F.lit(n), text(f"Total number of {label} from distance 1 to 6 = ", col(count), ", ratio = ",
+        *line(3, F.lit(n), text(f"Total number of {label} from distance 1 to {result.last} = ", col(count), ", ratio = ",
                                 F.format_string("%.6f", col(ratio))))
     )
     named = lambda part, sex: result.names.where(col("sex") == sex).select(
@@ -83,9 +88,9 @@ def report_lines(result: Degrees) -> DataFrame:
         total(1, "actors", "people", "ratio"),
         total(2, "male actors", "males", "male_ratio"),
         total(3, "female actors (actresses)", "females", "female_ratio"),
-        title(4, "List of male actors at distance 6:"),
+        title(4, f"List of male actors at distance {result.last}:"),
         named(4, True),
-        title(5, "List of female actors (actresses) at distance 6:"),
+        title(5, f"List of female actors (actresses) at distance {result.last}:"),
         named(5, False),
     ]
     out = parts[0]

@@ -23,6 +23,7 @@ def parse_pagecounts(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     return split_rejects(parsed, F.col("views").isNotNull(), "value", on_error)
 
 
+# Fixed value: headings of the log.
 RETWEET_LOG_HEADER = (
     "Seconds,Language,Language-code,TotalRetweetsInThatLang,IDOfTweet,"
     "MaxRetweetCount,MinRetweetCount,RetweetCount,Text"

@@ -11,6 +11,7 @@ from tallyloom.functions.text import one_line
 from tallyloom.operators.ranking import retweets_in_span
 from tallyloom.session import scratch_path
 
+# Window, slide and batch interval of the log.
 WINDOW = "60 seconds"
 SLIDE = "5 seconds"
 BATCH_INTERVAL = "5 seconds"

@@ -50,6 +50,13 @@ def test_report(people, rows):
     assert text[3, 1] == "Total number of actors from distance 1 to 6 = 3, ratio = 0.500000"
 
 
+def test_shares_of_an_empty_list(people, spark, rows):
+    male = people[0].rows
+    totals = g.people_counts(male)
+    counts = g.distance_counts(spark.createDataFrame([("Both, Name", 1)], "actor string, distance int"), male, 1)
+    assert rows(g.distance_shares(counts, totals)) == [(1, 1, 33.3, 0, None)]
+
+
 def test_report_file(people, spark, tmp_path):
     everyone = g.all_people(*(p.rows for p in people))
     path = str(tmp_path / "report")
