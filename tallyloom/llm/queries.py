@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import mixing, sharding
+from tallyloom.llm import decontamination, mixing, personal_data, quality_classifier, quality_rules, sharding, simhash
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import query
 
@@ -41,3 +41,63 @@ from (select *, unnest(range(0, n_copies)) as copy from drawn)
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents repeated so that sources weigh as the square root of their bytes, shuffled globally."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+DECONTAMINATE_SQL = r"""
+with item_words as (
+  select coalesce(item_id::varchar, '') as item, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from benchmark
+), grams as (
+  select distinct item, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as gram
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from item_words where len(w) > 0)
+), doc_words as (
+  select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from documents
+), lengths as (
+  select distinct n from grams
+), windows as (
+  select r, i, n, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from doc_words, lengths where len(w) >= n)
+), hits as (
+  select r, i, n, item from windows join grams using (n, gram)
+), covered as (
+  select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + n)) as p from hits) group by r
+), items as (
+  select r, count(distinct item) as n_items, array_to_string(list_sort(list(distinct item)), ',') as found from hits group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(found, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join covered using (r) left join items using (r)
+"""
+
+
+@query("op4_decontaminate", DECONTAMINATE_SQL)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of all benchmark items in all documents."""
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+
+
+@query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints over three-word shingles differ in at most three bits."""
+    return simhash.components(table(spark, sf_dir, "documents"), distance=3, shingle=3)
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of all documents, learned from the labels outside of one checksum fold."""
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_rules")
+def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts, base verdict and isolation forest verdict of all documents."""
+    return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
