@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import mixing, sharding
+from tallyloom.llm import decontamination, mixing, quality_rules, sharding, simhash
 from tallyloom.session import materialize
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the rules or the isolation forest reject, its threshold set by the labels."""
+    return quality_rules.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group linked by fingerprints at most three bits apart."""
+    return simhash.keep_one(docs, distance=3, shingle=3)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold ten consecutive words of a benchmark item."""
+    return decontamination.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "documents", n=10)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents so that sources weigh as the square root of their bytes; shuffle globally."""
     return mixing.mix(docs).select(*docs.columns)
@@ -19,6 +34,9 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("decontamination", benchmark_passages),
     ("mixing", mix_sources),
     ("sharding", shards),
 ]

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontamination, mixing, personal_data, quality_classifier, quality_rules, sharding, simhash
+from tallyloom.llm import (
+    decontamination,
+    html_extraction,
+    language_model,
+    line_runs,
+    mixing,
+    personal_data,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+)
 from tallyloom.llm.common import table
 from tallyloom.llm.registry import query
 
@@ -101,3 +112,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts, base verdict and isolation forest verdict of all documents."""
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_main_text")
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_ppm")
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lengths of all documents, learned from those outside of one checksum fold."""
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_line_runs")
+def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later copies of line runs of at least fifty words."""
+    return line_runs.dedup(table(spark, sf_dir, "documents"), min_words=50)

@@ -1,0 +1,126 @@
+"""Plain Python versions of what the queries of this folder return."""
+
+import binascii
+import hashlib
+import html
+import re
+from collections import Counter
+
+import xxhash
+
+
+def lower(s):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), s)
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def pii(text):
+    text = text or ""
+    spans = []
+    for m in EMAIL.finditer(text):
+        spans.append((m.start(), 0, "email", m.end()))
+    for m in IP.finditer(text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            spans.append((m.start(), 1, "ip", m.end()))
+    for m in CARD.finditer(text):
+        d = re.sub("[ -]", "", m[0])
+        if 14 <= len(d) <= 19 and luhn(d):
+            spans.append((m.start(), 2, "card", m.end()))
+    for m in PHONE.finditer(text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            spans.append((m.start(), 3, "phone", m.end()))
+    spans.sort()
+    counts = Counter(s[2] for s in spans)
+    listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+    return tuple(counts[k] for k in ("email", "ip", "card", "phone")), hashlib.sha256(listed.encode()).hexdigest(), listed
+
+
+def rules(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    repeat = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i : i + 3])] > 1:
+            repeat.update((i, i + 1, i + 2))
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    n = len(words)
+    return n, sum(map(len, words)), symbols, dup, len(repeat), n < 50 or 100 * len(repeat) > 50 * n
+
+
+def fingerprint(text):
+    words = WORD.findall(lower(text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints):
+    """For (id, fingerprint) rows the smallest id reachable, over all pairs."""
+    parent = list(range(len(prints)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i][1] ^ prints[j][1]).bit_count() <= 3:
+                parent[root(i)] = root(j)
+    smallest = {}
+    for i, (doc, _) in enumerate(prints):
+        r = root(i)
+        smallest[r] = min(smallest.get(r, doc), doc)
+    return [smallest[root(i)] for i in range(len(prints))]
+
+
+def smallest_capacity(sizes, n):
+    def fits(c):
+        used, at = 1, 0
+        for s in sizes:
+            if s > c:
+                return False
+            if at + s > c:
+                used, at = used + 1, 0
+            at += s
+        return used <= n
+
+    low, high = max(sizes), sum(sizes)
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if fits(mid) else (mid + 1, high)
+    return low
+
+
+def remainder(doc_id, n):
+    return binascii.crc32(str(doc_id).encode()) % n
+
+
+def article(page):
+    """The text of the only article element, in the way the test tables write it."""
+    found = re.search("<article>(.*?)(</article>|$)", page, re.S)
+    parts = re.split("</?(?:p|h1|article)>", found[1].replace("<br>", " ")) if found else []
+    texts = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", "", p))).strip() for p in parts]
+    return "\n\n".join(t for t in texts if t)
