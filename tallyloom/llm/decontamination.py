@@ -9,7 +9,8 @@ benchmark takes an exact join instead: all token windows against all benchmark w
 Defined results: a null or wordless text has no words, no hits and no items; a null or
 wordless benchmark text gives no window; a null item id is written as the empty string;
 equal item ids are one item; repeated documents get a row each; empty tables give no
-rows or no hits; input columns named like an added column are replaced by it.
+rows or no hits; :func:`report` ignores other columns, :func:`remove` keeps all, also
+those named like a result.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import lower_ascii, row_ids
+from tallyloom.llm.common import UPPER, lower_ascii, row_ids
 from tallyloom.session import materialize
 
 #: Fixed value: what separates words, once A-Z are lower-cased.
@@ -33,6 +34,12 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def words_sql(text: str) -> str:
+    separators = SEPARATORS.replace("\\", "\\\\")
+    lower = f"translate(coalesce(`{text}`, ''), '{UPPER}', '{UPPER.lower()}')"
+    return f"filter(split({lower}, '{separators}'), x -> x <> '')"
+
+
 def benchmark_windows(benchmark: DataFrame, n: int, item_id: str, text: str) -> DataFrame:
     """``gram``, ``len`` and ``item``: each distinct window of each item."""
     words = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), words_of(F.col(text)).alias("w"))
@@ -97,10 +104,19 @@ def find(
     spark = docs.sparkSession
     windows = materialize(benchmark_windows(benchmark, n, item_id, item_text), "benchmark-windows")
     sets = read_sets(windows, max_set)
-    counted = row_ids(docs).withColumn("w", words_of(F.col(text)))
     if sets is not None:
-        found = counted.withColumn("spans", F.expr(hits_expr(sets, spark)))
-        return found.withColumn("n_words", F.size("w").cast("long")).drop("w"), windows
+        # A variable of a lambda holds the words: they are split once per row. A column of an
+        # earlier projection would not do, since a filter that the optimizer moves below it
+        # repeats the column's whole expression in every inner loop.
+        once = F.expr(
+            f"transform(array({words_sql(text)}), w -> named_struct('n_words', cast(size(w) as bigint),"
+            f" 'spans', {hits_expr(sets, spark)}))[0]"
+        )
+        found = row_ids(docs).withColumn("__found", once)
+        added = [F.col("__found.n_words"), F.col("__found.spans")]
+        kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "spans")]
+        return found.select(*kept, "__row", *added), windows
+    counted = row_ids(docs).withColumn("w", words_of(F.col(text)))
     lengths = [r["len"] for r in windows.select("len").distinct().collect()]
     every = " , ".join(
         f"if(size(w) >= {k}, transform(sequence(1, size(w) - {k - 1}), i -> named_struct('start', i, 'len', {k},"
@@ -114,7 +130,8 @@ def find(
         .groupBy("__of")
         .agg(F.collect_list(F.struct("start", "len", "gram")).alias("spans"))
     )
-    found = counted.withColumn("n_words", F.size("w").cast("long")).drop("w", "spans").join(hit, F.col("__row") == F.col("__of"), "left")
+    narrow = counted.withColumn("n_words", F.size("w").cast("long")).drop("w", "spans")
+    found = narrow.join(hit, F.col("__row") == F.col("__of"), "left")
     nothing = F.expr("cast(array() as array<struct<start: int, len: int, gram: string>>)")
     return found.withColumn("spans", F.coalesce("spans", nothing)).drop("__of"), windows
 
@@ -151,9 +168,11 @@ def remove(docs: DataFrame, benchmark: DataFrame, what: str = "documents", n: in
     Cutting leaves what separates the words. Documents without hits stay as they are.
     """
     text = options.get("text", "text")
-    found, _ = find(docs, benchmark, n, **options)
+    own = {c: f"__own_{c}" for c in docs.columns if c in ("n_words", "spans")}
+    found, _ = find(docs.withColumnsRenamed(own), benchmark, n, **options)
+    columns = [F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns]
     if what == "documents":
-        return found.where(F.size("spans") == 0).select(*docs.columns)
+        return found.where(F.size("spans") == 0).select(*columns)
     if what != "spans":
         raise ValueError(f"documents or spans, not {what}")
     original = F.col(f"`{text}`")
@@ -167,4 +186,4 @@ def remove(docs: DataFrame, benchmark: DataFrame, what: str = "documents", n: in
         "concat(__gaps[0], array_join(transform(__words, (x, i) -> concat("
         "if(array_contains(__covered, i + 1), '', x), __gaps[i + 1])), ''))"
     )
-    return covered.withColumn(text, F.when(F.size("spans") > 0, rebuilt).otherwise(original)).select(*docs.columns)
+    return covered.withColumn(text, F.when(F.size("spans") > 0, rebuilt).otherwise(original)).select(*columns)
