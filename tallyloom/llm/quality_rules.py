@@ -1,6 +1,6 @@
 """Quality rules: an isolation forest on rule statistics, its threshold set by labelled rows.
 
-Each document's counts are taken once. Trees are grown on a bounded sample (``n_trees``
+Each document's counts are taken once. Trees are grown on a bounded sample (of ``n_trees``
 times ``sample`` rows, those with the smallest hashes), as the method asks; every
 document's path lengths are then averaged over all trees. The threshold is the score
 that separates labelled rows best while at most ``clean_loss`` of the good ones are lost;
@@ -112,13 +112,13 @@ class Forest:
 
 
 def fit(sample: pd.DataFrame, n_trees: int, size: int, seed: int) -> Forest:
-    """Deal the sample's rows out to the trees in turn."""
+    """Each tree grows on ``size`` rows of the sample, drawn anew."""
     x = rates(sample)
-    n_trees = min(n_trees, len(x))
+    size = min(size, len(x))
     height = int(np.ceil(np.log2(max(size, 2))))
     rng = np.random.default_rng(seed)
-    trees = [grow(x[i::n_trees], rng, height) for i in range(n_trees)]
-    return Forest(trees, min(size, -(-len(x) // max(n_trees, 1))))
+    trees = [grow(x[rng.choice(len(x), size, replace=False)], rng, height) for _ in range(n_trees if size else 0)]
+    return Forest(trees, size)
 
 
 def best_threshold(tally: list[tuple[int, int, int]], clean_loss: float) -> float:
@@ -166,9 +166,13 @@ def judge(
         ).select("__row", "__id", *[F.col(f"`{c}`") for c in carried], "__counts.*"),
         "rule-counts",
     )
-    # A bounded sample, chosen among all rows by hash.
-    rows = counted.select(*FIELDS, F.xxhash64("__row", F.lit(seed)).alias("__h")).orderBy("__h", *FIELDS)
-    forest = fit(rows.limit(n_trees * sample).toPandas(), n_trees, sample, seed)
+    # A bounded sample, chosen among all rows by hash. The cut keeps twice as many as are
+    # wanted, so that tasks don't each send as many as all together should.
+    wanted = n_trees * sample
+    cut = 2 * wanted / max(counted.count(), 1)
+    hashed = counted.select(*FIELDS, F.xxhash64("__row", F.lit(seed)).alias("__h"))
+    chosen = hashed.where(F.col("__h") < F.lit(int(min(cut, 1.0) * 2**64) - 2**63)) if cut < 1 else hashed
+    forest = fit(chosen.orderBy("__h", *FIELDS).limit(wanted).toPandas(), n_trees, sample, seed)
 
     @F.pandas_udf("double")
     def anomaly(x: pd.DataFrame) -> pd.Series:

@@ -64,7 +64,7 @@ def fingerprints(text: Column, shingle: int = 3) -> Column:
 
 def segments(distance: int) -> list[tuple[int, int]]:
     """(shift, width) of segments, few enough that one of them differs by at most one bit."""
-    n = distance // 2 + 1
+    n = max(2, distance // 2 + 1)
     edges = [BITS * i // n for i in range(n + 1)]
     return list(zip(edges, (b - a for a, b in zip(edges, edges[1:], strict=False)), strict=False))
 
@@ -74,10 +74,10 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     parts = segments(distance)
     filed, probed = [], []
     for i, (shift, width) in enumerate(parts):
-        value = f"(shiftrightunsigned(fp, {shift}) & {(1 << width) - 1}L)" if width < BITS else "fp"
+        value = f"(shiftrightunsigned(fp, {shift}) & {(1 << width) - 1}L)"
         filed.append(f"named_struct('part', {i}, 'value', {value})")
         ball = f"array(named_struct('part', {i}, 'value', {value}, 'flips', 0))"
-        if distance > 0 and width < BITS:
+        if distance >= len(parts):
             ball = (
                 f"concat({ball}, transform(filter(sequence(0, {width - 1}), b -> {value} & shiftleft(1L, b) = 0),"
                 f" b -> named_struct('part', {i}, 'value', {value} | shiftleft(1L, b), 'flips', 1)))"

@@ -140,12 +140,12 @@ def test_personal_data_positions(spark):
 
 def test_personal_data_of_the_method(spark):
     good, bad = "my iban DE89370400440532013000.", "my iban DE89370400440532013001."
-    df = spark.createDataFrame([(1, good), (2, bad), (3, "mail a@b.c, a@b.c now"), (4, None)], "doc_id long, text string")
+    df = spark.createDataFrame([(1, good), (2, bad), (3, "email a@b.c, a@b.c now"), (4, None)], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in personal_data.report(df).collect()}
     assert rows[1]["spans"] == "iban:8:30" and rows[1]["scores"] == "0.9" and rows[2]["spans"] == ""
     assert rows[3]["scores"] == "1.0,1.0"
     redacted = {r["doc_id"]: r["text"] for r in personal_data.redact(df).collect()}
-    assert redacted == {1: "my iban [IBAN].", 2: bad, 3: "mail [EMAIL], [EMAIL] now", 4: None}
+    assert redacted == {1: "my iban [IBAN].", 2: bad, 3: "email [EMAIL], [EMAIL] now", 4: None}
 
 
 def test_personal_data_of_odd_rows(spark, odd):
