@@ -31,7 +31,10 @@ MIN_WORDS = 50
 
 
 def rates(x: pd.DataFrame) -> np.ndarray:
-    """Statistics of the rules, none of which grows with the length of the text."""
+    """Statistics of the rules, none of which grows with the length of the text.
+
+    Repeated words have a rule of their own, and digits are no fault.
+    """
     chars = np.maximum(x["word_chars"].to_numpy(float), 1)
     words = np.maximum(x["n_words"].to_numpy(float), 1)
     lines = np.maximum(x["n_lines"].to_numpy(float), 1)
@@ -39,10 +42,8 @@ def rates(x: pd.DataFrame) -> np.ndarray:
         [
             x["n_symbols"] / words,
             x["n_upper"] / chars,
-            x["n_digits"] / chars,
             x["n_exclaims"] / words,
             x["n_dup_lines"] / lines,
-            x["n_repeat_words"] / words,
             x["n_pipes"] / words,
             x["word_chars"] / words,
         ]
