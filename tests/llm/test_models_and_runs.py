@@ -113,11 +113,11 @@ def test_trie_equals_slow_version(spark, share):
     for t in [b"abc de", b"", b"zzz", b"aaaa", "é".encode()]:
         s = [256] * 3 + list(t) + [256]
         want = sum(math.log(slow(s[i - 3 : i], s[i])) for i in range(3, len(s)))
-        assert abs(trie.score([b"x", t, b"abc"])[1] - want) < 1e-9
+        assert abs(trie.score([b"x", t, b"abc"])[1] - want) < 1e-4
     contexts = [[256, 97, 98], [97, 98, 99], [120, 121, 122], [256, 256, 256]]
     for c in contexts:
         codes = np.array([c[2] << 27 | c[1] << 18 | c[0] << 9 | s for s in range(257)])
-        assert abs(np.exp(trie.log_probabilities(codes)).sum() - 1) < 1e-9
+        assert abs(np.exp(trie.log_probabilities(codes)).sum() - 1) < 1e-4
 
 
 def test_language_model_of_the_table(spark):
