@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,8 +15,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Do not aggregate or window on the few partitions of an earlier, coarser shuffle.
-    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (
@@ -35,17 +34,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
-    Taken from ``spark.checkpoint.dir``. Only a local-mode session may fall back
-    to a folder of its own, because there every executor sees the same disk.
+    Taken from ``spark.checkpoint.dir``, else a folder below the warehouse.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
-    return sc.getCheckpointDir().rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -61,4 +53,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    for held in _HELD:
+        held.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Lists of written tables, one for each :func:`scratch_tables` under way.
+_HELD: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def scratch_tables() -> Iterator[None]:
+    """Drop at the end whatever :func:`materialize` writes meanwhile.
+
+    For jobs that write their result before they leave the block; a frame that is still
+    read later must not be made inside.
+    """
+    held: list[tuple[SparkSession, str]] = []
+    _HELD.append(held)
+    try:
+        yield
+    finally:
+        _HELD.remove(held)
+        for spark, path in held:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -54,10 +55,13 @@ def session(cpus="8"):
 
     from tallyloom.session import configure
 
+    # A local session is its own only executor, so its folder may be a temporary one.
+    scratch = tempfile.mkdtemp(prefix="tests-")
     spark = (
         configure(SparkSession.builder.master(f"local[{cpus}]"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -18,15 +18,30 @@ def test_greedy_plan(spark, rows):
     assert rows(B.partition_loads(B.balance(df, "g", 2))) == [(0, 60, 1, 0), (1, 60, 1, 1)]
 
 
-def test_groups_beyond_the_plan_are_hashed(spark, rows):
-    df = groups(spark, {k: 5 + k for k in range(30)})
-    plan = B.plan_partitions(B.group_sizes(df, "g"), "g", 4, max_planned=3)
+def test_many_small_groups_are_even(spark, rows):
+    """Far more groups than units, one of them large; every row is planned."""
+    df = groups(spark, {k: 3 for k in range(4000)} | {5000: 900})
+    plan = B.plan_partitions(B.group_sizes(df, "g"), "g", 4)
     placed = dict(rows(plan, "g", "partition"))
-    assert len(placed) == 30 and set(placed.values()) <= {0, 1, 2, 3}
-    assert [placed[k] for k in (29, 28, 27)] == [0, 1, 2]
-    routed = B.route(df, B.group_sizes(df, "g"), "g", 4, max_planned=3)
+    assert len(placed) == 4001 and placed[5000] == 0
+    loads = [r[1] for r in rows(B.partition_loads(B.balance(df, "g", 4)))]
+    assert sum(loads) == 12_900 and max(loads) - min(loads) < 0.01 * 12_900
+    routed = B.balance(df, "g", 4)
     assert dict(rows(routed.select("g", "partition").distinct())) == placed
-    assert routed.count() == df.count()
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_null_keys_go_where_they_are_planned(spark, spread):
+    df = spark.createDataFrame([(None if i % 3 else i % 5, i) for i in range(300)], "g int, i int")
+    routed = B.balance(df, "g", 3, F.col("i") if spread else None)
+    tasks = routed.select("partition", F.spark_partition_id().alias("t")).distinct().collect()
+    assert all(r["partition"] == r["t"] for r in tasks) and routed.count() == 300
+    nulls = routed.where("g is null").select("partition").distinct().count()
+    assert nulls > 1 if spread else nulls == 1
+
+
+def test_no_rows(spark):
+    assert B.balance(groups(spark, {}), "g", 3).count() == 0
 
 
 def test_heavy_group_is_sliced(spark, rows):
