@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -10,26 +9,20 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
 
-#: A model with more languages than ISO 639-1 has codes is refused.
-MAX_LANGUAGES = 200
-#: Weights up to this size are sent to every task; larger ones are joined by shuffle.
-BROADCAST_BYTES = 64 << 20
+#: Mean weight per trigram below which the script decides.
+FLOOR = -9.0
 
 
 class LanguageModel(NamedTuple):
-    """Trained weights.
+    """Trained weights, as written tables; the planner knows their size.
 
-    ``weights`` has one row per trigram and a column per language, ``base`` holds the
-    weight of a trigram that a language never showed, ``rows`` counts the trigrams.
+    ``lifts`` has one row per trigram with a list of ``lang`` and ``lift``, what the trigram
+    adds to a language that showed it; ``bases`` has one row per language with the weight
+    of a trigram that it never showed.
     """
 
-    languages: list[str]
-    weights: DataFrame
-    base: list[float]
-    rows: int
-
-    def is_small(self) -> bool:
-        return self.rows * (64 + 8 * len(self.languages)) <= BROADCAST_BYTES
+    lifts: DataFrame
+    bases: DataFrame
 
 
 def with_words(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -55,62 +48,55 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Langua
     """Add-one trigram weights per language of labelled texts.
 
     Words are counted per language before they are cut, so the cutting is done once
-    per word. The driver receives one row per language, at most ``MAX_LANGUAGES``.
+    per word.
     """
-    words = with_words(labelled.select(lang, text), text).where("word is not null")
-    words = words.groupBy(lang, "word").agg(F.count("*").alias("n"))
-    counts = materialize(with_trigrams(words).groupBy(lang, "gram").agg(F.sum("n").alias("n")), "trigrams")
-    sizes = counts.groupBy(lang).agg(F.sum("n").alias("total")).orderBy(lang).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    words = with_words(labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"))).where("word is not null")
+    words = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counts = materialize(with_trigrams(words).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     vocabulary = counts.select("gram").distinct().count()
-    languages = [r[lang] for r in sizes]
-    totals = [float(r["total"] + vocabulary) for r in sizes]
-
-    def weight(name, total):
-        seen = F.coalesce(F.sum(F.when(F.col(lang) == name, F.col("n"))), F.lit(0))
-        return F.log((seen + 1) / F.lit(total))
-
-    weights = counts.groupBy("gram").agg(
-        *[weight(name, total).alias(f"w{i}") for i, (name, total) in enumerate(zip(languages, totals, strict=True))]
-    )
-    return LanguageModel(languages, materialize(weights, "weights"), [-math.log(t) for t in totals], vocabulary)
+    bases = counts.groupBy("lang").agg((-F.log(F.sum("n") + vocabulary)).alias("base"))
+    lifts = counts.groupBy("gram").agg(F.collect_list(F.struct("lang", F.log(F.col("n") + 1).alias("lift"))).alias("lifts"))
+    return LanguageModel(materialize(lifts, "lifts"), materialize(bases, "bases"))
 
 
-def detect(texts: DataFrame, model: LanguageModel, key: str, text: str = "text", floor: float | None = None) -> DataFrame:
+def detect(
+    texts: DataFrame, model: LanguageModel, key: str, text: str = "text", floor: float | None = FLOOR
+) -> DataFrame:
     """``key, detected, mean_weight``: the language with the highest summed weight.
 
-    Texts without letters get NULL. Where the best mean weight per trigram is below
-    ``floor``, text with Hiragana becomes ``ja`` and text with Hangul ``ko``.
+    Where the best mean weight per trigram is below ``floor``, text with Hiragana becomes
+    ``ja`` and text with Hangul ``ko``; other texts without letters get NULL.
 
-    With small weights each task looks its trigrams up and folds a text into one
-    row before the only shuffle. Otherwise equal trigrams of a text are counted
-    first and the weights are joined by shuffle.
+    A language's score is its base times the trigrams plus the lifts of those it showed, so
+    a text meets only languages that share a trigram with it, and the one of highest base.
     """
     script = F.when(F.col(text).rlike(r"\p{InHiragana}"), "ja").when(F.col(text).rlike(r"\p{IsHangul}"), "ko")
-    grams = with_trigrams(with_words(texts.select(key, text, script.alias("script")), text))
-    if model.is_small():
-        met = grams.withColumn("n", F.lit(1)).join(F.broadcast(model.weights), "gram", "left")
-    else:
-        counted = grams.groupBy(key, "script", "gram").agg(F.count("*").alias("n"))
-        met = counted.join(model.weights.hint("merge"), "gram", "left")
-    met = met.withColumn("n", F.when(F.col("gram").isNotNull(), F.col("n")))
-    scored = met.groupBy(key).agg(
-        F.max("script").alias("script"),
-        F.sum("n").alias("grams"),
-        *[
-            F.sum(F.col("n") * F.coalesce(F.col(f"w{i}"), F.lit(b))).alias(f"s{i}")
-            for i, b in enumerate(model.base)
-        ],
+    grams = with_trigrams(with_words(texts.select(F.col(key).alias("_key"), text, script.alias("script")), text))
+    met = grams.join(model.lifts, "gram", "left").select("_key", "script", "gram", F.posexplode_outer("lifts").alias("i", "l"))
+    once = F.col("gram").isNotNull() & (F.coalesce("i", F.lit(0)) == 0)
+    per_language = met.groupBy("_key", F.col("l.lang").alias("lang")).agg(
+        F.max("script").alias("script"), F.count_if(once).alias("grams"), F.sum("l.lift").alias("lift")
+    )
+    scored = (
+        per_language.join(model.bases, "lang", "left")
+        .groupBy("_key")
+        .agg(
+            F.max("script").alias("script"),
+            F.sum("grams").alias("grams"),
+            F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "base", "lift"))).alias("found"),
+        )
     )
-    ranked = F.array(
-        *[F.struct(F.col(f"s{i}").alias("s"), F.lit(name).alias("name")) for i, name in enumerate(model.languages)]
+    top = model.bases.agg(F.max_by("lang", F.struct("base", "lang")).alias("lang"), F.max("base").alias("base")).first()
+    fallback = F.struct(
+        F.lit(top["lang"]).alias("lang"), F.lit(top["base"]).cast("double").alias("base"), F.lit(0.0).alias("lift")
     )
-    mean = F.col("best.s") / F.col("grams")
-    found = F.when(F.col("grams").isNotNull(), F.col("best.name"))
+    score = lambda f: F.struct((f["lift"] + f["base"] * F.col("grams")).alias("s"), f["lang"].alias("name"))
+    best = F.array_max(F.transform(F.concat("found", F.array(fallback)), score))
+    scored = scored.withColumn("best", best)
+    some = F.col("grams") > 0
+    mean = F.when(some, F.col("best.s") / F.col("grams"))
+    found = F.when(some, F.col("best.name"))
     if floor is not None:
         unsure = mean.isNull() | (mean < floor)
         found = F.when(unsure, F.coalesce("script", found)).otherwise(found)
-    return scored.withColumn("best", F.array_max(ranked)).select(
-        key, found.alias("detected"), mean.alias("mean_weight")
-    )
+    return scored.select(F.col("_key").alias(key), found.alias("detected"), mean.alias("mean_weight"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import materialize
+
 
 def top_pages(pages: DataFrame) -> DataFrame:
     """Per language: all views, and the title and views of its largest line.
@@ -57,13 +59,14 @@ def totals_by_language(tweets: DataFrame) -> DataFrame:
 def retweet_ranking(tweets: DataFrame) -> DataFrame:
     """Tweets retweeted more than once, with the total of their language.
 
-    The totals are taken before the filter. The join has no hint: the totals are
-    broadcast when they measure small, else a language that holds much of the
-    data is split by the adaptive sort-merge join.
+    Tweets are written once, as the totals are taken before the filter, and so are the
+    totals: small ones are broadcast, else a language that holds much of the data is
+    split by the adaptive sort-merge join.
     """
+    tweets = materialize(tweets, "tweets")
     return (
         tweets.where(F.col("max_rt") > F.col("min_rt"))
-        .join(totals_by_language(tweets), "language")
+        .join(materialize(totals_by_language(tweets), "totals"), "language")
         .select(
             "language",
             "lang_code",

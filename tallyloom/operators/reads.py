@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
+from tallyloom.session import materialize
 
 # Read-group fields attached when none are given.
 READ_GROUP = {
@@ -18,18 +19,17 @@ READ_GROUP = {
 
 
 def clean_alignments(reads: DataFrame) -> DataFrame:
-    """Trim ends past the sequence, and set the mapping quality of unmapped reads to 0.
+    """Clip what lies past the sequence's end, and set the mapping quality of unmapped reads to 0.
 
-    Expects ``ref_length``; adds ``past_end``.
+    Expects ``cigar`` and ``ref_length``; adds ``past_end``. The bases past the end become
+    a soft clip, so that nothing counts them later, and the end follows the operations.
     """
     past = F.coalesce(F.col("aln_end") > F.col("ref_length"), F.lit(False))
-    return reads.withColumns(
-        {
-            "past_end": past,
-            "aln_end": F.when(past, F.col("ref_length")).otherwise(F.col("aln_end")),
-            "mapq": F.when(G.has_flag(F.col("flag"), G.UNMAPPED), 0).otherwise(F.col("mapq")),
-        }
-    )
+    room = F.col("ref_length") - F.col("pos") + 1
+    clipped = F.when(past, G.clip_past(F.col("cigar"), room)).otherwise(F.col("cigar"))
+    end = F.when(F.col("past_end"), G.alignment_end(F.col("pos"), F.col("cigar"))).otherwise(F.col("aln_end"))
+    quality = F.when(G.has_flag(F.col("flag"), G.UNMAPPED), 0).otherwise(F.col("mapq"))
+    return reads.withColumns({"past_end": past, "cigar": clipped, "mapq": quality}).withColumn("aln_end", end)
 
 
 def with_read_group(reads: DataFrame, **fields: str) -> DataFrame:
@@ -44,47 +44,61 @@ def sample_encoding(reads: DataFrame, sample: str = "sample") -> DataFrame:
 
 
 def fix_qualities(reads: DataFrame, encodings: DataFrame, sample: str = "sample") -> DataFrame:
-    """Shift the qualities of Illumina samples; ``bad_quality`` marks negative results."""
+    """Shift the qualities of Illumina samples; ``bad_quality`` marks negative results.
+
+    The encodings, a row per sample, are written first: knowing their size the planner
+    leaves the reads where they are.
+    """
+    encodings = materialize(encodings.select(sample, "encoding"), "encodings")
     fixed = F.when(F.col("encoding") == "ILLUMINA", G.shift_illumina(F.col("quals"))).otherwise(F.col("quals"))
     return (
-        reads.join(encodings.select(sample, "encoding"), sample, "left")
+        reads.join(encodings, sample, "left")
         .withColumn("quals", fixed)
         .withColumn("bad_quality", F.coalesce(G.has_negative(F.col("quals")), F.lit(False)))
     )
 
 
-def mark_duplicates(reads: DataFrame, read_id: list[str]) -> DataFrame:
-    """Set the duplicate bit on all but the best read of each fragment.
+def mark_duplicates(reads: DataFrame) -> DataFrame:
+    """Set the duplicate bit on all mapped reads but those of the best template of each fragment.
 
-    A fragment is library, sequence, unclipped 5' end, strand and mate position.
-    The best read has the highest sum of qualities, then the greatest ``read_id``.
-    The winners come from a partially aggregated maximum and go back by the unique
-    ``read_id``, so a fragment with very many copies never meets in one task.
+    A template is the primary mapped reads of one name in a library: a pair, or one read.
+    Templates are copies if their unclipped 5' ends (sequence, place and strand of both
+    mates) agree. The best has the highest sum of qualities, then the greatest name, and
+    its mates share its verdict. Secondary and supplementary lines are left alone. Each
+    read comes back once, whatever its name: names are folded to a row per template, and
+    the winners, partially aggregated maxima, are joined by library and name.
     """
-    unmapped = G.has_flag(F.col("flag"), G.UNMAPPED)
+    flag = F.col("flag")
+    contends = ~(G.has_flag(flag, G.UNMAPPED | G.SECONDARY | G.SUPPLEMENTARY))
+    second = G.has_flag(flag, G.SECOND_IN_PAIR)
     total = F.aggregate(F.coalesce("quals", F.array().cast("array<int>")), F.lit(0), lambda a, q: a + q)
-    mapped = reads.where(~unmapped).select(
-        *read_id,
-        "library",
+    end = F.struct(
         "rname",
-        G.unclipped_five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), F.col("flag")).alias("five_prime"),
-        G.has_flag(F.col("flag"), G.REVERSE).alias("reverse"),
-        "rnext",
-        "pnext",
-        F.struct(total.alias("score"), *read_id).alias("rank"),
+        G.unclipped_five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), flag).alias("five_prime"),
+        G.has_flag(flag, G.REVERSE).alias("reverse"),
+    )
+    templates = (
+        reads.where(contends)
+        .select("library", "qname", second.alias("second"), end.alias("at"), total.cast("long").alias("score"))
+        .groupBy("library", "qname")
+        .agg(
+            F.min(F.when(~F.col("second"), F.col("at"))).alias("first"),
+            F.min(F.when(F.col("second"), F.col("at"))).alias("last"),
+            F.sum("score").alias("score"),
+        )
     )
     best = (
-        mapped.groupBy("library", "rname", "five_prime", "reverse", "rnext", "pnext")
-        .agg(F.max("rank").alias("best"))
-        .select(*[F.col(f"best.{c}").alias(c) for c in read_id], F.lit(True).alias("kept"))
+        templates.groupBy("library", F.array_sort(F.array_compact(F.array("first", "last"))).alias("ends"))
+        .agg(F.max(F.struct("score", "qname")).alias("best"))
+        .select(F.col("library").alias("_library"), F.col("best.qname").alias("_qname"), F.lit(True).alias("_kept"))
     )
-    duplicate = ~unmapped & F.col("kept").isNull()
-    flag = F.col("flag")
     cleared = flag.bitwiseAND(F.lit(~G.DUPLICATE))
+    marked = F.when(F.col("_kept"), cleared).otherwise(cleared.bitwiseOR(F.lit(G.DUPLICATE)))
+    same = F.col("library").eqNullSafe(F.col("_library")) & F.col("qname").eqNullSafe(F.col("_qname"))
     return (
-        reads.join(best, read_id, "left")
-        .withColumn("flag", F.when(duplicate, cleared.bitwiseOR(F.lit(G.DUPLICATE))).otherwise(cleared))
-        .drop("kept")
+        reads.join(best, same, "left")
+        .withColumn("flag", F.when(contends, marked).otherwise(flag))
+        .drop("_library", "_qname", "_kept")
     )
 
 
@@ -107,31 +121,24 @@ TILE = 1 << 12
 
 def aligned_bases(reads: DataFrame) -> DataFrame:
     """``rname, position, base, quality``: one row per base aligned by M, = or X."""
-    ops = F.arrays_zip(
-        F.regexp_extract_all("cigar", F.lit(r"([0-9]+)([MIDNSHP=X])"), 1).cast("array<int>").alias("len"),
-        F.regexp_extract_all("cigar", F.lit(r"([0-9]+)([MIDNSHP=X])"), 2).alias("op"),
+    start = F.struct(
+        F.lit(0).alias("read_at"),
+        F.lit(0).alias("ref_at"),
+        F.array().cast("array<struct<read_at: int, ref_at: int, len: int>>").alias("blocks"),
     )
 
-    def consumed(kinds):
-        def before(i):
-            steps = F.filter(F.slice("ops", 1, i), lambda o: o["op"].isin(*kinds))
-            return F.aggregate(steps, F.lit(0), lambda total, o: total + o["len"])
-        return before
-
-    read_before, ref_before = consumed("MIS=X"), consumed("MDN=X")
-    blocks = F.transform(
-        "ops",
-        lambda o, i: F.struct(
-            o["op"].alias("op"),
-            o["len"].alias("len"),
-            read_before(i).alias("read_at"),
-            ref_before(i).alias("ref_at"),
-        ),
-    )
+    def step(a, o):
+        block = F.struct(a["read_at"].alias("read_at"), a["ref_at"].alias("ref_at"), o["len"].alias("len"))
+        used = lambda kinds: F.when(o["op"].isin(*kinds), o["len"]).otherwise(0)
+        return F.struct(
+            (a["read_at"] + used("MIS=X")).alias("read_at"),
+            (a["ref_at"] + used("MDN=X")).alias("ref_at"),
+            F.when(o["op"].isin(*"M=X"), F.concat(a["blocks"], F.array(block))).otherwise(a["blocks"]).alias("blocks"),
+        )
+
+    blocks = F.aggregate(G.cigar_steps(F.col("cigar")), start, step, lambda a: a["blocks"])
     return (
-        reads.select("rname", "pos", "seq", "quals", ops.alias("ops"))
-        .select("rname", "pos", "seq", "quals", F.explode(blocks).alias("b"))
-        .where(F.col("b.op").isin("M", "=", "X"))
+        reads.select("rname", "pos", "seq", "quals", F.explode(blocks).alias("b"))
         .select(
             "rname",
             (F.col("pos") + F.col("b.ref_at")).alias("at"),

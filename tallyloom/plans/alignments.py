@@ -12,6 +12,7 @@ from tallyloom.operators import intervals
 from tallyloom.operators import reads as R
 from tallyloom.session import materialize
 from tallyloom.sources.alignments import mapped_reads, parse_sam, with_reference
+from tallyloom.sources.lines import Parsed
 
 
 def prepare(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -21,9 +22,10 @@ def prepare(parsed: DataFrame, dictionary: DataFrame) -> DataFrame:
     return R.with_read_group(reads)
 
 
-def usable_reads(lines: DataFrame, dictionary: DataFrame, on_error: str = "drop") -> DataFrame:
-    """:func:`prepare` of alignment lines."""
-    return prepare(parse_sam(lines, on_error).rows, dictionary)
+def usable_reads(lines: DataFrame, dictionary: DataFrame, on_error: str = "quarantine") -> Parsed:
+    """:func:`prepare` of alignment lines, and the lines that are none."""
+    parsed = parse_sam(lines, on_error)
+    return Parsed(prepare(parsed.rows, dictionary), parsed.rejects)
 
 
 def regions_of(reads: DataFrame, gap: int = intervals.REGION_GAP) -> DataFrame:
@@ -43,7 +45,7 @@ class CallInput(NamedTuple):
 def call_input(reads: DataFrame, targets: DataFrame, min_mean_quality: float = 30.0) -> CallInput:
     """Written reads, so that the lines are parsed once for all three results."""
     reads = materialize(reads, "reads")
-    marked = R.mark_duplicates(reads, ["qname", "flag"])
+    marked = R.mark_duplicates(reads)
     unique = marked.where(~G.has_flag(F.col("flag"), G.DUPLICATE))
     return CallInput(
         marked,

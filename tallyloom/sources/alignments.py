@@ -11,9 +11,6 @@ from tallyloom.session import materialize
 from tallyloom.sources.lines import Parsed, number_lines, split_rejects, with_fields
 
 
-#: Dictionaries up to this number of sequences are sent to every task.
-MAX_SEQUENCES = 100_000
-
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """``ref_index, name, length``: the first line is a header, order is the index.
@@ -56,7 +53,7 @@ def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
         F.slice(fields, 12, F.greatest(F.size(fields) - 11, F.lit(0))).alias("tags"),
     )
     parsed = parsed.withColumn("aln_end", G.alignment_end(F.col("pos"), F.col("cigar")))
-    valid = (F.size("tags") >= 0) & F.col("qual").isNotNull()
+    valid = F.col("qual").isNotNull()
     for name in ("flag", "pos", "mapq", "pnext", "tlen"):
         valid = valid & F.col(name).isNotNull()
     return split_rejects(parsed, valid, "value", on_error)
@@ -65,14 +62,12 @@ def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
 def with_reference(reads: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``ref_index`` and ``ref_length`` by sequence name (NULL if unknown).
 
-    A dictionary of up to ``MAX_SEQUENCES`` rows is counted and broadcast; the reads
-    of a long one are joined by shuffle, where adaptive execution splits hot names.
+    A written dictionary (:func:`read_dictionary`) tells its size: the planner sends a
+    small one to every task and joins a long one by shuffle, where hot names are split.
     """
     dims = dictionary.select(
         F.col("name").alias("rname"), "ref_index", F.col("length").alias("ref_length")
     )
-    if dims.limit(MAX_SEQUENCES + 1).count() <= MAX_SEQUENCES:
-        dims = F.broadcast(dims)
     return reads.join(dims, "rname", "left")
 
 
@@ -92,13 +87,14 @@ def bed_header(lines: DataFrame) -> DataFrame:
 
 
 def parse_bed(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
-    """``chrom, start, end`` as one-based inclusive ranges."""
+    """``chrom, start, end`` as one-based inclusive ranges, and the fields after them in ``rest``."""
     fields = F.split("value", "\t")
     parsed = lines.where(~F.col("value").rlike(_BED_HEADER) & (F.col("value") != "")).select(
         "value",
         F.get(fields, 0).alias("chrom"),
         (F.get(fields, 1).try_cast("int") + 1).alias("start"),
         F.get(fields, 2).try_cast("int").alias("end"),
+        F.slice(fields, 4, F.greatest(F.size(fields) - 3, F.lit(0))).alias("rest"),
     )
     valid = F.col("start").isNotNull() & F.col("end").isNotNull()
     return split_rejects(parsed, valid, "value", on_error)

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
 
 
-#: Block offsets up to this number of rows are sent to every task.
-MAX_BLOCKS = 200_000
-
 
 class Parsed(NamedTuple):
     """Rows that parsed, and the source lines that did not."""
@@ -51,14 +48,19 @@ def with_fields(lines: DataFrame, separator: str, limit: int = -1) -> DataFrame:
     return lines.select("value", F.explode(F.array(F.split("value", separator, limit))).alias("fields"))
 
 
+def _path_hash(file: str) -> Column:
+    return F.unhex(F.md5(file)).alias("path")
+
+
 def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``pos, value``: zero-based line number over all files, in path order.
 
     Pass one counts lines per input block; its result has one row per block and is
-    written. Pass two adds the block's offset to the row's place inside the block;
-    up to ``MAX_BLOCKS`` offsets are broadcast, more are joined by shuffle. Should
-    the blocks differ between the passes, the job stops instead of numbering
-    wrongly; pin ``spark.sql.files.minPartitionNum`` where executors come and go.
+    written. Pass two adds the block's offset to the row's place inside the block. The
+    offsets are written too and carry a hash for the path, so they stay narrow and the
+    planner knows their size. Should the blocks differ between the passes, the job stops
+    instead of numbering wrongly; pin ``spark.sql.files.minPartitionNum`` where executors
+    come and go.
     """
     raw = read_lines(spark, path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -70,25 +72,30 @@ def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         raw.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("n")),
         "blocks",
     )
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per file here, one row per block of a file below: both are counts
-    # of input splits, never of lines.
-    files = (
-        blocks.groupBy("file")
-        .agg(F.sum("n").alias("lines"))
-        .select("file", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("file_offset"))
+    # Files are numbered in two levels: within slices of the path order, then over the
+    # slices, so no task sees a row per file.
+    files = blocks.groupBy("file").agg(F.sum("n").alias("lines"))
+    sliced = materialize(
+        files.repartitionByRange("file").select("*", F.spark_partition_id().alias("slice")), "files"
+    )
+    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
+    offset = lambda column, window: F.coalesce(F.sum(column).over(before(window)), F.lit(0))
+    slices = sliced.groupBy("slice").agg(F.sum("lines").alias("lines"))
+    slices = slices.select("slice", offset("lines", Window.orderBy("slice")).alias("slice_offset"))
+    file_offsets = sliced.join(slices, "slice").select(
+        "file",
+        (F.col("slice_offset") + offset("lines", Window.partitionBy("slice").orderBy("file"))).alias("file_offset"),
     )
-    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocks.withColumn("block_offset", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
-        .join(files, "file")
-        .select("file", "block", "first", "n", (F.col("file_offset") + F.col("block_offset")).alias("offset"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    offsets = materialize(
+        blocks.withColumn("block_offset", offset("n", in_file))
+        .join(file_offsets, "file")
+        .select(_path_hash("file"), "block", "first", "n", (F.col("file_offset") + F.col("block_offset")).alias("offset")),
+        "block-offsets",
     )
-    if blocks.count() <= MAX_BLOCKS:
-        offsets = F.broadcast(offsets)
     in_block = F.col("row") - F.col("first")
     moved = F.col("offset").isNull() | (in_block < 0) | (in_block >= F.col("n"))
     stop = F.raise_error(F.lit("input blocks changed between passes")).cast("bigint")
-    return raw.join(offsets, ["file", "block"], "left").select(
+    return raw.withColumn("path", _path_hash("file")).join(offsets, ["path", "block"], "left").select(
         F.when(moved, stop).otherwise(F.col("offset") + in_block).alias("pos"), "value"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,9 +16,7 @@ from tallyloom.session import scratch_path
 WINDOW = "60 seconds"
 SLIDE = "5 seconds"
 BATCH_INTERVAL = "5 seconds"
-#: A language total is copied this often, so that the tweets of one language
-#: spread over as many join tasks.
-SALTS = 16
+WARM_UP = "60 seconds"
 
 TWEET_SCHEMA = (
     "ts timestamp, id bigint, text string, "
@@ -44,17 +43,22 @@ def retweeted(tweets: DataFrame) -> DataFrame:
 def windowed(tweets: DataFrame, size: str = WINDOW, slide: str = SLIDE, watermark: str | None = None) -> DataFrame:
     """Per window and tweet: highest and lowest count; text and language of the latest row.
 
-    ``watermark`` is how late a row may be; a batch frame needs none.
+    Rows are folded once per pane, ``slide`` long; windows are made of panes. A row is
+    thus copied to its windows only as part of its pane. ``size`` must be a multiple of
+    ``slide``. ``watermark`` is how late a row may be; a batch frame needs none.
     """
+    if pd.Timedelta(size) % pd.Timedelta(slide):
+        raise ValueError(f"{size} is no multiple of {slide}")
     if watermark is not None:
         tweets = tweets.withWatermark("ts", watermark)
+    panes = tweets.groupBy(F.window("ts", slide), "tweet_id").agg(
+        F.max("retweet_count").alias("max_rt"),
+        F.min("retweet_count").alias("min_rt"),
+        F.max(F.struct("ts", "text", "lang")).alias("last"),
+    )
     return (
-        tweets.groupBy(F.window("ts", size, slide), "tweet_id")
-        .agg(
-            F.max("retweet_count").alias("max_rt"),
-            F.min("retweet_count").alias("min_rt"),
-            F.max(F.struct("ts", "text", "lang")).alias("last"),
-        )
+        panes.groupBy(F.window("window", size, slide), "tweet_id")
+        .agg(F.max("max_rt").alias("max_rt"), F.min("min_rt").alias("min_rt"), F.max("last").alias("last"))
         .select("window", "tweet_id", "max_rt", "min_rt", "last.text", "last.lang")
     )
 
@@ -73,11 +77,13 @@ def language_totals(
     )
 
 
-def with_language_totals(tweets: DataFrame, totals: DataFrame, salts: int = SALTS) -> DataFrame:
+def with_language_totals(tweets: DataFrame, totals: DataFrame, salts: int | None = None) -> DataFrame:
     """Windowed tweets with the total of their language and window.
 
-    Each total is copied once per salt and a tweet meets the copy of its own salt.
+    Each total is copied once per salt and a tweet meets the copy of its own salt, so
+    that one language spreads over as many join tasks as there are shuffle partitions.
     """
+    salts = salts or int(tweets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = tweets.withColumn("salt", F.pmod(F.xxhash64("tweet_id"), F.lit(salts)))
     right = totals.withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
@@ -85,7 +91,7 @@ def with_language_totals(tweets: DataFrame, totals: DataFrame, salts: int = SALT
     return left.join(right, ["window", "lang", "salt"]).drop("salt")
 
 
-def after_warm_up(rows: DataFrame, start, warm_up: str = "60 seconds") -> DataFrame:
+def after_warm_up(rows: DataFrame, start, warm_up: str = WARM_UP) -> DataFrame:
     """Windows that end no sooner than ``warm_up`` after ``start``."""
     return rows.where(F.col("window.end") >= F.lit(start) + F.expr(f"interval {warm_up}"))
 
@@ -110,19 +116,30 @@ def log_rows(rows: DataFrame, start) -> DataFrame:
     )
 
 
-def write_log_batch(batch: DataFrame, batch_id: int, path: str, start) -> None:
+def write_log_batch(batch: DataFrame, batch_id: int, path: str, start, warm_up: str = WARM_UP) -> None:
     """One micro-batch as ordered Parquet below ``batch_id=<n>``, replacing an earlier try."""
-    rows = log_rows(after_warm_up(batch, start), start)
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def start_log(rows: DataFrame, path: str, checkpoint: str, start, interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
+    batch = batch.persist()  # the order is sampled before it is written
+    try:
+        rows = log_rows(after_warm_up(batch, start, warm_up), start)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
+
+
+def start_log(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    start,
+    interval: str | None = BATCH_INTERVAL,
+    warm_up: str = WARM_UP,
+) -> StreamingQuery:
     """Log each micro-batch with :func:`write_log_batch`.
 
     A batch that runs again after a failure replaces its own folder, so nothing is
     logged twice. ``interval=None`` processes what is there and stops.
     """
-    write = lambda batch, batch_id: write_log_batch(batch, batch_id, path, start)
+    write = lambda batch, batch_id: write_log_batch(batch, batch_id, path, start, warm_up)
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
@@ -9,13 +10,12 @@ from tallyloom.operators import balance as B
 from tallyloom.operators import callsets as C
 from tallyloom.operators import intervals as I
 from tallyloom.operators import reads as R
-from tallyloom.operators.numbering import numbered
 from tallyloom.plans.alignments import call_input, prepare, regions_of
-from tallyloom.session import scratch_path
+from tallyloom.session import materialize, scratch_path
 from tallyloom.sources import alignments as A
 from tallyloom.sources import fastq, sinks
 from tallyloom.sources.lines import number_lines, read_lines
-from tallyloom.workload.registry import query, spread, table
+from tallyloom.workload.registry import query, table
 
 HEX = "0123456789abcdef"
 BASES = "ACGTACGTACGTACGT"
@@ -38,7 +38,7 @@ def write_fastq(spark, sf_dir, mate: int) -> str:
     )
     path = scratch_path(spark, "fastq")
     (
-        spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+        table(spark, sf_dir, "documents")
         .select("doc_id", read.alias("value"))
         .repartitionByRange(3, "doc_id")
         .sortWithinPartitions("doc_id")
@@ -96,8 +96,8 @@ def fastq_pairs(spark, sf_dir):
 def fastq_chunks(spark, sf_dir):
     """Written as gzip chunks and read back, one row per chunk."""
     path = scratch_path(spark, "chunks")
-    n_reads = table(spark, sf_dir, "documents").count()
-    fastq.write_chunks(pairs(spark, sf_dir), path, N_CHUNKS, n_reads)
+    paired = materialize(pairs(spark, sf_dir), "pairs")
+    fastq.write_chunks(paired, path, N_CHUNKS, paired.count())
     return (
         fastq.read_chunks(spark, path)
         .groupBy("chunk")
@@ -107,7 +107,6 @@ def fastq_chunks(spark, sf_dir):
             F.min(F.when(F.col("value").rlike(r"^@d[0-9]+/1$"), F.col("value"))).alias("least_name"),
             F.max(F.when(F.col("value").rlike("^[ACGT]+$"), F.col("value"))).alias("greatest_seq"),
         )
-        .where("chunk is not null")
     )
 
 
@@ -159,7 +158,7 @@ def sam_columns(spark, sf_dir):
         "l_returnflag",
     )
     digest = F.sha2("qname", 256).substr(F.lit(1), F.col("length"))
-    return spread(items).withColumn("digest", digest).select(
+    return items.withColumn("digest", digest).select(
         *[c for c in items.columns if c not in ("length", "l_returnflag")],
         F.translate("digest", HEX, BASES).alias("seq"),
         F.when(F.col("l_returnflag") == "R", F.col("digest")).otherwise(F.upper("digest")).alias("qual"),
@@ -199,7 +198,10 @@ sam as (
   from (select *, q + case num when 2 then 2 when 3 then 3 when 4 then 3 when 5 then 3 else 0 end as len from raw)),
 mapped as (select * from sam where not unmapped and ref between 1 and 24),
 usable as (
-  select *, least(aln_end, ref_length) as e, aln_end > ref_length as past_end,
+  select *, case when num = 4 and aln_end - ref_length between 3 and 5 then pos - 1 + q else least(aln_end, ref_length) end as e,
+         aln_end > ref_length as past_end, pos - case when num = 2 then 2 else 0 end as fwd,
+         aln_end + case when num = 5 then 3 when num = 4 and aln_end - ref_length >= 3 then -2
+                        when num = 3 and aln_end - ref_length >= 2 then 1 else 0 end as rev,
          list_transform(string_split(qual, ''), lambda c: ascii(c) - 33) as quals
   from mapped)
 """
@@ -263,7 +265,8 @@ def reads_per_chrom(spark, sf_dir):
 @query(
     "clean_alignments",
     f"""with {SAM} select qname, flag, not unmapped and aln_end > ref_length as past_end,
-    cast(case when unmapped then aln_end else least(aln_end, ref_length) end as integer) as aln_end,
+    cast(case when unmapped then aln_end when num = 4 and aln_end - ref_length between 3 and 5 then pos - 1 + q
+         else least(aln_end, ref_length) end as integer) as aln_end,
     case when unmapped then 0 else 60 end as mapq from sam""",
 )
 def clean_alignments(spark, sf_dir):
@@ -310,9 +313,8 @@ MARKED = f"""
 {SAM},
 ranked as (
   select *, row_number() over (
-    partition by rname, flag & 16,
-      case when flag & 16 <> 0 then e + case when num = 5 then 3 else 0 end else pos - case when num = 2 then 2 else 0 end end
-    order by list_sum(quals) desc, qname desc, flag desc) as rn
+    partition by rname, flag & 16, case when flag & 16 <> 0 then rev else fwd end
+    order by list_sum(quals) desc, qname desc) as rn
   from usable),
 marked as (select *, case when rn > 1 then flag + 1024 else flag end as new_flag from ranked)
 """
@@ -320,7 +322,33 @@ marked as (select *, case when rn > 1 then flag + 1024 else flag end as new_flag
 
 @query("mark_duplicates", f"with {MARKED} select qname, new_flag as flag, rname, pos from marked")
 def mark_duplicates(spark, sf_dir):
-    return R.mark_duplicates(reads(spark, sf_dir), ["qname", "flag"]).select("qname", "flag", "rname", "pos")
+    return R.mark_duplicates(reads(spark, sf_dir)).select("qname", "flag", "rname", "pos")
+
+
+def pair_lines(spark, sf_dir):
+    """Each read as a pair, its mate on the other strand 100 positions on, and a supplementary line."""
+    flag = F.col("flag")
+    line = lambda f, shift: F.struct(f.alias("flag"), F.lit(shift).alias("shift"))
+    lines = F.array(
+        line(flag.bitwiseOR(65), 0), line(flag.bitwiseXOR(16).bitwiseOR(129), 100), line(flag.bitwiseOR(2113), 0)
+    )
+    return (
+        reads(spark, sf_dir)
+        .withColumn("line", F.explode(lines))
+        .withColumns({c: F.col(c) + F.col("line.shift") for c in ("pos", "aln_end")} | {"flag": F.col("line.flag")})
+    )
+
+
+@query(
+    "mark_duplicate_pairs",
+    f"""with {SAM}, ranked as (
+      select *, row_number() over (partition by rname, flag & 16, fwd, rev order by list_sum(quals) desc, qname desc) > 1 as dup from usable)
+    select qname, cast(flag | 65 | case when dup then 1024 else 0 end as integer) as flag, rname, pos from ranked
+    union all select qname, cast(xor(flag, 16) | 129 | case when dup then 1024 else 0 end as integer), rname, pos + 100 from ranked
+    union all select qname, cast(flag | 2113 as integer), rname, pos from ranked""",
+)
+def mark_duplicate_pairs(spark, sf_dir):
+    return R.mark_duplicates(pair_lines(spark, sf_dir)).select("qname", "flag", "rname", "pos")
 
 
 @query(
@@ -329,14 +357,14 @@ def mark_duplicates(spark, sf_dir):
     round(100.0 * count(*) filter (where rn > 1) / count(*), 4) as duplicate_pct from marked""",
 )
 def duplicate_metrics(spark, sf_dir):
-    return R.duplicate_metrics(R.mark_duplicates(reads(spark, sf_dir), ["qname", "flag"]))
+    return R.duplicate_metrics(R.mark_duplicates(reads(spark, sf_dir)))
 
 
 # Read-relative blocks of the five CIGAR shapes: (read start, reference shift, length).
 BASES_SQL = f"""
 {MARKED},
 blocks as (
-  select rname, pos, seq, quals, rn, unnest(case num
+  select rname, pos, seq, quals, rn, ref_length, unnest(case num
       when 2 then [{{'r': 2, 's': 0, 'n': q}}]
       when 3 then [{{'r': 0, 's': 0, 'n': q}}, {{'r': q + 1, 's': q, 'n': 2}}]
       when 4 then [{{'r': 0, 's': 0, 'n': q}}, {{'r': q, 's': q + 2, 'n': 3}}]
@@ -344,7 +372,7 @@ blocks as (
   from marked),
 bases as (
   select rname, pos + b.s + i as position, substring(seq, b.r + i + 1, 1) as base, quals[b.r + i + 1] as quality, rn
-  from (select *, unnest(generate_series(0, b.n - 1)) as i from blocks))
+  from (select *, unnest(generate_series(0, b.n - 1)) as i from blocks) where pos + b.s + i <= ref_length)
 """
 COUNTED = """select rname, cast(position as integer) as position, base, count(*) as depth, round(sum(quality) / count(*), 3) as mean_quality
 from bases {where} group by all having sum(quality) >= 30.0 * count(*)"""
@@ -391,15 +419,35 @@ def balanced_partitions(spark, sf_dir):
     return B.partition_loads(B.balance(mapped(spark, sf_dir), "ref_index", N_PARTS))
 
 
-@query("even_partitions", f"with {SAM} select count(*) as rows, {N_PARTS}::bigint as partitions, true as even from mapped")
-def even_partitions(spark, sf_dir):
-    spread = B.spread_evenly(mapped(spark, sf_dir).select("qname"), N_PARTS)
-    sizes = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
-    # A task deals its rows in turn, so two partitions differ by one row per task at most.
-    return sizes.agg(
+@query(
+    "balanced_many_groups",
+    f"select count(*) as rows, {N_PARTS}::bigint as partitions, count(distinct l_orderkey) as groups, true as even from lineitem",
+)
+def balanced_many_groups(spark, sf_dir):
+    """Orders as groups: each one whole, and the partitions within two parts of a share."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    routed = B.balance(items, "l_orderkey", N_PARTS)
+    loads = routed.groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("n"), F.countDistinct("l_orderkey").alias("groups")
+    )
+    return loads.agg(
         F.sum("n").alias("rows"),
         F.count("*").alias("partitions"),
-        (F.max("n") - F.min("n") <= 0.05 * F.sum("n")).alias("even"),
+        F.sum("groups").alias("groups"),  # as many as there are orders: none is in two partitions
+        ((F.max("n") - F.min("n")) * N_PARTS * B.PARTS <= 2 * F.sum("n")).alias("even"),
+    )
+
+
+@query("even_partitions", f"with {SAM} select count(*) as rows, {N_PARTS}::bigint as partitions, true as even from mapped")
+def even_partitions(spark, sf_dir):
+    """Each task deals its rows out in turn, so no two partitions differ by more than one of its rows."""
+    dealt = mapped(spark, sf_dir).select("qname", F.spark_partition_id().alias("task"))
+    dealt = B.spread_evenly(dealt, N_PARTS).groupBy("task", F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    per_task = dealt.groupBy("task").agg(
+        F.sum("n").alias("rows"), F.count("*").alias("partitions"), (F.max("n") - F.min("n")).alias("apart")
+    )
+    return per_task.agg(
+        F.sum("rows").alias("rows"), F.max("partitions").alias("partitions"), (F.max("apart") <= 1).alias("even")
     )
 
 
@@ -409,11 +457,11 @@ def even_partitions(spark, sf_dir):
     from mapped""",
 )
 def coordinate_sorted(spark, sf_dir):
-    """Written sorted, read back and numbered by coordinate."""
+    """Written sorted, read back and numbered by the place in the files."""
     path = scratch_path(spark, "sorted")
     sinks.write_sorted_alignments(mapped(spark, sf_dir), path, N_PARTS)
-    written = spark.read.parquet(path)
-    return numbered(written, "ref_index", ["pos", "qname", "flag"]).select("ref_index", "n", "qname", "flag", "pos")
+    place = Window.partitionBy("ref_index").orderBy("_metadata.file_name", "_metadata.row_index")
+    return spark.read.parquet(path).select("ref_index", F.row_number().over(place).alias("n"), "qname", "flag", "pos")
 
 
 # ---- Intervals -----------------------------------------------------------
@@ -505,7 +553,7 @@ def target_lines(spark, sf_dir):
     name = F.when(ref == 0, "M").when(ref == 23, "X").when(ref == 24, "Y").otherwise(ref.cast("string"))
     start = (F.col("o_orderkey") * 61) % 60000
     rows = table(spark, sf_dir, "orders").select(
-        F.concat_ws("\t", F.concat(F.lit("chr"), name), start, start + 10 + key % 90).alias("value")
+        F.concat_ws("\t", F.concat(F.lit("chr"), name), start, start + 10 + key % 90, "o_orderkey", "o_orderstatus").alias("value")
     )
     header = spark.range(1).select(F.explode(F.array(F.lit("track name=targets"), F.lit("#made from orders"))).alias("value"))
     return header.unionAll(rows)
@@ -514,7 +562,7 @@ def target_lines(spark, sf_dir):
 TARGETS = """
 targets as (
   select 'chr' || case o_custkey % 25 when 0 then 'M' when 23 then 'X' when 24 then 'Y' else cast(o_custkey % 25 as varchar) end as chrom,
-         cast(o_orderkey * 61 % 60000 + 1 as integer) as s, cast(o_orderkey * 61 % 60000 + 10 + o_custkey % 90 as integer) as e
+         cast(o_orderkey * 61 % 60000 + 1 as integer) as s, cast(o_orderkey * 61 % 60000 + 10 + o_custkey % 90 as integer) as e, o_orderkey || ',' || o_orderstatus as rest
   from orders)
 """
 
@@ -523,20 +571,21 @@ def targets(spark, sf_dir):
     return A.parse_bed(target_lines(spark, sf_dir)).rows
 
 
-@query("bed_parse", f'with {TARGETS} select chrom, s as start, e as "end" from targets')
+@query("bed_parse", f'with {TARGETS} select chrom, s as start, e as "end", rest from targets')
 def bed_parse(spark, sf_dir):
     path = scratch_path(spark, "targets")
     target_lines(spark, sf_dir).write.text(path)
-    return A.parse_bed(read_lines(spark, path)).rows
+    return A.parse_bed(read_lines(spark, path)).rows.withColumn("rest", F.concat_ws(",", "rest"))
 
 
 @query(
     "interval_intersect",
-    f"""with {MERGED}, {TARGETS} select t.chrom, greatest(t.s, m.s) as start, least(t.e, m.e) as "end"
+    f"""with {MERGED}, {TARGETS} select t.chrom, greatest(t.s, m.s) as start, least(t.e, m.e) as "end", t.rest
     from targets t join m on t.chrom = m.chrom and t.s <= m.e and m.s <= t.e""",
 )
 def interval_intersect(spark, sf_dir):
-    return I.intersect(targets(spark, sf_dir), merged(spark, sf_dir))
+    met = I.intersect(targets(spark, sf_dir), merged(spark, sf_dir))
+    return met.withColumn("rest", F.concat_ws(",", "rest"))
 
 
 # ---- Calls ---------------------------------------------------------------
@@ -554,7 +603,7 @@ def call_lines(spark, sf_dir, truth: bool):
         F.lit("."), base(1), alt, F.lit("50"), F.lit("."), F.lit("AC=1"), F.lit("GT"), F.lit("0/1"),
     )
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    rows = spread(items).select(line.alias("value"))
+    rows = items.select(line.alias("value"))
     header = spark.range(1).select(
         F.explode(F.array(F.lit("##contig=<ID=chr1>"), F.lit("#CHROM\tPOS\tID"), F.lit(""))).alias("value")
     )

@@ -26,11 +26,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores where the files offer fewer splits than there are cores.
-
-    Tables of many splits, the case at scale, are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

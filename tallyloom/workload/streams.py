@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallyloom.session import scratch_path
+from tallyloom.session import materialize, scratch_path
 from tallyloom.streaming import retweets as S
 from tallyloom.workload.registry import query, table
 from tallyloom.workload.weblogs import LANG, NAMES, event_lang
@@ -121,7 +121,7 @@ def window_totals_compounded_stream(spark, sf_dir):
 
 @query("window_ranking_batch", f"with {BASE} select {BOUNDS}, {TWEET_COLS}, total_in_language from joined")
 def window_ranking_batch(spark, sf_dir):
-    tweets = S.windowed(batch_tweets(spark, sf_dir), SIZE, SLIDE)
+    tweets = materialize(S.windowed(batch_tweets(spark, sf_dir), SIZE, SLIDE), "windowed")
     return named(S.with_language_totals(tweets, S.language_totals(tweets)))
 
 
@@ -142,9 +142,9 @@ def window_ranking_stream(spark, sf_dir):
            coalesce(name, lang) as language, lang as lang_code, total_in_language, tweet_id, max_rt, min_rt,
            max_rt - min_rt + 1 as retweets, replace(text, chr(10), ' ') as text
     from joined left join {NAMES} on code = lang
-    where {CLOSED} and ws + interval 6 hours >= timestamp '2024-01-01' + interval 60 seconds""",
+    where {CLOSED} and ws + interval 6 hours >= timestamp '2024-01-01' + interval 30 hours""",
 )
 def window_log(spark, sf_dir):
     base = scratch_path(spark, "log")
-    S.start_log(_stream_ranking(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None).awaitTermination()
+    S.start_log(_stream_ranking(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours").awaitTermination()
     return spark.read.parquet(f"{base}/log").drop("batch_id")

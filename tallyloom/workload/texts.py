@@ -8,28 +8,33 @@ from tallyloom.operators import balance as B
 from tallyloom.operators.language_id import detect, train
 from tallyloom.operators.process import map_partitions, pipe_rows
 from tallyloom.workload.genomes import N_PARTS, PLAN_SQL, SAM, mapped
-from tallyloom.workload.registry import query, spread, table
+from tallyloom.workload.registry import query, table
 
-GRAMS = r"""
-words as (
+DETECTED = r"""
+with words as (
   select doc_id, lang, unnest(string_split(trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')), ' ')) as word from documents),
 per_doc as (select doc_id, lang, word, count(*) as n from words where word <> '' group by all),
 grams as (
   select doc_id, lang, substring(' ' || word || ' ', cast(i as bigint), 3) as gram, sum(n) as n
   from (select *, unnest(range(1, length(word) + 1)) as i from per_doc) group by all),
-profile as (select lang, gram, sum(n) as c from grams group by all),
-size as (select lang, sum(c) + (select count(distinct gram) from profile) as total from profile group by lang),
-every as (select g.gram, s.lang, ln((coalesce(p.c, 0) + 1) / s.total) as w
-          from (select distinct gram from profile) g cross join size s left join profile p on p.gram = g.gram and p.lang = s.lang),
-scored as (select d.doc_id, e.lang, sum(d.n * e.w) as score from grams d join every e using (gram) group by all)
+profile as (select doc_id % 2 as p, lang, gram, sum(n) as c from grams group by all),
+size as (select p, lang, -ln(sum(c) + v) as base
+         from profile join (select p, count(distinct gram) as v from profile group by p) using (p) group by p, lang, v),
+total as (select doc_id, 1 - doc_id % 2 as p, sum(n) as g from grams group by doc_id),
+lift as (select d.doc_id, f.lang, sum(d.n * ln(f.c + 1)) as l
+         from grams d join profile f on f.p = 1 - d.doc_id % 2 and f.gram = d.gram group by all),
+scored as (select doc_id, s.lang, coalesce(l, 0) + g * base as score from total join size s using (p) left join lift using (doc_id, lang))
+select doc_id, detected from documents left join (select doc_id, arg_max(lang, score) as detected from scored group by doc_id) using (doc_id)
 """
 
 
-@query("detect_language", f"with {GRAMS} select doc_id, arg_max(lang, score) as detected from scored group by doc_id")
+@query("detect_language", DETECTED)
 def detect_language(spark, sf_dir):
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    model = train(documents)
-    return detect(documents, model, "doc_id").where("detected is not null").select("doc_id", "detected")
+    """Each half of the documents by a model of the other half."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    halves = [documents.where(F.col("doc_id") % 2 == p) for p in (0, 1)]
+    found = [detect(halves[p], train(halves[1 - p]), "doc_id") for p in (0, 1)]
+    return found[0].unionByName(found[1]).select("doc_id", "detected")
 
 
 @query("pipe_upper", "select doc_id || ' ' || upper(source) as value from documents")
@@ -46,12 +51,14 @@ def _first_and_last(index, batches):
     for batch in batches:
         if batch.empty:
             continue
-        keys = list(zip(batch["ref_index"], batch["pos"], strict=True))
-        ordered = ordered and keys == sorted(keys) and (last is None or last <= keys[0])
-        first, last, rows = first or keys[0], keys[-1], rows + len(keys)
+        place = batch["ref_index"].astype("int64") * (1 << 32) + batch["pos"]
+        ordered = ordered and place.is_monotonic_increasing and (last is None or last <= place.iloc[0])
+        first = place.iloc[0] if first is None else first
+        last, rows = place.iloc[-1], rows + len(batch)
     if rows:
+        (first_ref, first_pos), (last_ref, last_pos) = divmod(int(first), 1 << 32), divmod(int(last), 1 << 32)
         yield pd.DataFrame(
-            [(index, rows, first[0], first[1], last[0], last[1], ordered)],
+            [(index, rows, first_ref, first_pos, last_ref, last_pos, ordered)],
             columns=["partition", "rows", "first_ref", "first_pos", "last_ref", "last_pos", "ordered"],
         )
 

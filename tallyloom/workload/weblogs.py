@@ -54,7 +54,7 @@ from ranked left join {NAMES} on code = lang where rn = 1
 
 @query("pagecounts_report", PAGE_REPORT_SQL)
 def pagecounts_report(spark, sf_dir):
-    return page_report(page_lines(spark, sf_dir))
+    return page_report(page_lines(spark, sf_dir)).rows
 
 
 @query("pagecounts_parse", f"with {PAGES} select project, lang, title, views, bytes from pages_in")
@@ -80,7 +80,7 @@ def pagecounts_rejects(spark, sf_dir):
 )
 def pagecounts_csv(spark, sf_dir):
     path = scratch_path(spark, "page-report")
-    write_page_report(page_lines(spark, sf_dir), path)
+    write_page_report(page_lines(spark, sf_dir), path, f"{path}-rejects")
     return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
@@ -157,7 +157,7 @@ def retweet_totals(spark, sf_dir):
 
 @query("retweet_report", RETWEETS_SQL)
 def retweet_report_query(spark, sf_dir):
-    return retweet_report(retweet_log_lines(spark, sf_dir))
+    return retweet_report(retweet_log_lines(spark, sf_dir)).rows
 
 
 @query(
@@ -168,7 +168,7 @@ def retweet_report_query(spark, sf_dir):
 )
 def retweet_csv(spark, sf_dir):
     path = scratch_path(spark, "retweet-report")
-    write_retweet_report(retweet_log_lines(spark, sf_dir), path)
+    write_retweet_report(retweet_log_lines(spark, sf_dir), path, f"{path}-rejects")
     return spark.read.option("header", True).option("escape", '"').csv(path)
 
 

@@ -18,24 +18,28 @@ def test_held_out_accuracy(spark, model):
     assert right >= 0.95
 
 
-def test_shuffled_weights_give_the_same(spark, rows, model, monkeypatch):
+def test_shuffled_weights_give_the_same(spark, rows, model):
     texts = spark.read.parquet(DOCUMENTS).where("doc_id < 60")
     small = rows(L.detect(texts, model, "doc_id"), "doc_id", "detected")
-    monkeypatch.setattr(L, "BROADCAST_BYTES", 0)
-    assert not model.is_small()
-    assert rows(L.detect(texts, model, "doc_id"), "doc_id", "detected") == small
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(L.detect(texts, model, "doc_id"), "doc_id", "detected") == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_scripts_and_empty_text(spark, rows, model):
     df = spark.createDataFrame(
         [(1, "こんにちは"), (2, "안녕하세요"), (3, "12 ..."), (4, "")], "doc_id int, text string"
     )
-    assert rows(L.detect(df, model, "doc_id", floor=-9.0), "doc_id", "detected") == [
+    assert rows(L.detect(df, model, "doc_id"), "doc_id", "detected") == [
         (1, "ja"), (2, "ko"), (3, None), (4, None)
     ]
 
 
-def test_too_many_languages(spark, monkeypatch):
-    monkeypatch.setattr(L, "MAX_LANGUAGES", 1)
-    with pytest.raises(ValueError):
-        L.train(spark.createDataFrame([("a", "x"), ("b", "y")], "lang string, text string"))
+def test_many_languages(spark, rows):
+    model = L.train(spark.createDataFrame([(f"l{i:03}", f"w{chr(97 + i % 26)}q{chr(97 + i // 26)}z") for i in range(300)], "lang string, text string"))
+    df = spark.createDataFrame([(1, "wbqczz wbqcz"), (2, "xyx")], "doc_id int, text string")
+    got = dict(rows(L.detect(df, model, "doc_id"), "doc_id", "detected"))
+    assert got[1] == "l053" and got[2] is not None

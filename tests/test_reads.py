@@ -52,22 +52,46 @@ def test_sam_lines(lines, rows, dictionary):
 
 
 def test_usable_reads_and_regions(lines, rows, dictionary):
-    usable = usable_reads(lines(SAM), dictionary)
+    usable, rejects = usable_reads(lines(SAM), dictionary)
+    assert rejects.count() == 2
     assert rows(usable, "qname", "library", "sample") == [(q, "LIB1", "SAMPLE1") for q in "abc"]
     assert rows(regions_of(usable)) == [("chr1", 100, 158, 2), ("chr1", 400, 401, 1)]
 
 
 def test_clean(spark, rows):
     df = spark.createDataFrame(
-        [("in", 0, 10, 20, 60), ("out", 0, 25, 20, 60), ("un", 4, -1, None, 60)],
-        "qname string, flag int, aln_end int, ref_length int, mapq int",
+        [("in", 0, 6, "5M", 10, 20, 60), ("out", 0, 16, "10M", 25, 20, 60), ("un", 4, 0, "*", -1, None, 60)],
+        "qname string, flag int, pos int, cigar string, aln_end int, ref_length int, mapq int",
     )
-    assert rows(R.clean_alignments(df), "qname", "aln_end", "mapq", "past_end") == [
-        ("in", 10, 60, False), ("out", 20, 60, True), ("un", -1, 0, False)
+    assert rows(R.clean_alignments(df), "qname", "cigar", "aln_end", "mapq", "past_end") == [
+        ("in", "5M", 10, 60, False), ("out", "5M5S", 20, 60, True), ("un", "*", -1, 0, False)
     ]
     assert R.with_read_group(df, sample="S2").first()["sample"] == "S2"
 
 
+def brute_clip(cigar, room):
+    import re
+    from itertools import groupby
+
+    ops = [op for n, op in re.findall(r"([0-9]+)([MIDNSHP=X])", cigar) for _ in range(int(n))]
+    used, out = 0, []
+    for op in ops:
+        used += op in "MDN=X"
+        out.append("S" if op in "M=X" and used > room else op)
+    last = max((i for i, op in enumerate(out) if op in "M=X"), default=-1)
+    if last < max(i for i, op in enumerate(ops) if op in "M=X"):
+        out = out[: last + 1] + ["S" if op == "I" else op for op in out[last + 1 :] if op not in "DNP"]
+    return "".join(f"{len(list(g))}{op}" for op, g in groupby(out))
+
+
+@pytest.mark.parametrize("cigar", ["10M", "2S8M", "4M1I3M", "4M2D3M", "4M3S", "1H2S3=1X2N4M1I2M2S1H", "3M5N3M1D2M"])
+def test_clip_past(spark, cigar):
+    length = 1 + max(i for i in range(60) if brute_clip(cigar, i) != cigar)
+    df = spark.createDataFrame([(cigar, i) for i in range(1, length + 1)], "c string, room int")
+    got = {r["room"]: r["x"] for r in df.select("room", G.clip_past(F.col("c"), F.col("room")).alias("x")).collect()}
+    assert got == {i: brute_clip(cigar, i) for i in got}
+
+
 @pytest.mark.parametrize("quals, encoding", [([2, 60], "SANGER"), ([61, 35], "ILLUMINA")])
 def test_encoding(spark, quals, encoding):
     df = spark.createDataFrame([("s", quals)], "sample string, quals array<int>")
@@ -101,13 +125,29 @@ def test_duplicates(spark, rows):
         ("r4", 4, "*", 0, "*", "*", 0, "ACGT", "*"),
         ("r5", 1024, "c", 500, "4M", "*", 0, "ACGT", "IIII"),
     ] + [(f"h{i:03}", 0, "c", 900, "4M", "*", 0, "ACGT", "####") for i in range(300)]
-    marked = R.mark_duplicates(reads_of(spark, reads), ["qname", "flag"])
+    marked = R.mark_duplicates(reads_of(spark, reads))
     duplicates = rows(marked.where(G.has_flag(F.col("flag"), G.DUPLICATE)), "qname")
     # r5 came in with the bit set: it is judged anew, and its id has changed with it.
     assert duplicates == sorted([("r1",)] + [(f"h{i:03}",) for i in range(299)])
     assert rows(R.duplicate_metrics(marked)) == [("L", 304, 300, 98.6842)]
 
 
+def test_pairs_share_their_verdict(spark, rows):
+    """Rows in are rows out; mates agree; secondary, supplementary and unmapped lines are left alone."""
+    at = lambda name, flag, pos, qual="IIII": (name, flag, "c", pos, "4M", "=", 0, "ACGT", qual)
+    reads = [
+        at("p1", 99, 100, "!!!!"), at("p1", 147, 300, "IIII"),
+        at("p2", 99, 100, "####"), at("p2", 147, 300, "####"),
+        at("p3", 99, 100), at("p3", 147, 900),
+        at("p2", 99 + 2048, 100), at("p2", 99 + 2048, 700), at("p2", 99 + 256 + 1024, 100),
+        at("solo", 0, 100), at("solo2", 0, 100, "!!!!"), at("u", 4, 100),
+    ]
+    marked = R.mark_duplicates(reads_of(spark, reads))
+    assert marked.count() == len(reads)
+    got = sorted((r.qname, r.flag) for r in marked.where(G.has_flag(F.col("flag"), G.DUPLICATE)).collect())
+    assert got == sorted([("p2", 99 + 256 + 1024), ("p2", 99 + 1024), ("p2", 147 + 1024), ("solo2", 1024)])
+
+
 def brute_bases(reads, threshold):
     import re
     from collections import defaultdict
@@ -139,7 +179,7 @@ def test_base_counts(spark, rows):
 
 def test_call_input(spark, lines, rows, dictionary):
     targets = spark.createDataFrame([("chr1", 90, 110), ("chr1", 300, 500)], "chrom string, start int, end int")
-    result = call_input(usable_reads(lines(SAM), dictionary), targets)
+    result = call_input(usable_reads(lines(SAM), dictionary).rows, targets)
     assert rows(result.regions) == [("chr1", 100, 110), ("chr1", 400, 401)]
     assert result.bases.count() == 10
 

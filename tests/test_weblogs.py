@@ -25,7 +25,7 @@ LOG = """Seconds,Language,Language-code,TotalRetweetsInThatLang,IDOfTweet,MaxRet
 
 
 def test_page_report(lines):
-    got = [tuple(r) for r in page_report(lines(PAGES)).collect()]
+    got = [tuple(r) for r in page_report(lines(PAGES)).rows.collect()]
     assert got == [
         ("English", "en", 27, "Beta", 10),
         ("German", "de", 3, "Gamma", 3),
@@ -45,7 +45,7 @@ def test_malformed_lines(lines, rows):
 
 def test_report_file_is_ordered(spark, lines, tmp_path):
     path = str(tmp_path / "out")
-    write_page_report(lines(PAGES), path)
+    write_page_report(lines(PAGES), path, f"{path}-rejects")
     read = [r.value for r in spark.read.text(path).collect()]
     headings = "Language,Language-code,TotalViewsInThatLang,MostVisitedPageInThatLang,ViewsOfThatPage"
     assert [x for x in read if x != headings] == ["English,en,27,Beta,10", "German,de,3,Gamma,3", "xx,xx,1,Delta,1"]
@@ -54,7 +54,7 @@ def test_report_file_is_ordered(spark, lines, tmp_path):
 def test_retweet_report(lines, rows):
     parsed = parse_retweet_log(lines(LOG)).rows
     assert rows(totals_by_language(tweets_over_all_windows(parsed))) == [("English", 7), ("German", 2)]
-    got = [tuple(r) for r in retweet_report(lines(LOG)).collect()]
+    got = [tuple(r) for r in retweet_report(lines(LOG)).rows.collect()]
     assert got == [
         ("English", "en", 7, 1, 6, "hello, world"),
         ("German", "de", 2, 3, 2, "hallo,,"),
