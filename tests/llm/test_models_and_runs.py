@@ -145,11 +145,12 @@ def test_language_model_beats_its_base(spark):
 def test_language_model_of_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(language_model, "CHUNK", 100)
     monkeypatch.setattr(language_model, "HELD_GRAMS", 50)
-    rows = [(1, None), (2, ""), (2, ""), (3, "Ab ab AB"), (None, "ab"), (4, "long words " * 5000), (5, "é" * 300)]
+    rows = [(1, None), (2, ""), (2, ""), (3, "Ab ab AB"), (None, "ab"), (4, "long words " * 5000), ((1 << 60) + 1, "é" * 300)]
     df = spark.createDataFrame([(i, t, True, 1.0) for i, t in rows], "doc_id long, text string, held_out boolean, score double")
     got = language_model.score(df, order=2).collect()
     assert len(got) == len(rows)
     by = {r["doc_id"]: r for r in got}
+    assert set(by) == {1, 2, 3, None, 4, (1 << 60) + 1}
     assert by[1]["n_tokens"] == by[2]["n_tokens"] == 1 and by[3]["n_tokens"] == 4 and by[4]["n_tokens"] == 10001
     assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)
     assert language_model.score(df.limit(0)).count() == 0
