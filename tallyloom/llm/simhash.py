@@ -140,7 +140,11 @@ def components(
 
 
 def keep_one(docs: DataFrame, distance: int = 3, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component: the smallest id, of equal ids the first row."""
+    """One document of each component: the smallest id, of equal ids the first row.
+
+    The rows that stay grow with the documents, so they are never broadcast: both sides meet
+    by a shuffle at any size.
+    """
     marked = materialize(
         row_ids(docs).select("__row", F.col(doc_id).alias("id"), fingerprints(F.col(text), shingle).alias("fp")),
         "fingerprints",
@@ -149,4 +153,4 @@ def keep_one(docs: DataFrame, distance: int = 3, shingle: int = 3, doc_id: str =
     prints = materialize(marked.groupBy("fp").agg(best), "distinct-fingerprints")
     roots = prints.join(classes(prints.select("fp"), distance), "fp")
     kept = materialize(roots.groupBy("root").agg(F.min("best").alias("best")).select("best.__row"), "kept-rows")
-    return row_ids(docs).join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return row_ids(docs).join(kept.hint("merge"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
