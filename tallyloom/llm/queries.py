@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import binascii
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import (
@@ -10,6 +12,7 @@ from tallyloom.llm import (
     language_model,
     line_runs,
     mixing,
+    periodic_runs,
     personal_data,
     quality_classifier,
     quality_rules,
@@ -130,3 +133,21 @@ def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without later copies of line runs of at least fifty words."""
     return line_runs.dedup(table(spark, sf_dir, "documents"), min_words=50)
+
+
+def planted(doc_id: int | None, words: list[str]) -> list[str]:
+    """From a place on, one text in ten repeats a stretch of its own; a null id leaves the text as it is."""
+    h = binascii.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g = h // 10
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    stretch = words[a : a + p]
+    return words[:a] + (stretch * ((len(words) - a) // p + 1))[: len(words) - a]
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic word runs of all documents, after the contract's planting, and the texts without their repeats."""
+    return periodic_runs.report(table(spark, sf_dir, "documents"), prepare=planted)
