@@ -5,8 +5,10 @@ from __future__ import annotations
 import binascii
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    conversation_repair,
     decontamination,
     html_extraction,
     language_model,
@@ -151,3 +153,26 @@ def planted(doc_id: int | None, words: list[str]) -> list[str]:
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic word runs of all documents, after the contract's planting, and the texts without their repeats."""
     return periodic_runs.report(table(spark, sf_dir, "documents"), prepare=planted)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults dealt by the checksum of conversation and turn; dropped rows are marked ``gone``."""
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    fault = F.col("fault")
+    cut = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    return turns.withColumn("fault", F.crc32(named) % 20).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        cut.alias("text"),
+        (fault == 0).alias("gone"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+@query("op12_repair")
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the contract's rule, and their cheapest repairs."""
+    turns = damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repair(turns, gone="gone"))
