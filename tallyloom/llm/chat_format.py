@@ -113,10 +113,13 @@ LAYOUTS = (
 
 
 def parsed(records: DataFrame, record: str = "record") -> DataFrame:
-    """``__value``, ``__shape`` and ``__print`` of JSON records; null where they aren't valid."""
+    """``__value``, ``__shape``, ``__print`` and ``layout`` of JSON records; null where invalid or not declared."""
     out = records.select(F.try_parse_json(F.col(f"`{record}`")).alias("__value"))
     out = out.withColumn("__shape", F.regexp_replace(F.expr("schema_of_variant(__value)"), SCALAR, "_"))
-    return out.withColumn("__print", F.xxhash64("__shape"))
+    out = out.withColumn("__print", F.xxhash64("__shape"))
+    known = {shape: layout.name for layout in LAYOUTS for shape in layout.shapes()}
+    names = F.create_map(*[x for shape, name in known.items() for x in (F.xxhash64(F.lit(shape)), F.lit(name))])
+    return out.withColumn("layout", F.when(F.col("__shape").isNotNull(), F.try_element_at(names, F.col("__print"))))
 
 
 def _get(value: str, path: str, kind: str = "string") -> str:
@@ -128,12 +131,12 @@ def _renamed(role: str, layout: Layout) -> str:
     return f"case {role} {cases} else {role} end" if cases else role
 
 
-def _turns(layout: Layout) -> Column:
-    """Roles and texts of a record of the layout."""
+def _turns(layout: Layout) -> str:
+    """SQL for roles and texts of a record of the layout."""
     if layout.turns:
         items = _get("__value", layout.turns, "array<variant>")
         role = _renamed(_get("m", layout.role), layout)
-        return F.expr(f"transform({items}, m -> named_struct('role', {role}, 'text', {_get('m', layout.text)}))")
+        return f"transform({items}, m -> named_struct('role', {role}, 'text', {_get('m', layout.text)}))"
     parts = []
     optional = {p[:-1] for p in layout.paths if p.endswith("?")}
     for role, path in layout.parts:
@@ -141,35 +144,26 @@ def _turns(layout: Layout) -> Column:
         one = f"array(named_struct('role', {said}, 'text', {_get('__value', path)}))"
         none = "cast(array() as array<struct<role: string, text: string>>)"
         parts.append(f"if(variant_get(__value, '$.{path}', 'variant') is null, {none}, {one})" if path in optional else one)
-    return F.expr(f"concat({', '.join(parts)})")
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0]
 
 
-def _selected(choose, other: Column) -> Column:
-    """By a record's fingerprint, ``choose`` of its layout."""
-    out = None
-    for layout in LAYOUTS:
-        known = F.lit(False)
-        for shape in layout.shapes():
-            known = known | (F.col("__print") == F.xxhash64(F.lit(shape)))
-        out = F.when(known, choose(layout)) if out is None else out.when(known, choose(layout))
-    return out.otherwise(other)
+def _mapped(layout: Layout) -> str:
+    conversation, order = (_get("__value", p, "bigint") for p in (layout.conversation, layout.order))
+    return f"named_struct('conv_id', {conversation}, 'turn', {order}, 'said', {_turns(layout)})"
 
 
 def canonical(records: DataFrame, record: str = "record") -> DataFrame:
     """Turns of JSON records: conv_id, turn, place in the record, role, text and the layout's name."""
-    out = parsed(records, record).withColumn("layout", _selected(lambda x: F.lit(x.name), F.lit(None)))
-    out = out.where(F.col("layout").isNotNull()).select(
-        _selected(lambda x: F.expr(_get("__value", x.conversation, "bigint")), F.lit(None)).alias("conv_id"),
-        _selected(lambda x: F.expr(_get("__value", x.order, "bigint")), F.lit(None)).alias("turn"),
-        F.posexplode(_selected(_turns, F.lit(None))).alias("place", "said"),
-        "layout",
-    )
-    return out.select("conv_id", "turn", "place", F.coalesce("said.role", F.lit("")).alias("role"), F.coalesce("said.text", F.lit("")).alias("text"), "layout")
+    cases = " ".join(f"when '{x.name}' then {_mapped(x)}" for x in LAYOUTS)
+    out = parsed(records, record).where("layout is not null").select("layout", F.expr(f"case layout {cases} end").alias("r"))
+    out = out.select("layout", "r.conv_id", "r.turn", F.posexplode("r.said").alias("place", "said"))
+    role, text = (F.coalesce(f"said.{c}", F.lit("")).alias(c) for c in ("role", "text"))
+    return out.select("conv_id", "turn", "place", role, text, "layout")
 
 
 def unmatched(records: DataFrame, record: str = "record") -> DataFrame:
     """Shapes that no layout is declared for, with their fingerprints and records; invalid records have none."""
-    out = parsed(records, record).where(_selected(lambda x: F.lit(False), F.lit(True)))
+    out = parsed(records, record).where("layout is null")
     return out.groupBy(F.col("__shape").alias("shape"), F.col("__print").alias("fingerprint")).agg(F.count("*").alias("records"))
 
 
