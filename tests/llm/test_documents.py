@@ -179,16 +179,82 @@ def test_rules_of_odd_rows(spark, odd, labels):
     assert quality_rules.report(empty(spark), labels).count() == 0
 
 
-def test_isolation_forest_finds_the_odd_one():
+def rule_rows(count, seed=4):
+    """Texts of ordinary words that vary a little in every rate, and one of symbols."""
+    import random
+
     import pandas as pd
     from tallyloom.llm.statistics import FIELDS, measure
 
-    plain = [" ".join(f"w{(i * j) % 83}" for j in range(1, 90)) for i in range(1, 60)]
-    loud = ["$$$ %%% " * 60]
-    x = pd.DataFrame([measure(t) for t in plain + loud], columns=FIELDS)
-    forest = quality_rules.fit(x, 50, 32, 1)
-    scores = forest.score(quality_rules.rates(x))
-    assert scores.argmax() == len(plain) and ((scores > 0) & (scores < 1)).all()
+    rng = random.Random(seed)
+
+    def word():
+        w = "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+        return w.title() if rng.random() < 0.1 else w + rng.choice(["", "", "", "", "!", "#"])
+
+    plain = [rng.choice([" ", "\n"]).join(word() for _ in range(rng.randrange(60, 120))) for _ in range(count)]
+    return pd.DataFrame([measure(t) for t in [*plain, "$$$ %%% " * 60]], columns=FIELDS)
+
+
+def test_isolation_forest_finds_the_odd_one():
+    x = rule_rows(60)
+    scores = quality_rules.fit(x, 50, 32, 1).score(quality_rules.rates(x))
+    assert scores.argmax() == 60 and ((scores > 0) & (scores < 1)).all()
+
+
+def test_forest_scores_are_mean_path_lengths():
+    """Each row walks each tree node by node; leaves add the mean depth of the rows that stayed together."""
+    x = rule_rows(80)
+    values = quality_rules.rates(x)
+    forest = quality_rules.fit(x, 20, 32, 7)
+    for row, score in zip(values, forest.score(values), strict=True):
+        total = 0.0
+        for t in forest.trees:
+            at, depth = 0, 0
+            while t.below[at] != at:
+                at = t.below[at] if row[t.feature[at]] < t.cut[at] else t.above[at]
+                depth += 1
+            assert depth <= t.height
+            total += t.length[at]
+            assert t.length[at] >= depth
+        want = 2 ** (-total / 20 / quality_rules.average_path(32))
+        assert abs(score - want) < 1e-12
+    # Of n rows an unsuccessful search passes 2 (1/2 + ... + 1/n) nodes on average.
+    for n in (3, 10, 256):
+        exact = 2 * sum(1 / i for i in range(2, n + 1))
+        assert abs(quality_rules.average_path(n) - exact) < 1.1 / n
+
+
+def test_threshold_against_all_cuts():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(200):
+        tally = [(c, rng.randrange(3), rng.randrange(3)) for c in rng.sample(range(30), 9)]
+        loss = rng.choice([0.0, 0.1, 0.3])
+        good, bad = sum(t[1] for t in tally), sum(t[2] for t in tally)
+        best, cut = 0.0, float("inf")
+        for c in sorted((t[0] for t in tally), reverse=True):
+            lost = sum(t[1] for t in tally if t[0] >= c)
+            caught = sum(t[2] for t in tally if t[0] >= c)
+            if good and bad and lost <= loss * good and caught / bad - lost / good > best:
+                best, cut = caught / bad - lost / good, c / quality_rules.GRID
+        assert quality_rules.best_threshold(tally, loss) == cut
+
+
+def test_kept_follows_base_and_threshold(spark):
+    """The verdict of every row of the table, from the anomalies and the labels alone."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    rows = quality_rules.report(docs, labels).collect()
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    cells = {}
+    for r in rows:
+        if not r["base_failed"] and known.get(r["doc_id"]) is not None:
+            cell = cells.setdefault(int(r["anomaly"] * quality_rules.GRID), [0, 0])
+            cell[1 - known[r["doc_id"]]] += 1
+    cut = quality_rules.best_threshold([(c, g, b) for c, (g, b) in cells.items()], 0.01)
+    assert {r["doc_id"] for r in rows if r["kept"]} == {r["doc_id"] for r in rows if not r["base_failed"] and r["anomaly"] < cut}
 
 
 def test_fingerprints_and_components(spark, texts):
