@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
 
 #: Mean weight per trigram below which the script decides.
 FLOOR = -9.0
+#: Languages told by their script alone.
+SCRIPTS = {"ja": r"\p{InHiragana}", "ko": r"\p{IsHangul}"}
+#: Bytes of weights that a row-local model may hold.
+ROW_MODEL_BYTES = 64 << 20
 
 
 class LanguageModel(NamedTuple):
@@ -67,15 +71,20 @@ def detect(
     Where the best mean weight per trigram is below ``floor``, text with Hiragana becomes
     ``ja`` and text with Hangul ``ko``; other texts without letters get NULL.
 
-    A language's score is its base times the trigrams plus the lifts of those it showed, so
-    a text meets only languages that share a trigram with it, and the one of highest base.
+    For models of any size; :func:`detect_rows` needs no shuffle if the weights are small. A
+    text's words are counted before they are cut. A language's score is its
+    base times the trigrams plus the lifts of those it showed, so a text meets only languages
+    that share a trigram with it, and the one of highest base. Everything that is folded is a
+    number, so no fold sorts its rows.
     """
-    script = F.when(F.col(text).rlike(r"\p{InHiragana}"), "ja").when(F.col(text).rlike(r"\p{IsHangul}"), "ko")
-    grams = with_trigrams(with_words(texts.select(F.col(key).alias("_key"), text, script.alias("script")), text))
-    met = grams.join(model.lifts, "gram", "left").select("_key", "script", "gram", F.posexplode_outer("lifts").alias("i", "l"))
-    once = F.col("gram").isNotNull() & (F.coalesce("i", F.lit(0)) == 0)
+    # The script's place in SCRIPTS, from 1.
+    script = F.coalesce(*[F.when(F.col(text).rlike(p), i) for i, p in enumerate(SCRIPTS.values(), 1)])
+    words = with_words(texts.select(F.col(key).alias("_key"), text, script.alias("script")), text)
+    words = words.groupBy("_key", "word").agg(F.max("script").alias("script"), F.count("word").alias("n"))
+    met = with_trigrams(words).join(model.lifts, "gram", "left").select("_key", "script", "n", F.posexplode_outer("lifts").alias("i", "l"))
+    once = F.when(F.coalesce("i", F.lit(0)) == 0, F.col("n")).otherwise(0)
     per_language = met.groupBy("_key", F.col("l.lang").alias("lang")).agg(
-        F.max("script").alias("script"), F.count_if(once).alias("grams"), F.sum("l.lift").alias("lift")
+        F.max("script").alias("script"), F.sum(once).alias("grams"), F.sum(F.col("n") * F.col("l.lift")).alias("lift")
     )
     scored = (
         per_language.join(model.bases, "lang", "left")
@@ -93,10 +102,91 @@ def detect(
     score = lambda f: F.struct((f["lift"] + f["base"] * F.col("grams")).alias("s"), f["lang"].alias("name"))
     best = F.array_max(F.transform(F.concat("found", F.array(fallback)), score))
     scored = scored.withColumn("best", best)
-    some = F.col("grams") > 0
-    mean = F.when(some, F.col("best.s") / F.col("grams"))
-    found = F.when(some, F.col("best.name"))
-    if floor is not None:
-        unsure = mean.isNull() | (mean < floor)
-        found = F.when(unsure, F.coalesce("script", found)).otherwise(found)
+    named = F.get(F.array(*[F.lit(x) for x in SCRIPTS]), F.col("script") - 1)
+    found, mean = _decide(F.col("best"), F.col("grams"), named, floor)
     return scored.select(F.col("_key").alias(key), found.alias("detected"), mean.alias("mean_weight"))
+
+
+def _decide(best: Column, grams: Column, script: Column, floor: float | None) -> tuple[Column, Column]:
+    """Language and mean weight from the best struct of score ``s`` and ``name``."""
+    some = grams > 0
+    mean = F.when(some, best["s"] / grams)
+    found = F.when(some, best["name"])
+    if floor is not None:
+        found = F.when(mean.isNull() | (mean < floor), F.coalesce(script, found)).otherwise(found)
+    return found, mean
+
+
+class RowModel(NamedTuple):
+    """Weights that every task holds whole.
+
+    ``table`` is a written row with one array: a slot per trigram hash, each a list of the
+    trigrams filed there and their lifts, one per language in the order of ``langs``.
+    """
+
+    langs: list[str]
+    bases: list[float]
+    slots: int
+    table: DataFrame
+
+
+def row_model(model: LanguageModel, limit: int = ROW_MODEL_BYTES) -> RowModel:
+    """The weights as one hashed vector; an error beyond ``limit`` bytes, where :func:`detect` is the way."""
+    spark = model.bases.sparkSession
+    grams, n_langs = model.lifts.count(), model.bases.count()
+    size = grams * (8 * n_langs + 48)
+    if size > limit:
+        raise ValueError(f"{grams} trigrams of {n_langs} languages take {size} bytes, over {limit}; use detect()")
+    rows = sorted((r["lang"], r["base"]) for r in model.bases.collect())
+    langs, bases = [r[0] for r in rows], [r[1] for r in rows]
+    slots = max(2 * grams, 1)
+    by_lang = F.map_from_entries(F.transform("lifts", lambda x: F.struct(x["lang"], x["lift"])))
+    dense = F.transform(F.array(*[F.lit(x) for x in langs]), lambda x: F.coalesce(F.try_element_at(F.col("by_lang"), x), F.lit(0.0)))
+    filed = model.lifts.withColumn("by_lang", by_lang).select(_slot(F.col("gram"), slots).alias("slot"), F.struct("gram", dense.alias("lifts")).alias("e"))
+    filed = filed.groupBy("slot").agg(F.collect_list("e").alias("entries"))
+    every = spark.range(slots).withColumnRenamed("id", "slot").join(filed, "slot", "left")
+    in_order = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("entries", F.array()).alias("entries"))))
+    table = every.agg(F.transform(in_order, lambda x: x["entries"]).alias("vector"))
+    return RowModel(langs, bases, slots, materialize(table, "language-vector"))
+
+
+def _slot(gram: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(slots))
+
+
+def detect_rows(texts: DataFrame, model: RowModel, text: str = "text", floor: float | None = FLOOR) -> DataFrame:
+    """``texts`` with ``detected`` and ``mean_weight``, as :func:`detect` finds them, row by row.
+
+    Nothing is shuffled, so it works in a stream as well: every task holds the weights, and a
+    text's trigrams are folded into one sum per language.
+    """
+    letters = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+", " "))
+    chars = F.split(F.concat(F.lit(" "), letters, F.lit(" ")), "")
+    vector = F.col("_vector")
+    # array(x) and [0] hold a value that is used at every step.
+    around = lambda c: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(c) - 2, F.lit(1))),
+        lambda i: F.when(F.get(c, i) != " ", F.concat(F.get(c, i - 1), F.get(c, i), F.get(c, i + 1))),
+    )
+    grams = F.get(F.transform(F.array(chars), lambda c: F.array_compact(around(c))), 0)
+    add = lambda total, gram: F.aggregate(
+        F.get(vector, _slot(gram, model.slots).cast("int")),
+        total,
+        lambda t, e: F.when(e["gram"] == gram, F.zip_with(t, e["lifts"], lambda x, y: x + y)).otherwise(t),
+    )
+    zero = F.array(*[F.lit(0.0) for _ in model.langs])
+    folded = lambda g: F.struct(F.size(g).cast("long").alias("grams"), F.aggregate(g, zero, add).alias("lifts"))
+    lang = lambda i: F.get(F.array(*[F.lit(x) for x in model.langs]), i)
+    base = lambda i: F.get(F.array(*[F.lit(x) for x in model.bases]), i)
+    score = lambda f: F.array_max(
+        F.transform(f["lifts"], lambda lift, i: F.struct((lift + base(i) * f["grams"]).alias("s"), lang(i).alias("name")))
+    )
+    script = F.coalesce(*[F.when(F.col(text).rlike(p), name) for name, p in SCRIPTS.items()])
+
+    def decided(f: Column) -> Column:
+        found, mean = _decide(score(f), f["grams"], script, floor)
+        return F.struct(found.alias("detected"), mean.alias("mean_weight"))
+
+    counted = F.get(F.transform(F.array(grams), folded), 0)
+    out = texts.withColumn("_vector", model.table.scalar()).withColumn("_found", F.get(F.transform(F.array(counted), decided), 0))
+    return out.withColumns({c: F.col(f"_found.{c}") for c in ("detected", "mean_weight")}).drop("_found", "_vector")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.operators import balance as B
-from tallyloom.operators.language_id import detect, train
+from tallyloom.operators.language_id import detect, detect_rows, row_model, train
 from tallyloom.operators.process import map_partitions, pipe_rows
 from tallyloom.workload.genomes import N_PARTS, PLAN_SQL, SAM, mapped
 from tallyloom.workload.registry import query, table
@@ -37,6 +37,15 @@ def detect_language(spark, sf_dir):
     return found[0].unionByName(found[1]).select("doc_id", "detected")
 
 
+@query("detect_language_rows", DETECTED)
+def detect_language_rows(spark, sf_dir):
+    """The same without a shuffle of texts: the weights travel to the rows."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    halves = [documents.where(F.col("doc_id") % 2 == p) for p in (0, 1)]
+    found = [detect_rows(halves[p], row_model(train(halves[1 - p]))) for p in (0, 1)]
+    return found[0].unionByName(found[1]).select("doc_id", "detected")
+
+
 @query("pipe_upper", "select doc_id || ' ' || upper(source) as value from documents")
 def pipe_upper(spark, sf_dir):
     lines = table(spark, sf_dir, "documents").select(F.concat_ws(" ", "doc_id", "source").alias("value"))

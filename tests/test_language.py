@@ -43,3 +43,45 @@ def test_many_languages(spark, rows):
     df = spark.createDataFrame([(1, "wbqczz wbqcz"), (2, "xyx")], "doc_id int, text string")
     got = dict(rows(L.detect(df, model, "doc_id"), "doc_id", "detected"))
     assert got[1] == "l053" and got[2] is not None
+
+
+ODD_TEXTS = [
+    (1, "こんにちは"), (2, "안녕하세요"), (3, "12 ..."), (4, ""), (5, None), (6, "a"), (7, "ab " * 20_000), (8, "é😀ß"), (9, "x" * 90_000),
+]
+
+
+def test_rows_equal_the_shuffled_way(spark, rows, model):
+    texts = spark.read.parquet(DOCUMENTS).where("doc_id % 5 = 1").select("doc_id", "text")
+    texts = texts.union(spark.createDataFrame([(-i, t) for i, t in ODD_TEXTS], "doc_id long, text string"))
+    got = L.detect_rows(texts, L.row_model(model)).select("doc_id", "detected", F.round("mean_weight", 9))
+    want = L.detect(texts, model, "doc_id").select("doc_id", "detected", F.round("mean_weight", 9))
+    assert rows(got) == rows(want)
+
+
+def test_rows_need_no_shuffle_and_check_the_size(spark, model):
+    texts = spark.read.parquet(DOCUMENTS).select("doc_id", "text")
+    plan = L.detect_rows(texts, L.row_model(model))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Subquery")[0]
+    with pytest.raises(ValueError, match="use detect"):
+        L.row_model(model, limit=1000)
+
+
+def test_rows_with_many_languages(spark, rows):
+    model = L.train(spark.createDataFrame([(f"l{i:03}", f"w{chr(97 + i % 26)}q{chr(97 + i // 26)}z") for i in range(300)], "lang string, text string"))
+    df = spark.createDataFrame([(1, "wbqczz wbqcz"), (2, "xyx")], "doc_id int, text string")
+    got = L.detect_rows(df, L.row_model(model))
+    assert rows(got, "doc_id", "detected") == rows(L.detect(df, model, "doc_id"), "doc_id", "detected")
+
+
+def test_language_inside_a_stream(spark, rows, model, tmp_path):
+    """Two files arrive one after the other; each text gets the language a batch finds."""
+    from tallyloom.streaming.retweets import run_available
+
+    texts = spark.read.parquet(DOCUMENTS).where("doc_id < 40").select("doc_id", "text")
+    feed = str(tmp_path / "feed")
+    texts.where("doc_id < 20").write.parquet(feed)
+    texts.where("doc_id >= 20").write.mode("append").parquet(feed)
+    weights = L.row_model(model)
+    stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    got = run_available(L.detect_rows(stream, weights).drop("text"), "detected")
+    assert rows(got) == rows(L.detect_rows(texts, weights).drop("text"))
