@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize, scratch_path
+from tallyloom.streaming import incremental
 from tallyloom.streaming import retweets as S
 from tallyloom.workload.registry import query, table
 from tallyloom.workload.weblogs import LANG, NAMES, event_lang
@@ -119,6 +120,16 @@ def window_totals_compounded_stream(spark, sf_dir):
     return named(S.run_available(S.language_totals(tweets, True, SIZE, SLIDE), "compounded"))
 
 
+@query(
+    "window_totals_incremental_stream",
+    f"with {BASE} select {BOUNDS}, lang, total_in_language from comp where {CLOSED}",
+)
+def window_totals_incremental_stream(spark, sf_dir):
+    """The compounded totals, each from the one before by adding a window and subtracting one."""
+    totals = S.language_totals(S.windowed(stream_tweets(spark, sf_dir), SIZE, SLIDE, watermark="0 seconds"))
+    return named(S.run_available(incremental.compounded_totals(totals, SIZE, SLIDE), "incremental"))
+
+
 @query("window_ranking_batch", f"with {BASE} select {BOUNDS}, {TWEET_COLS}, total_in_language from joined")
 def window_ranking_batch(spark, sf_dir):
     tweets = materialize(S.windowed(batch_tweets(spark, sf_dir), SIZE, SLIDE), "windowed")

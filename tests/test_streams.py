@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +30,11 @@ def feed(tmp_path):
     folder.mkdir()
 
     def add(name, statuses):
-        (folder / f"{name}.json").write_text("\n".join(json.dumps(s) for s in statuses))
+        file = folder / f"{name}.json"
+        file.write_text("\n".join(json.dumps(s) for s in statuses))
+        # Files are taken by age, in whole milliseconds.
+        age = T0.timestamp() + len(list(folder.iterdir()))
+        os.utime(file, (age, age))
 
     return str(folder), add
 
@@ -113,3 +118,54 @@ def test_salts_do_not_change_the_join(spark, feed, rows, salts):
     got = S.with_language_totals(tweets, totals, salts)
     want = tweets.join(totals, ["window", "lang"])
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+GAPPED = [
+    [status(1, 1, 10), status(2, 2, 5, "de"), status(14, 1, 30)],
+    [status(33, 2, 8, "de"), status(61, 1, 31)],
+    [status(150, 1, 40), status(151, 3, 2, "fr"), status(152, 1, 44)],
+    [status(153, 3, 9, "fr"), status(420, 1, 50), status(421, 2, 70, "de")],
+    [status(700, 4, 1, "es")],
+]
+
+
+def test_incremental_totals_over_gaps_and_a_restart(spark, feed, rows, tmp_path):
+    """Files arrive one by one; the second run goes on with the first one's state."""
+    from tallyloom.streaming import incremental
+
+    path, add = feed
+    out, checkpoint = str(tmp_path / "totals"), str(tmp_path / "checkpoint")
+
+    def run():
+        source = spark.readStream.schema(S.TWEET_SCHEMA).option("maxFilesPerTrigger", 1).json(path)
+        totals = S.language_totals(S.windowed(S.retweeted(source), watermark="0 seconds"))
+        writer = incremental.compounded_totals(totals, S.WINDOW, S.SLIDE).writeStream.outputMode("append")
+        writer = writer.option("checkpointLocation", checkpoint).option("path", out).format("parquet")
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return [dict(op) for op in query.recentProgress[-1]["stateOperators"]]
+
+    for i, part in enumerate(GAPPED[:3]):
+        add(f"{i}", part)
+    run()
+    first = spark.read.parquet(out).count()
+    assert first > 0
+    for i, part in enumerate(GAPPED[3:], 3):
+        add(f"{i}", part)
+    operators = run()
+    everything = [json.dumps(s) for part in GAPPED for s in part]
+    batch = spark.createDataFrame(everything, "string").select(F.from_json("value", S.TWEET_SCHEMA).alias("s")).select("s.*")
+    want = S.language_totals(S.windowed(S.retweeted(batch)), compounded=True)
+    closed = want.where(F.col("window.end") <= F.lit(T0 + dt.timedelta(seconds=700)))
+    got = spark.read.parquet(out)
+    assert rows(got, "window", "lang", "total_in_language") == rows(closed, "window", "lang", "total_in_language")
+    assert got.count() > first
+    rings = next(op for op in operators if "transformWithState" in op["operatorName"])
+    assert int(rings["numRowsTotal"]) <= 8  # silent languages have left; a ring and a timer for each of the others
+
+
+def test_ring_needs_whole_slides(spark):
+    from tallyloom.streaming import incremental
+
+    with pytest.raises(ValueError):
+        incremental.compounded_totals(spark.range(1), "60 seconds", "7 seconds")
