@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the alignment formats.
+PAIRED = 1
 UNMAPPED = 4
+MATE_UNMAPPED = 8
 REVERSE = 16
 SECOND_IN_PAIR = 128
 SECONDARY = 256

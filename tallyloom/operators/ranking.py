@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
@@ -30,6 +30,19 @@ def top_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def top_pages_k(pages: DataFrame, k: int) -> DataFrame:
+    """Per language: all views, and its ``k`` largest lines with ``rank``, title and views.
+
+    Lines as in :func:`top_pages`; of equal views the greatest title comes first. Each task
+    passes on at most ``k`` lines of a language, so a hot language costs ``k`` rows a task.
+    """
+    kept = pages.where(F.col("lang") != F.col("title")).select(F.col("lang").alias("lang_code"), "title", "views")
+    order = Window.partitionBy("lang_code").orderBy(F.desc("views"), F.desc("title"))
+    top = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    totals = kept.groupBy("lang_code").agg(F.sum("views").alias("total_views"))
+    return totals.join(top, "lang_code").select("lang_code", "total_views", "rank", "title", "views")
+
+
 def retweets_in_span() -> Column:
     """Retweets between the lowest and the highest count seen."""
     return F.col("max_rt") - F.col("min_rt") + 1

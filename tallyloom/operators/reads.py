@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
@@ -58,27 +58,25 @@ def fix_qualities(reads: DataFrame, encodings: DataFrame, sample: str = "sample"
     )
 
 
-def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """Set the duplicate bit on all mapped reads but those of the best template of each fragment.
+def _contends(flag: Column) -> Column:
+    return ~G.has_flag(flag, G.UNMAPPED | G.SECONDARY | G.SUPPLEMENTARY)
+
 
-    A template is the primary mapped reads of one name in a library: a pair, or one read.
-    Templates are copies if their unclipped 5' ends (sequence, place and strand of both
-    mates) agree. The best has the highest sum of qualities, then the greatest name, and
-    its mates share its verdict. Secondary and supplementary lines are left alone. Each
-    read comes back once, whatever its name: names are folded to a row per template, and
-    the winners, partially aggregated maxima, are joined by library and name.
+def templates(reads: DataFrame) -> DataFrame:
+    """``library, qname, ends, score`` of the primary mapped reads of each name: a pair, or one read.
+
+    ``ends`` holds the unclipped 5' end of each mate, in order; ``score`` is the sum of all base
+    qualities. An end is one number made of a 64-bit hash of the sequence's name, the place
+    and the strand, so the raw reads go through a hash aggregate and are never sorted.
     """
     flag = F.col("flag")
-    contends = ~(G.has_flag(flag, G.UNMAPPED | G.SECONDARY | G.SUPPLEMENTARY))
     second = G.has_flag(flag, G.SECOND_IN_PAIR)
     total = F.aggregate(F.coalesce("quals", F.array().cast("array<int>")), F.lit(0), lambda a, q: a + q)
-    end = F.struct(
-        "rname",
-        G.unclipped_five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), flag).alias("five_prime"),
-        G.has_flag(flag, G.REVERSE).alias("reverse"),
-    )
-    templates = (
-        reads.where(contends)
+    five_prime = G.unclipped_five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), flag).cast("long")
+    place = F.shiftleft(five_prime, 1) + G.has_flag(flag, G.REVERSE).cast("long") + F.lit(1 << 33)  # 0 to 2^34
+    end = F.xxhash64("rname").cast("decimal(20, 0)") * F.lit(1 << 34).cast("decimal(11, 0)") + place.cast("decimal(11, 0)")
+    return (
+        reads.where(_contends(flag))
         .select("library", "qname", second.alias("second"), end.alias("at"), total.cast("long").alias("score"))
         .groupBy("library", "qname")
         .agg(
@@ -86,9 +84,23 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
             F.min(F.when(F.col("second"), F.col("at"))).alias("last"),
             F.sum("score").alias("score"),
         )
+        .select("library", "qname", F.array_sort(F.array_compact(F.array("first", "last"))).alias("ends"), "score")
     )
+
+
+def mark_duplicates(reads: DataFrame) -> DataFrame:
+    """Set the duplicate bit on all mapped reads but those of the best template of each fragment.
+
+    Templates (see :func:`templates`) are copies if their unclipped 5' ends agree. The best
+    has the highest sum of qualities, then the greatest name, and its mates share its
+    verdict. Secondary and supplementary lines are left alone. Each read comes back once,
+    whatever its name: names are folded to a row per template, and the winners, partially
+    aggregated maxima, are joined by library and name.
+    """
+    flag = F.col("flag")
     best = (
-        templates.groupBy("library", F.array_sort(F.array_compact(F.array("first", "last"))).alias("ends"))
+        templates(reads)
+        .groupBy("library", "ends")
         .agg(F.max(F.struct("score", "qname")).alias("best"))
         .select(F.col("library").alias("_library"), F.col("best.qname").alias("_qname"), F.lit(True).alias("_kept"))
     )
@@ -97,7 +109,7 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     same = F.col("library").eqNullSafe(F.col("_library")) & F.col("qname").eqNullSafe(F.col("_qname"))
     return (
         reads.join(best, same, "left")
-        .withColumn("flag", F.when(contends, marked).otherwise(flag))
+        .withColumn("flag", F.when(_contends(flag), marked).otherwise(flag))
         .drop("_library", "_qname", "_kept")
     )
 
@@ -115,12 +127,78 @@ def duplicate_metrics(marked: DataFrame) -> DataFrame:
     )
 
 
+#: Halvings of the bracket around a library's size.
+HALVINGS = 60
+
+
+def library_size(seen: Column, distinct: Column) -> Column:
+    """Molecules of a library of which ``seen`` draws showed ``distinct`` ones; NULL without a repeat.
+
+    Draws with replacement from X molecules show X (1 - exp(-seen / X)) distinct ones. With
+    y = seen / X that is (1 - exp(-y)) / y = distinct / seen, whose left side falls from 1 and
+    is below 1 / y, so y lies between 0 and seen / distinct; halving finds it.
+    """
+    ratio = distinct / seen
+    bracket = F.struct(F.lit(0.0).alias("low"), (seen / distinct).alias("high"))
+
+    def halve(b, _):
+        mid = (b["low"] + b["high"]) / 2
+        over = (1 - F.exp(-mid)) / mid > ratio
+        return F.struct(F.when(over, mid).otherwise(b["low"]).alias("low"), F.when(over, b["high"]).otherwise(mid).alias("high"))
+
+    y = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), bracket, halve, lambda b: (b["low"] + b["high"]) / 2)
+    return F.when((seen > distinct) & (distinct > 0), F.round(seen / y).cast("long"))
+
+
+def library_metrics(marked: DataFrame) -> DataFrame:
+    """Per library: pairs, single reads, secondary and unmapped lines apart, duplicates and the library's size.
+
+    A pair is counted once, by its two mapped primary lines; a read without a mapped mate is
+    single. One pass over the marked reads, a row per library and task in the shuffle.
+    """
+    flag = F.col("flag")
+    unmapped, extra = G.has_flag(flag, G.UNMAPPED), G.has_flag(flag, G.SECONDARY | G.SUPPLEMENTARY)
+    duplicate = G.has_flag(flag, G.DUPLICATE)
+    counted = ~unmapped & ~extra
+    mated = counted & G.has_flag(flag, G.PAIRED) & ~G.has_flag(flag, G.MATE_UNMAPPED)
+    single = counted & ~mated
+    n = lambda condition: F.count_if(condition)
+    half = lambda column: F.expr(f"{column} div 2")
+    counts = marked.groupBy("library").agg(
+        n(mated).alias("mates"),
+        n(mated & duplicate).alias("duplicate_mates"),
+        n(single).alias("singles"),
+        n(single & duplicate).alias("single_duplicates"),
+        n(extra & ~unmapped).alias("secondary_lines"),
+        n(unmapped).alias("unmapped_lines"),
+    )
+    reads = F.col("singles") + F.col("mates")
+    duplicates = F.col("single_duplicates") + F.col("duplicate_mates")
+    return counts.select(
+        "library",
+        half("mates").alias("pairs"),
+        half("duplicate_mates").alias("pair_duplicates"),
+        "singles",
+        "single_duplicates",
+        "secondary_lines",
+        "unmapped_lines",
+        F.round(100.0 * F.try_divide(duplicates, reads), 4).alias("duplicate_pct"),
+        library_size(half("mates"), half("mates") - half("duplicate_mates")).alias("library_size"),
+    )
+
+
+def copies_histogram(reads: DataFrame) -> DataFrame:
+    """``library, paired, copies, fragments``: how many fragments were seen in how many copies."""
+    groups = templates(reads).groupBy("library", "ends").agg(F.count("*").alias("copies"))
+    return groups.groupBy("library", (F.size("ends") > 1).alias("paired"), "copies").agg(F.count("*").alias("fragments"))
+
+
 #: Positions per tile when reads are brought together.
 TILE = 1 << 12
 
 
-def aligned_bases(reads: DataFrame) -> DataFrame:
-    """``rname, position, base, quality``: one row per base aligned by M, = or X."""
+def aligned_blocks(reads: DataFrame) -> Column:
+    """The stretches aligned by M, = or X: offsets in the read and on the reference, and length."""
     start = F.struct(
         F.lit(0).alias("read_at"),
         F.lit(0).alias("ref_at"),
@@ -136,9 +214,21 @@ def aligned_bases(reads: DataFrame) -> DataFrame:
             F.when(o["op"].isin(*"M=X"), F.concat(a["blocks"], F.array(block))).otherwise(a["blocks"]).alias("blocks"),
         )
 
-    blocks = F.aggregate(G.cigar_steps(F.col("cigar")), start, step, lambda a: a["blocks"])
+    return F.aggregate(G.cigar_steps(reads["cigar"]), start, step, lambda a: a["blocks"])
+
+
+def aligned_spans(reads: DataFrame) -> DataFrame:
+    """``chrom, start, end`` of every aligned block, for :func:`~tallyloom.operators.intervals.depth_runs`."""
+    first = F.col("pos") + F.col("b.ref_at")
+    return reads.select(F.col("rname").alias("chrom"), "pos", F.explode(aligned_blocks(reads)).alias("b")).select(
+        "chrom", first.alias("start"), (first + F.col("b.len") - 1).alias("end")
+    )
+
+
+def aligned_bases(reads: DataFrame) -> DataFrame:
+    """``rname, position, base, quality``: one row per base aligned by M, = or X."""
     return (
-        reads.select("rname", "pos", "seq", "quals", F.explode(blocks).alias("b"))
+        reads.select("rname", "pos", "seq", "quals", F.explode(aligned_blocks(reads)).alias("b"))
         .select(
             "rname",
             (F.col("pos") + F.col("b.ref_at")).alias("at"),

@@ -360,6 +360,39 @@ def duplicate_metrics(spark, sf_dir):
     return R.duplicate_metrics(R.mark_duplicates(reads(spark, sf_dir)))
 
 
+# The bracket is halved as in the library: y = seen / size.
+LIBRARY_SQL = f"""
+with recursive {MARKED},
+pair_marks as (
+  select row_number() over (partition by rname, flag & 16, fwd, rev order by list_sum(quals) desc, qname desc) > 1 as dup from usable),
+sums as (select count(*) as pairs, count(*) filter (where dup) as pair_duplicates from pair_marks),
+halved(k, low, high, ratio) as (
+  select 0, 0::double, pairs / (pairs - pair_duplicates)::double, (pairs - pair_duplicates)::double / pairs from sums
+  union all
+  select k + 1, case when (1 - exp(-(low + high) / 2)) / ((low + high) / 2) > ratio then (low + high) / 2 else low end,
+         case when (1 - exp(-(low + high) / 2)) / ((low + high) / 2) > ratio then high else (low + high) / 2 end, ratio
+  from halved where k < {R.HALVINGS})
+select 'LIB1' as library, pairs, pair_duplicates, 0::bigint as singles, 0::bigint as single_duplicates, pairs as secondary_lines,
+  0::bigint as unmapped_lines, round(100.0 * pair_duplicates / pairs, 4) as duplicate_pct,
+  case when pair_duplicates > 0 then cast(round(pairs / ((low + high) / 2)) as bigint) end as library_size
+from sums, halved where k = {R.HALVINGS}
+"""
+
+
+@query("duplicate_library_size", LIBRARY_SQL)
+def duplicate_library_size(spark, sf_dir):
+    return R.library_metrics(R.mark_duplicates(pair_lines(spark, sf_dir)))
+
+
+@query(
+    "duplicate_histogram",
+    f"""with {SAM}, groups as (select rname, flag & 16 as strand, fwd, rev, count(*) as copies from usable group by all)
+    select 'LIB1' as library, true as paired, copies, count(*) as fragments from groups group by copies""",
+)
+def duplicate_histogram(spark, sf_dir):
+    return R.copies_histogram(pair_lines(spark, sf_dir))
+
+
 # Read-relative blocks of the five CIGAR shapes: (read start, reference shift, length).
 BASES_SQL = f"""
 {MARKED},
@@ -389,6 +422,23 @@ def call_bases(spark, sf_dir):
     return call_input(reads(spark, sf_dir), targets(spark, sf_dir)).bases
 
 
+DEPTH_SQL = f"""
+with {BASES_SQL},
+stretches as (select rname as chrom, pos + b.s as s, least(pos + b.s + b.n - 1, ref_length) as e from blocks where pos + b.s <= ref_length),
+events as (
+  select chrom, place, sum(change) as change
+  from (select chrom, s as place, 1 as change from stretches union all select chrom, e + 1, -1 from stretches) group by all having sum(change) <> 0),
+swept as (select chrom, place, sum(change) over w as depth, lead(place) over w as following from events window w as (partition by chrom order by place))
+select chrom, place::bigint as start, following::bigint - 1 as "end", depth::bigint as depth from swept where depth > 0
+"""
+
+
+@query("depth_runs", DEPTH_SQL)
+def depth_runs(spark, sf_dir):
+    """Depth of aligned bases, one row per stretch of equal depth."""
+    return I.depth_runs(R.aligned_spans(reads(spark, sf_dir)))
+
+
 # ---- Placement -----------------------------------------------------------
 
 N_PARTS = 5
@@ -588,6 +638,36 @@ def interval_intersect(spark, sf_dir):
     return met.withColumn("rest", F.concat_ws(",", "rest"))
 
 
+# Suppliers as families of nested regions, from 10 bases to 100 million; orders as targets of three lengths.
+NESTED_SQL = """
+with regions as (
+  select (s_suppkey % 25)::int as chrom, greatest(center - (10 ** k)::bigint // 2, 1) as s, center + (10 ** k)::bigint // 2 as e
+  from (select s_suppkey, (s_suppkey * 7368787) % 200000000 + 1 as center from supplier), unnest(generate_series(1, 8)) u(k)),
+places as (select o_orderkey, o_custkey, (o_orderkey * 1299709) % 200000000 + 1 as s from orders),
+spots as (
+  select (o_custkey % 25)::int as chrom, o_orderkey, s,
+         s + case o_orderkey % 50 when 0 then 100000000 when 1 then 1500000 else o_custkey % 90 end as e from places)
+select 'chr' || t.chrom as chrom, o_orderkey, greatest(t.s, r.s) as start, least(t.e, r.e) as "end"
+from spots t join regions r on t.chrom = r.chrom and t.s <= r.e and r.s <= t.e
+"""
+
+
+@query("interval_intersect_nested", NESTED_SQL)
+def interval_intersect_nested(spark, sf_dir):
+    """Regions inside regions, up to 100 million bases long, against short and very long targets."""
+    chrom = lambda key: F.concat(F.lit("chr"), (F.col(key) % 25).cast("string")).alias("chrom")
+    center = (F.col("s_suppkey") * 7368787) % 200000000 + 1
+    size = F.explode(F.array(*[F.lit(10**k) for k in range(1, 9)]).cast("array<bigint>")).alias("size")
+    families = table(spark, sf_dir, "supplier").select(chrom("s_suppkey"), center.alias("center"), size)
+    half = F.expr("size div 2")
+    regions = families.select("chrom", F.greatest(F.col("center") - half, F.lit(1)).alias("start"), (F.col("center") + half).alias("end"))
+    start = (F.col("o_orderkey") * 1299709) % 200000000 + 1
+    kind = F.col("o_orderkey") % 50
+    length = F.when(kind == 0, 100000000).when(kind == 1, 1500000).otherwise(F.col("o_custkey") % 90)
+    spots = table(spark, sf_dir, "orders").select(chrom("o_custkey"), "o_orderkey", start.alias("start"), (start + length).alias("end"))
+    return I.intersect(spots, regions)
+
+
 # ---- Calls ---------------------------------------------------------------
 
 

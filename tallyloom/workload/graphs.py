@@ -200,3 +200,9 @@ def names_at_last_distance(spark, sf_dir):
 )
 def degrees_report(spark, sf_dir):
     return d.report_lines(d.degrees_of_separation(people(spark, sf_dir), SOURCE))
+
+
+@query("partner_counts")
+def partner_counts(spark, sf_dir):
+    """Different partners of every actor, by sketches; exact for actors of one movie."""
+    return g.partner_counts(edges(spark, sf_dir))

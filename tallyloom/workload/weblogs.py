@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.langnames import with_language_name
 from tallyloom.functions.text import clean_tweet, one_line
-from tallyloom.operators.ranking import totals_by_language, tweets_over_all_windows
+from tallyloom.operators.ranking import top_pages_k, totals_by_language, tweets_over_all_windows
 from tallyloom.plans.page_report import page_report, write_page_report
 from tallyloom.plans.retweet_report import retweet_report, write_retweet_report
 from tallyloom.session import scratch_path
@@ -57,6 +57,20 @@ def pagecounts_report(spark, sf_dir):
     return page_report(page_lines(spark, sf_dir)).rows
 
 
+TOP_K = 5
+
+
+@query(
+    "top_pages_k",
+    f"""with {PAGES}, kept as (select * from pages_in where lang <> title),
+    ranked as (select lang as lang_code, cast(sum(views) over (partition by lang) as bigint) as total_views,
+      cast(row_number() over (partition by lang order by views desc, title desc) as integer) as rank, title, views from kept)
+    select * from ranked where rank <= {TOP_K}""",
+)
+def top_pages(spark, sf_dir):
+    return top_pages_k(parse_pagecounts(page_lines(spark, sf_dir)).rows, TOP_K)
+
+
 @query("pagecounts_parse", f"with {PAGES} select project, lang, title, views, bytes from pages_in")
 def pagecounts_parse(spark, sf_dir):
     path = scratch_path(spark, "pagecounts")

@@ -127,3 +127,25 @@ def test_numbered_over_slices(spark, rows):
     assert got == sorted([(False, i + 1) for i in range(n * 9 // 10)] + [(True, i + 1) for i in range(n // 10)])
     first = numbered(df, "sex", ["name"]).where("n = 1")
     assert rows(first, "name") == [("n000000",), ("n000001",)]
+
+
+def test_partner_counts(spark, rows):
+    """Exact for actors of one movie; for the others within four standard errors, without listing a pair."""
+    rnd = random.Random(8)
+    pairs = {(f"a{rnd.randrange(3000)}", f"m{int(rnd.paretovariate(0.6)) % 300}") for _ in range(9000)} | {("lone", "own")}
+    casts = defaultdict(set)
+    movies = defaultdict(set)
+    for a, m in pairs:
+        casts[m].add(a)
+        movies[a].add(m)
+    got = {r.actor: r for r in g.partner_counts(spark.createDataFrame(sorted(pairs), "actor string, movie string")).collect()}
+    assert set(got) == set(movies) and got["lone"].partners == 0
+    for a, ms in movies.items():
+        want = len(set().union(*(casts[m] for m in ms)) - {a})
+        assert got[a].movies == len(ms)
+        if len(ms) == 1:
+            assert got[a].partners == want
+        else:
+            assert abs(got[a].partners - want) <= 1 + 4 * 1.04 / 2 ** (g.SKETCH_BITS / 2) * (want + 1)
+    assert any(len(m) > 3 for m in movies.values())
+    assert g.partner_counts(spark.createDataFrame([], "actor string, movie string")).count() == 0

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -148,6 +149,40 @@ def test_pairs_share_their_verdict(spark, rows):
     assert got == sorted([("p2", 99 + 256 + 1024), ("p2", 99 + 1024), ("p2", 147 + 1024), ("solo2", 1024)])
 
 
+def test_library_metrics(spark, rows):
+    """Pairs, single reads, secondary and unmapped lines apart; no size without a repeat."""
+    at = lambda name, flag, pos, qual="IIII": (name, flag, "c", pos, "4M", "=", 0, "ACGT", qual)
+    reads = [x for i in range(10) for x in (at(f"p{i:02}", 99, 100 + 50 * (i % 8)), at(f"p{i:02}", 147, 900))]
+    reads += [at("s1", 0, 100), at("s2", 0, 100, "!!!!"), at("m", 73, 2000), at("p00", 99 + 2048, 5000), at("u", 4, 1)]
+    marked = R.mark_duplicates(reads_of(spark, reads))
+    got = R.library_metrics(marked).first()
+    assert tuple(got)[:8] == ("L", 10, 2, 3, 1, 1, 1, round(100 * 5 / 23, 4))
+    x = got.library_size
+    assert abs(x * (1 - math.exp(-10 / x)) - 8) < 0.05
+    lonely = R.library_metrics(R.mark_duplicates(reads_of(spark, [at("a", 99, 1), at("a", 147, 50), at("b", 0, 9)])))
+    assert rows(lonely) == [("L", 1, 0, 1, 0, 0, 0, 0.0, None)]
+    assert R.library_metrics(marked.limit(0)).count() == 0
+    assert rows(R.copies_histogram(reads_of(spark, reads))) == [
+        ("L", False, 1, 1), ("L", False, 2, 1), ("L", True, 1, 6), ("L", True, 2, 2)
+    ]
+
+
+@pytest.mark.parametrize("seen, size", [(10, 12), (1_000, 50_000), (5_000_000, 300), (2_000_000_000, 7_000_000_000)])
+def test_library_size_solves_the_equation(spark, seen, size):
+    distinct = round(size * -math.expm1(-seen / size))
+    df = spark.createDataFrame([(seen, distinct)], "seen long, distinct long")
+    got = df.select(R.library_size(F.col("seen"), F.col("distinct"))).first()[0]
+    if distinct < size:  # else every molecule has been seen, and any larger size rounds to it
+        assert abs(got * -math.expm1(-seen / got) - distinct) <= 1
+    assert abs(got - size) <= max(2, 0.05 * size)
+
+
+def test_reads_are_folded_without_a_sort(spark):
+    at = lambda name, pos: (name, 0, "c", pos, "4M", "*", 0, "ACGT", "IIII")
+    plan = R.templates(reads_of(spark, [at("a", 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" in plan and "Sort" not in plan
+
+
 def brute_bases(reads, threshold):
     import re
     from collections import defaultdict

@@ -6,7 +6,7 @@ from tallyloom.functions import text as T
 from tallyloom.functions.langnames import LANGUAGE_NAMES
 from tallyloom.plans.page_report import page_report, write_page_report
 from tallyloom.plans.retweet_report import retweet_report
-from tallyloom.operators.ranking import totals_by_language, tweets_over_all_windows
+from tallyloom.operators.ranking import top_pages, top_pages_k, totals_by_language, tweets_over_all_windows
 from tallyloom.sources.weblogs import parse_pagecounts, parse_retweet_log
 
 PAGES = """en Alpha 10 500
@@ -111,3 +111,23 @@ def test_movie_key(spark, line, want):
 def test_language_table_is_small_and_unique():
     codes = [x.split(" ", 1)[0] for x in LANGUAGE_NAMES.strip().split("\n")]
     assert len(codes) == len(set(codes)) < 200
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_top_pages_k(spark, rows, k):
+    """Equal views go by title, repeated lines each count, and k = 1 is the plain report."""
+    import random
+
+    rng = random.Random(k)
+    pages = [(rng.choice(["en", "de", "fr"]), f"t{rng.randrange(6)}", rng.randrange(4)) for _ in range(60)] + [("xx", "xx", 9), ("aa", "b", 0)]
+    df = spark.createDataFrame(pages, "lang string, title string, views long").repartition(3)
+    want = []
+    for lang in {p[0] for p in pages if p[0] != p[1]}:
+        own = sorted((p for p in pages if p[0] == lang and p[1] != lang), key=lambda p: (p[2], p[1]), reverse=True)
+        want += [(lang, sum(p[2] for p in own), i + 1, p[1], p[2]) for i, p in enumerate(own[:k])]
+    got = top_pages_k(df, k)
+    assert rows(got) == sorted(want)
+    if k == 1:
+        assert rows(got, "lang_code", "total_views", "title", "views") == rows(top_pages(df))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan[plan.index("WindowGroupLimit") :].split("Exchange")[1]  # the limit stands below the shuffle
