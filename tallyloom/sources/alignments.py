@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
@@ -32,7 +32,7 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return materialize(parsed, "dictionary")
 
 
-def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
+def parse_sam(lines: DataFrame, on_error: str = "quarantine", counter: Observation | str | None = None) -> Parsed:
     """The eleven alignment columns, ``tags`` and the last base covered."""
     fields = F.col("fields")
     text = lambda i: F.get(fields, i)
@@ -56,7 +56,7 @@ def parse_sam(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     valid = F.col("qual").isNotNull()
     for name in ("flag", "pos", "mapq", "pnext", "tlen"):
         valid = valid & F.col(name).isNotNull()
-    return split_rejects(parsed, valid, "value", on_error)
+    return split_rejects(parsed, valid, "value", on_error, counter)
 
 
 def with_reference(reads: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def bed_header(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").rlike(_BED_HEADER))
 
 
-def parse_bed(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
+def parse_bed(lines: DataFrame, on_error: str = "quarantine", counter: Observation | str | None = None) -> Parsed:
     """``chrom, start, end`` as one-based inclusive ranges, and the fields after them in ``rest``."""
     fields = F.split("value", "\t")
     parsed = lines.where(~F.col("value").rlike(_BED_HEADER) & (F.col("value") != "")).select(
@@ -97,10 +97,10 @@ def parse_bed(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
         F.slice(fields, 4, F.greatest(F.size(fields) - 3, F.lit(0))).alias("rest"),
     )
     valid = F.col("start").isNotNull() & F.col("end").isNotNull()
-    return split_rejects(parsed, valid, "value", on_error)
+    return split_rejects(parsed, valid, "value", on_error, counter)
 
 
-def parse_vcf(lines: DataFrame, chr_only: bool = False, on_error: str = "quarantine") -> Parsed:
+def parse_vcf(lines: DataFrame, chr_only: bool = False, on_error: str = "quarantine", counter: Observation | str | None = None) -> Parsed:
     """Columns of variant calls, ``chrom_num`` and the whole ``line``.
 
     ``chr_only`` keeps lines that start with ``chr``; otherwise lines that do not
@@ -126,4 +126,4 @@ def parse_vcf(lines: DataFrame, chr_only: bool = False, on_error: str = "quarant
         value.alias("line"),
     )
     valid = F.col("pos").isNotNull() & F.col("alt").isNotNull()
-    return split_rejects(parsed, valid, "value", on_error)
+    return split_rejects(parsed, valid, "value", on_error, counter)

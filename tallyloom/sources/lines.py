@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
@@ -23,11 +23,15 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def split_rejects(parsed: DataFrame, valid, line: str, on_error: str = "quarantine") -> Parsed:
+def split_rejects(
+    parsed: DataFrame, valid, line: str, on_error: str = "quarantine", counter: Observation | str | None = None
+) -> Parsed:
     """Separate rows by ``valid``; the rejects keep the source line in ``line``.
 
     ``on_error`` is ``quarantine`` (rejects returned), ``drop`` (rejects empty) or
-    ``fail`` (the job stops at the first bad line).
+    ``fail`` (the job stops at the first bad line). ``counter`` is an observation, or in a
+    stream a name, that counts ``lines`` and ``rejects`` while the rows are computed: no
+    pass of its own.
     """
     if on_error not in ("quarantine", "drop", "fail"):
         raise ValueError(f"on_error: {on_error!r}")
@@ -36,6 +40,8 @@ def split_rejects(parsed: DataFrame, valid, line: str, on_error: str = "quaranti
         message = F.concat(F.lit("malformed line: "), F.col(line))
         ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     rejects = parsed.where(~ok if on_error == "quarantine" else F.lit(False)).select(line)
+    if counter is not None:
+        parsed = parsed.observe(counter, F.count(F.lit(1)).alias("lines"), F.count_if(~ok).alias("rejects"))
     return Parsed(parsed.where(ok).drop(line), rejects)
 
 
@@ -68,29 +74,19 @@ def number_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         "value",
     )
+    # One table of blocks, cut into slices of the path order, so no task sees a row per block
+    # of everything: numbers are added up within slices, then over the slices.
+    blocks = raw.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     blocks = materialize(
-        raw.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("n")),
-        "blocks",
-    )
-    # Files are numbered in two levels: within slices of the path order, then over the
-    # slices, so no task sees a row per file.
-    files = blocks.groupBy("file").agg(F.sum("n").alias("lines"))
-    sliced = materialize(
-        files.repartitionByRange("file").select("*", F.spark_partition_id().alias("slice")), "files"
+        blocks.repartitionByRange("file", "block").select("*", F.spark_partition_id().alias("slice")), "blocks"
     )
     before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
     offset = lambda column, window: F.coalesce(F.sum(column).over(before(window)), F.lit(0))
-    slices = sliced.groupBy("slice").agg(F.sum("lines").alias("lines"))
+    slices = blocks.groupBy("slice").agg(F.sum("n").alias("lines"))
     slices = slices.select("slice", offset("lines", Window.orderBy("slice")).alias("slice_offset"))
-    file_offsets = sliced.join(slices, "slice").select(
-        "file",
-        (F.col("slice_offset") + offset("lines", Window.partitionBy("slice").orderBy("file"))).alias("file_offset"),
-    )
-    in_file = Window.partitionBy("file").orderBy("block")
+    in_slice = offset("n", Window.partitionBy("slice").orderBy("file", "block"))
     offsets = materialize(
-        blocks.withColumn("block_offset", offset("n", in_file))
-        .join(file_offsets, "file")
-        .select(_path_hash("file"), "block", "first", "n", (F.col("file_offset") + F.col("block_offset")).alias("offset")),
+        blocks.join(slices, "slice").select(_path_hash("file"), "block", "first", "n", (F.col("slice_offset") + in_slice).alias("offset")),
         "block-offsets",
     )
     in_block = F.col("row") - F.col("first")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import genome as G
+from tallyloom.operators.callsets import sort_calls
+from tallyloom.session import materialize
+from tallyloom.sources.single_file import write_single_file
 
 # Column headings of the two reports.
 PAGE_REPORT = {
@@ -59,3 +62,35 @@ def write_sorted_alignments(reads: DataFrame, path: str, n_partitions: int) -> N
         .write.partitionBy("ref_index")
         .parquet(path)
     )
+
+
+# Header lines of the two formats.
+SAM_VERSION = "@HD\tVN:1.6\tSO:coordinate"
+VCF_VERSION = "##fileformat=VCFv4.2"
+VCF_COLUMNS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO")
+
+
+def _sequences(dictionary: DataFrame) -> list[tuple[str, int]]:
+    """Names and lengths in order; a dictionary is a header, small enough for one machine."""
+    rows = dictionary.select("ref_index", "name", "length").orderBy("ref_index").limit(1 << 20).collect()
+    return [(r["name"], r["length"]) for r in rows]
+
+
+def write_sam(reads: DataFrame, dictionary: DataFrame, path: str) -> int:
+    """All reads as one alignment file in coordinate order, its header from the dictionary; returns its lines.
+
+    Reads of unknown sequences come last. Expects ``ref_index`` and the eleven columns and tags.
+    """
+    header = [SAM_VERSION] + [f"@SQ\tSN:{name}\tLN:{length}" for name, length in _sequences(dictionary)]
+    columns = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags")
+    line = F.concat_ws("\t", *columns)
+    lines = materialize(reads.select("ref_index", "pos", "qname", "flag", line.alias("value")), "sam-lines")
+    return write_single_file(lines.orderBy(F.asc_nulls_last("ref_index"), "pos", "qname", "flag", "value"), path, header)
+
+
+def write_vcf(calls: DataFrame, dictionary: DataFrame, path: str, samples: tuple[str, ...] = ()) -> int:
+    """All calls as one file in order, its contigs from the dictionary; returns its lines."""
+    columns = VCF_COLUMNS + (("FORMAT", *samples) if samples else ())
+    contigs = [f"##contig=<ID={name},length={length}>" for name, length in _sequences(dictionary)]
+    ordered = sort_calls(materialize(calls, "calls")).select(F.col("line").alias("value"))
+    return write_single_file(ordered, path, [VCF_VERSION, *contigs, "\t".join(columns)])

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import language_of_project, to_bigint
 from tallyloom.sources.lines import Parsed, split_rejects, with_fields
 
 
-def parse_pagecounts(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
+def parse_pagecounts(lines: DataFrame, on_error: str = "quarantine", counter: Observation | str | None = None) -> Parsed:
     """``project, lang, title, views, bytes`` of blank-separated lines."""
     fields = F.col("fields")
     parsed = with_fields(lines, " ").select(
@@ -20,7 +20,7 @@ def parse_pagecounts(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
         to_bigint(F.get(fields, 2)).alias("views"),
         to_bigint(F.get(fields, 3)).alias("bytes"),
     )
-    return split_rejects(parsed, F.col("views").isNotNull(), "value", on_error)
+    return split_rejects(parsed, F.col("views").isNotNull(), "value", on_error, counter)
 
 
 # Fixed value: headings of the log.
@@ -30,7 +30,7 @@ RETWEET_LOG_HEADER = (
 )
 
 
-def parse_retweet_log(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
+def parse_retweet_log(lines: DataFrame, on_error: str = "quarantine", counter: Observation | str | None = None) -> Parsed:
     """Nine columns of a retweet log; the text keeps its commas, headers are dropped."""
     fields = F.col("fields")
     number = lambda i: to_bigint(F.get(fields, i))
@@ -50,4 +50,4 @@ def parse_retweet_log(lines: DataFrame, on_error: str = "quarantine") -> Parsed:
     valid = F.lit(True)
     for name in numbers:
         valid = valid & F.col(name).isNotNull()
-    return split_rejects(parsed, valid & F.col("text").isNotNull(), "value", on_error)
+    return split_rejects(parsed, valid & F.col("text").isNotNull(), "value", on_error, counter)

@@ -11,6 +11,8 @@ from tallyloom.functions.langnames import with_language_name
 from tallyloom.functions.text import one_line
 from tallyloom.operators.ranking import retweets_in_span
 from tallyloom.session import scratch_path
+from tallyloom.sources.single_file import write_single_file
+from tallyloom.sources.weblogs import RETWEET_LOG_HEADER
 
 # Window, slide and batch interval of the log.
 WINDOW = "60 seconds"
@@ -126,6 +128,22 @@ def write_log_batch(batch: DataFrame, batch_id: int, path: str, start, warm_up:
         batch.unpersist()
 
 
+def write_log_text(batch: DataFrame, batch_id: int, path: str, start, warm_up: str = WARM_UP) -> None:
+    """One micro-batch as ordered text under the log's heading, in a file of its own that replaces an earlier try.
+
+    Fields are set apart by commas; the text, which comes last, keeps its own. A batch
+    without rows leaves no file. :func:`~tallyloom.sources.weblogs.parse_retweet_log` reads it.
+    """
+    batch = batch.persist()  # the order is sampled before it is written
+    try:
+        rows = log_rows(after_warm_up(batch, start, warm_up), start)
+        if not rows.isEmpty():
+            lines = rows.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]).alias("value"))
+            write_single_file(lines, f"{path}/batch-{batch_id:09d}.csv", [RETWEET_LOG_HEADER])
+    finally:
+        batch.unpersist()
+
+
 def start_log(
     rows: DataFrame,
     path: str,
@@ -133,13 +151,15 @@ def start_log(
     start,
     interval: str | None = BATCH_INTERVAL,
     warm_up: str = WARM_UP,
+    text: bool = False,
 ) -> StreamingQuery:
-    """Log each micro-batch with :func:`write_log_batch`.
+    """Log each micro-batch with :func:`write_log_batch`, or as ``text`` with :func:`write_log_text`.
 
-    A batch that runs again after a failure replaces its own folder, so nothing is
+    A batch that runs again after a failure replaces its own folder or file, so nothing is
     logged twice. ``interval=None`` processes what is there and stops.
     """
-    write = lambda batch, batch_id: write_log_batch(batch, batch_id, path, start, warm_up)
+    how = write_log_text if text else write_log_batch
+    write = lambda batch, batch_id: how(batch, batch_id, path, start, warm_up)
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()

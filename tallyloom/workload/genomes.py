@@ -510,8 +510,12 @@ def coordinate_sorted(spark, sf_dir):
     """Written sorted, read back and numbered by the place in the files."""
     path = scratch_path(spark, "sorted")
     sinks.write_sorted_alignments(mapped(spark, sf_dir), path, N_PARTS)
-    place = Window.partitionBy("ref_index").orderBy("_metadata.file_name", "_metadata.row_index")
-    return spark.read.parquet(path).select("ref_index", F.row_number().over(place).alias("n"), "qname", "flag", "pos")
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    files = rows.groupBy("ref_index", "file").agg(F.count("*").alias("rows"))  # a row per file: the only ones a window sees
+    before = Window.partitionBy("ref_index").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("ref_index", "file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    n = (F.col("offset") + F.col("row") + 1).cast("int").alias("n")
+    return rows.join(offsets, ["ref_index", "file"]).select("ref_index", n, "qname", "flag", "pos")
 
 
 # ---- Intervals -----------------------------------------------------------
@@ -724,11 +728,53 @@ def vcf_parse(spark, sf_dir):
 def vcf_sorted(spark, sf_dir):
     """Written in order; the line numbers of the written files show the order."""
     path = scratch_path(spark, "sorted-calls")
-    calls = A.parse_vcf(call_lines(spark, sf_dir, True), chr_only=True).rows
+    # Written before the sort, which reads its rows twice: once to choose the ranges.
+    calls = materialize(A.parse_vcf(call_lines(spark, sf_dir, True), chr_only=True).rows, "calls")
     sinks.write_calls(C.sort_calls(calls), path)
     return number_lines(spark, path)
 
 
+CONTIGS = """
+contigs as (
+  select n_nationkey as k, 'chr' || case n_nationkey when 0 then 'M' when 23 then 'X' when 24 then 'Y' else cast(n_nationkey as varchar) end as name,
+         50000 + 1000 * n_nationkey as length from nation)
+"""
+
+
+@query(
+    "vcf_single_file",
+    f"""with {TRUTH}, {CONTIGS}, heads as (
+      select 0 as pos, '##fileformat=VCFv4.2' as value union all select k + 1, '##contig=<ID=' || name || ',length=' || length || '>' from contigs
+      union all select 26, array_to_string(['#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', 'S1'], chr(9)))
+    select pos::bigint as pos, value from heads
+    union all select row_number() over (order by chrom_num nulls last, chrom, pos, {LINE}) + 26, {LINE} from truth""",
+)
+def vcf_single_file(spark, sf_dir):
+    """One file with its header, read back with line numbers."""
+    path = f"{scratch_path(spark, 'calls')}.vcf"
+    calls = A.parse_vcf(call_lines(spark, sf_dir, True), chr_only=True).rows
+    sinks.write_vcf(calls, dictionary(spark, sf_dir), path, ("S1",))
+    return number_lines(spark, path)
+
+
+@query(
+    "sam_single_file",
+    f"""with {SAM}, {CONTIGS}, heads as (
+      select 0 as pos, '@HD' || chr(9) || 'VN:1.6' || chr(9) || 'SO:coordinate' as value
+      union all select k + 1, '@SQ' || chr(9) || 'SN:' || name || chr(9) || 'LN:' || length from contigs),
+    texts as (select ref, pos, qname, flag, concat_ws(chr(9), qname, flag, rname, pos, mapq, cigar, '*', '0', '0', seq, qual, 'NM:i:0', 'XR:Z:' || rf) as value from mapped)
+    select pos::bigint as pos, value from heads
+    union all select row_number() over (order by ref, pos, qname, flag, value) + 25, value from texts""",
+)
+def sam_single_file(spark, sf_dir):
+    """Mapped reads in coordinate order as one alignment file with the dictionary as its header."""
+    path = f"{scratch_path(spark, 'reads')}.sam"
+    reference = dictionary(spark, sf_dir)
+    placed = A.mapped_reads(A.with_reference(alignments(spark, sf_dir), reference))
+    sinks.write_sam(placed, reference, path)
+    return number_lines(spark, path)
+
+
 @query("calls_per_chrom", f"with {TRUTH} select chrom_num, count(*) as calls from truth group by chrom_num")
 def calls_per_chrom(spark, sf_dir):
     calls = A.parse_vcf(call_lines(spark, sf_dir, True)).rows

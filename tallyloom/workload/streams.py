@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize, scratch_path
+from tallyloom.sources.lines import read_lines
+from tallyloom.sources.tail import tail_lines
+from tallyloom.sources.weblogs import parse_retweet_log
 from tallyloom.streaming import incremental
 from tallyloom.streaming import retweets as S
 from tallyloom.workload.registry import query, table
@@ -146,16 +149,41 @@ def window_ranking_stream(spark, sf_dir):
     return named(S.run_available(_stream_ranking(spark, sf_dir), "ranking"))
 
 
-@query(
-    "window_log",
-    f"""with {BASE}
+LOG_SQL = f"""with {BASE}
     select epoch(ws + interval 6 hours)::bigint - epoch(timestamp '2024-01-01')::bigint as seconds,
            coalesce(name, lang) as language, lang as lang_code, total_in_language, tweet_id, max_rt, min_rt,
            max_rt - min_rt + 1 as retweets, replace(text, chr(10), ' ') as text
     from joined left join {NAMES} on code = lang
-    where {CLOSED} and ws + interval 6 hours >= timestamp '2024-01-01' + interval 30 hours""",
-)
+    where {CLOSED} and ws + interval 6 hours >= timestamp '2024-01-01' + interval 30 hours"""
+
+
+@query("window_log", LOG_SQL)
 def window_log(spark, sf_dir):
     base = scratch_path(spark, "log")
     S.start_log(_stream_ranking(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours").awaitTermination()
     return spark.read.parquet(f"{base}/log").drop("batch_id")
+
+
+@query("window_log_text", LOG_SQL)
+def window_log_text(spark, sf_dir):
+    """The log as text with its heading, and parsed again."""
+    base = scratch_path(spark, "text-log")
+    query = S.start_log(_stream_ranking(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours", text=True)
+    query.awaitTermination()
+    return parse_retweet_log(read_lines(spark, f"{base}/log")).rows
+
+
+@query(
+    "live_lines",
+    "select doc_id || ' ' || source || ' ' || n_chars as value from documents",
+)
+def live_lines(spark, sf_dir):
+    """Lines that arrive in two rounds at a live source; the second run goes on where the first one stopped."""
+    base = scratch_path(spark, "live")
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", "doc_id", "source", "n_chars").alias("value"))
+    for half in (0, 1):
+        lines.where(F.col("doc_id") % 2 == half).select("value").write.mode("append").text(f"{base}/feed")
+        writer = tail_lines(spark, f"{base}/feed", ".txt").writeStream.option("checkpointLocation", f"{base}/checkpoint")
+        query = writer.option("path", f"{base}/taken").format("parquet").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.schema("value string").parquet(f"{base}/taken")
