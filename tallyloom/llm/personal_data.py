@@ -23,6 +23,42 @@ from pyspark.sql import functions as F
 CHUNK = 256
 #: Characters before a span in which context words count.
 NEAR = 40
+#: What a context word adds to a kind that is told by its form.
+CONTEXT_SCORE = 0.1
+#: What it adds to a kind whose form says little: without one such a span isn't reported.
+DECIDING = 0.4
+
+# Characters of an account number by country, from the public registry.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FO FI GL NL SD FK",
+    19: "MK SI",
+    20: "AT BA EE KZ XK LT LU MN",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ MD PK RO SA SE SK ES TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """Compact, or in groups of four set apart by single spaces; a match ends where its country's number ends."""
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        n = length - 4
+        grouped = f"(?: [A-Z0-9]{{4}}){{{n // 4}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        forms.append(f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?:[A-Z0-9]{{{n}}}|{grouped})")
+    return f"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
 
 
 @dataclass(frozen=True)
@@ -40,6 +76,7 @@ class Kind:
     score: float
     context: str
     base: bool = True
+    boost: float = CONTEXT_SCORE
 
 
 LUHN = (
@@ -89,17 +126,35 @@ KINDS = [
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        _iban_pattern(),
         "t rlike '[A-Z][A-Z][0-9][0-9]'",
         MOD97,
-        0.8,
+        0.9,
         r"(?i)(iban|account|konto|bank|cuenta|compte)",
         base=False,
     ),
+    Kind(
+        "ssn",
+        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        "instr(t, '-') > 0",
+        "not s.m rlike '^(000|666|9)|-00-|-0000$'",
+        0.5,
+        r"(?i)((?<![a-z])ssn(?![a-z])|social security)",
+        base=False,
+        boost=DECIDING,
+    ),
+    Kind(
+        "secret",
+        r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,}+",
+        "t rlike '[A-Za-z0-9_-]{32}'",
+        "s.m rlike '[0-9]' and s.m rlike '[A-Za-z]'",
+        0.5,
+        r"(?i)(token|secret|passw|api.?key|credential)",
+        base=False,
+        boost=DECIDING,
+    ),
 ]
-#: What a context word adds.
-CONTEXT_SCORE = 0.1
-SPAN = "struct<start: int, end: int, place: int, kind: string, score: double>"
+SPAN = "struct<start: int, place: int, end: int, kind: string, score: double>"
 
 
 def _sql_text(s: str) -> str:
@@ -128,16 +183,17 @@ def kind_spans(kind: Kind, place: int) -> str:
     )
     near = f"substring(t, greatest(s.start - {NEAR - 1}, 1), least(s.start, {NEAR}))"
     scored = (
-        f"transform(filter({all_spans}, s -> {kind.check}), s -> named_struct('start', s.start, 'end', s.end, 'place', {place},"
-        f" 'kind', '{kind.name}', 'score', {kind.score}D + if({near} rlike {_sql_text(kind.context)}, {CONTEXT_SCORE}D, 0D)))"
+        f"transform(filter({all_spans}, s -> {kind.check}), s -> named_struct('start', s.start, 'place', {place}, 'end', s.end,"
+        f" 'kind', '{kind.name}', 'score', {kind.score}D + if({near} rlike {_sql_text(kind.context)}, {kind.boost}D, 0D)))"
     )
     return f"if({kind.has}, {scored}, cast(array() as array<{SPAN}>))"
 
 
 def with_spans(docs: DataFrame, min_score: float = 0.8, text: str = "text") -> DataFrame:
-    """``docs`` and ``__spans``: structs of start, end (exclusive, code points), place, kind and score.
+    """``docs`` and ``__spans``: structs of start, place, end (exclusive, code points), kind and score.
 
-    Kinds of the base stay at any score; others need ``min_score``.
+    Kinds of the base stay at any score; others need ``min_score``, which account numbers reach
+    by their checksum and the forms that say little (``ssn``, ``secret``) by a context word.
     """
     found = docs.withColumn("t", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     kept = [

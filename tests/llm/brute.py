@@ -43,10 +43,57 @@ def pii(text):
     for m in PHONE.finditer(text):
         if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
             spans.append((m.start(), 3, "phone", m.end()))
-    spans.sort()
     counts = Counter(s[2] for s in spans)
-    listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
-    return tuple(counts[k] for k in ("email", "ip", "card", "phone")), hashlib.sha256(listed.encode()).hexdigest(), listed
+    base = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+    spans += more_pii(text)
+    listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+    return tuple(counts[k] for k in ("email", "ip", "card", "phone")), hashlib.sha256(base.encode()).hexdigest(), listed
+
+
+def account_at(text, i, lengths):
+    """End of an account number that begins at ``i``, compact or in groups of four, or none."""
+    size = lengths.get(text[i : i + 2])
+    if size is None or (i and re.match("[A-Za-z0-9]", text[i - 1])):
+        return None
+    for grouped in (False, True):
+        got, at = "", i
+        while len(got) < size:
+            if grouped and got and len(got) % 4 == 0:
+                if text[at : at + 1] != " ":
+                    break
+                at += 1
+            if not re.match("[A-Z0-9]", text[at : at + 1]):
+                break
+            got, at = got + text[at], at + 1
+        if len(got) == size and re.match("[0-9]{2}", got[2:]) and not re.match("[A-Za-z0-9]", text[at : at + 1]):
+            return got, at
+    return None
+
+
+def more_pii(text):
+    from tallyloom.llm.personal_data import IBAN_LENGTHS
+
+    lengths = {c: n for n, cs in IBAN_LENGTHS.items() for c in cs.split()}
+    out, i = [], 0
+    while i < len(text):
+        found = account_at(text, i, lengths) if text[i : i + 1].isupper() else None
+        if found is None:
+            i += 1
+            continue
+        number = "".join(str(int(c, 36)) for c in found[0][4:] + found[0][:4])
+        if int(number) % 97 == 1:
+            out.append((i, 4, "iban", found[1]))
+        i = found[1]
+    for m in re.finditer(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])", text):
+        near = text[max(0, m.start() - 40) : m.start()]
+        real = m[1] not in ("000", "666") and m[1][0] != "9" and m[2] != "00" and m[3] != "0000"
+        if real and re.search(r"(?i)(?<![a-z])ssn(?![a-z])|social security", near):
+            out.append((m.start(), 5, "ssn", m.end()))
+    for m in re.finditer(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,}", text):
+        near = text[max(0, m.start() - 40) : m.start()]
+        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and re.search("(?i)token|secret|passw|api.?key|credential", near):
+            out.append((m.start(), 6, "secret", m.end()))
+    return out
 
 
 def rules(text):
