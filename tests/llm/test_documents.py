@@ -144,7 +144,7 @@ def random_texts(count):
 
     rng = random.Random(6)
     pieces = [
-        "4111111111111111", "1.2.3.4", "@", "a.b", ".com", " ", " ", "-", "+", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "BIC",
+        "4111111111111111", "1.2.3.4", "4111111111111111@x.com", "1.2.3.4@host.com", "1.2.3.4@host.com", "@", "a.b", ".com", " ", " ", "-", "+", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "BIC",
         "ssn ", "123-45-6789", "token ", "0f" * 16, "x", "49", "(0)", "+49 30 1234567", "é", "256", ".", "_", "iban ",
     ]
     return ["".join(rng.choice(pieces) for _ in range(rng.randrange(14))) for _ in range(count)]
