@@ -209,7 +209,7 @@ def _listed(condition: str) -> Column:
 
 
 def report(docs: DataFrame, min_score: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: spans of each base kind counted, the digest of the base list, all spans and their scores."""
+    """Per document: spans of each base kind counted, the digest of the base list, all spans, their scores and number."""
     found = with_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), min_score)
     base = [i for i, k in enumerate(KINDS) if k.base]
     return found.select(
@@ -218,6 +218,7 @@ def report(docs: DataFrame, min_score: float = 0.8, doc_id: str = "doc_id", text
         F.sha2(_listed(f"s.place <= {base[-1]}").cast("binary"), 256).alias("base_sha256"),
         _listed("true").alias("spans"),
         F.expr("array_join(transform(__spans, s -> format_number(s.score, 1)), ',')").alias("scores"),
+        F.size("__spans").cast("long").alias("n_spans"),
     )
 
 
