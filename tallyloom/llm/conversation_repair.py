@@ -27,7 +27,6 @@ import struct
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -71,8 +70,19 @@ State = tuple[tuple[int | None, int], ...]
 FIRST: State = ((0, 0), (None, 0), (None, 0), (None, 0))
 
 
-@lru_cache(maxsize=1 << 16)
+#: Steps that a worker has met; a plain table, which travels with the functions that use it.
+STEPS: dict[tuple[State, str, str], tuple[State, int, int]] = {}
+
+
 def step(state: State, initial: str, fault: str) -> tuple[State, int, int]:
+    """:func:`new_step`, remembered."""
+    key = (state, initial, fault)
+    if key not in STEPS:
+        STEPS[key] = new_step(state, initial, fault)
+    return STEPS[key]
+
+
+def new_step(state: State, initial: str, fault: str) -> tuple[State, int, int]:
     """States after a row, what the least cost grew by, and four back pointers in one number.
 
     ``initial``: s, u, a or nothing for any other role; ``fault``: ``delete`` or ``truncated``

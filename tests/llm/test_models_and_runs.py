@@ -71,53 +71,112 @@ def test_line_runs_keep_columns(spark):
     assert line_runs.dedup(df.limit(0), 1).count() == 0
 
 
-def slow_ppm(texts, order, share):
+def slow_ppm(texts, order):
     """A dictionary of counts and the probability of a symbol in a context, by the same rules."""
     counts = [{} for _ in range(order + 1)]
-    total = 0
     for t in texts:
         s = [256] * order + list(t) + [256]
         for i in range(order, len(s)):
-            total += 1
             for k in range(order + 1):
                 c = counts[k].setdefault(tuple(s[i - k : i]), Counter())
                 c[s[i]] += 1
-    kept = [{c: {s for s, n in by.items() if n >= total * share} for c, by in level.items()} for level in counts]
 
     def probability(context, symbol):
         p, excluded = 1.0, set()
         for k in range(order, -1, -1):
-            c = tuple(context[order - k :]) if k else ()
-            nodes = kept[k].get(c)
-            if not nodes:
+            by = counts[k].get(tuple(context[order - k :]) if k else ())
+            if not by:
                 continue
-            by = counts[k][c]
-            whole = sum(by.values()) + len(by) - sum(by[s] + 1 for s in excluded)
-            if symbol in nodes:
+            whole = sum(n + 1 for s, n in by.items() if s not in excluded)
+            if symbol in by:
                 return p * by[symbol] / whole
-            left = whole - sum(by[s] for s in nodes - excluded)
+            left = len(by) - len(excluded)
             p *= left / whole if left else 1
-            excluded |= nodes
-        return p / (257 - len(excluded))
+            excluded = set(by)
+        return p / max(257 - len(excluded), 1)
 
     return probability
 
 
-@pytest.mark.parametrize("share", [0.0, 0.004])
-def test_trie_equals_slow_version(spark, share):
-    rng = random.Random(5)
-    texts = ["".join(rng.choice("abcde ") for _ in range(rng.randrange(60))) for _ in range(40)] + ["", "é\x00ÿ"]
-    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
-    trie = language_model.learn(df, 3, share)
-    slow = slow_ppm([t.encode() for t in texts], 3, share)
-    for t in [b"abc de", b"", b"zzz", b"aaaa", "é".encode()]:
-        s = [256] * 3 + list(t) + [256]
-        want = sum(math.log(slow(s[i - 3 : i], s[i])) for i in range(3, len(s)))
-        assert abs(trie.score([b"x", t, b"abc"])[1] - want) < 1e-4
-    contexts = [[256, 97, 98], [97, 98, 99], [120, 121, 122], [256, 256, 256]]
+def codes_of(texts, order):
+    return Counter(language_model.grams(texts, order)[0].tolist())
+
+
+@pytest.mark.parametrize("order", [0, 1, 3, 5])
+def test_probabilities_equal_the_slow_version(spark, order):
+    """Of learned grams, grams of unknown contexts and of unseen bytes; of one context they add up to one."""
+    rng = random.Random(order)
+    draw = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(60))).encode()
+    learned = [draw("abcde ") for _ in range(40)] + [b"", "é\x00ÿ".encode()]
+    asked = [draw("abcdefz ") for _ in range(30)] + [b"", b"zzz", b"\xff"]
+    n = codes_of(learned, order)
+    contexts = [[256] * order, [98, 97, 99, 97, 98][:order], [121] * order]
+    every = []
     for c in contexts:
-        codes = np.array([c[2] << 27 | c[1] << 18 | c[0] << 9 | s for s in range(257)])
-        assert abs(np.exp(trie.log_probabilities(codes)).sum() - 1) < 1e-4
+        high = sum(b << 9 * (i + 1) for i, b in enumerate(c))
+        every.append([high | s for s in range(257)])
+    codes = set(n) | set(codes_of(asked, order)) | {x for row in every for x in row}
+    df = spark.createDataFrame([(c, n.get(c, 0), c % 7) for c in sorted(codes)], "code long, n long, bucket long").repartition(3)
+    got = {r["code"]: r["logp"] for r in language_model.log_probabilities(df, order).collect()}
+    assert set(got) == codes
+    slow = slow_ppm(learned, order)
+    for c in codes:
+        symbols = [c >> 9 * i & 511 for i in range(order + 1)]
+        assert abs(got[c] - math.log(slow(symbols[1:], symbols[0]))) < 1e-9
+    for row in every:
+        assert abs(sum(math.exp(got[c]) for c in row) - 1) < 1e-9
+
+
+def test_scores_equal_the_slow_version(spark, monkeypatch):
+    """Whole documents, over many chunks and pieces."""
+    monkeypatch.setattr(language_model, "CHUNK", 150)
+    monkeypatch.setattr(language_model, "PIECE", 40)
+    rng = random.Random(9)
+    texts = {i: " ".join(rng.choice(["Ab", "abc", "c d", "é", "zoo", ""]) for _ in range(rng.randrange(12))) for i in range(120)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    lowered = {i: brute.lower(t).encode() for i, t in texts.items()}
+    slow = slow_ppm([t for i, t in lowered.items() if brute.remainder(i, 5) != 1], 3)
+    rows = language_model.score(df, order=3).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        s = [256] * 3 + list(lowered[r["doc_id"]]) + [256]
+        want = sum(math.log10(slow(s[i - 3 : i][::1], s[i])) for i in range(3, len(s)))
+        assert abs(r["score"] - want) < 1e-8 * max(1, abs(want))
+
+
+def test_nothing_to_learn_from(spark):
+    held = next(i for i in range(100) if brute.remainder(i, 5) == 1)
+    rows = language_model.score(spark.createDataFrame([(held, "ab")], "doc_id long, text string")).collect()
+    assert [(r["n_known"], r["train_tokens"], round(r["score"], 9)) for r in rows] == [(0, 0, round(-3 * math.log10(257), 9))]
+
+
+def test_the_model_runs_where_the_package_is_not(tmp_path):
+    """Driver and workers in another folder, the package on the driver's path alone."""
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import os, sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", {str(tmp_path / "scratch")!r}).getOrCreate())
+sys.path.insert(0, {repo!r})
+from tallyloom.llm import chat_format, conversation_repair, language_model, periodic_runs
+df = spark.createDataFrame([(i, "ab cd " * i) for i in range(9)], "doc_id long, text string")
+assert language_model.score(df).count() == 9
+assert periodic_runs.report(df).count() == 9
+turns = spark.createDataFrame([(1, 0, "user", "a.")], "conv_id long, turn long, role string, text string")
+assert conversation_repair.report(conversation_repair.repair(turns)).count() == 1
+assert chat_format.report(chat_format.formatted(turns.selectExpr("*", "0 as place"))).count() == 1
+print("fine")
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
 
 
 def test_language_model_of_the_table(spark):
@@ -144,7 +203,7 @@ def test_language_model_beats_its_base(spark):
 
 def test_language_model_of_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(language_model, "CHUNK", 100)
-    monkeypatch.setattr(language_model, "HELD_GRAMS", 50)
+    monkeypatch.setattr(language_model, "PIECE", 50)
     rows = [(1, None), (2, ""), (2, ""), (3, "Ab ab AB"), (None, "ab"), (4, "long words " * 5000), ((1 << 60) + 1, "é" * 300)]
     df = spark.createDataFrame([(i, t, True, 1.0) for i, t in rows], "doc_id long, text string, held_out boolean, score double")
     got = language_model.score(df, order=2).collect()
