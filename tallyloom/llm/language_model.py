@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -45,7 +45,9 @@ ORDER = 5
 #: Bytes of text after which a chunk is complete.
 CHUNK = 1 << 25
 #: Bytes of text whose grams are laid out at once, and texts among them.
-PIECE, PIECE_DOCS = 1 << 21, 1 << 16
+PIECE, PIECE_DOCS = 1 << 20, 1 << 16
+#: Grams that wait until they are added to those of their chunk.
+WAITING = 1 << 20
 #: The end token; no word holds a space.
 END = b" "
 WORDS, GRAMS, DOCS = range(3)
@@ -183,7 +185,7 @@ def code_buckets(codes: np.ndarray, limit: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(limit)).astype(np.int64)
 
 
-def _add(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _add(codes: Sequence[np.ndarray], counts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
     return distinct, np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
 
@@ -195,7 +197,8 @@ def asked(marked: DataFrame, order: int, buckets: int) -> DataFrame:
         schema = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
         learned: Counter[bytes] = Counter()
         others: set[bytes] = set()
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
         for chunk, batch, texts, ends in chunked(rows):
             learns = [not h for h in batch.column("held_out").to_pylist()]
             for text, learn in zip(texts, learns, strict=True):
@@ -204,9 +207,12 @@ def asked(marked: DataFrame, order: int, buckets: int) -> DataFrame:
                 (learned if learn else others).update(words)
             laid, begins = grams(texts, order)
             sizes = np.diff(np.append(begins, len(laid)))
-            new, n = _counted(laid, np.repeat(learns, sizes))
-            codes, counts = _add([codes, new], [counts, n])
+            held.append(_counted(laid, np.repeat(learns, sizes)))
+            waiting += len(held[-1][0])
+            if ends or waiting > WAITING:
+                held, waiting = [_add(*zip(*held, strict=True))], 0
             if ends:
+                codes, counts = held.pop()
                 for w in others:
                     learned.setdefault(w, 0)
                 words = list(learned)
@@ -216,7 +222,6 @@ def asked(marked: DataFrame, order: int, buckets: int) -> DataFrame:
                 out += _packed(chunk, GRAMS, code_buckets(codes, buckets), counts, lambda k, c=codes: c[k].astype("<i8").tobytes(), buckets)
                 yield pa.RecordBatch.from_pylist(out, schema)
                 learned, others = Counter(), set()
-                codes, counts = codes[:0], counts[:0]
 
     return marked.mapInArrow(requests, ASKED)
 
