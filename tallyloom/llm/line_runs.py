@@ -6,8 +6,12 @@ pair of ranks half the length apart: the distributed construction of a suffix ar
 suffix whose prefix is unique can't start a repeated run and leaves; doubling ends at
 the depth that the shortest run asks for. Suffixes with the same least run ahead (the
 fewest lines with ``min_words`` words) form an interval of the array whose common prefix
-is at least that run. In each interval the first occurrence stays; the lines of later
-ones are deleted. Overlapping deletions of a document join into its maximal runs.
+is at least that run. In each interval the first occurrence stays, and later ones are
+copies. A copy's run goes on as long as it equals some earlier occurrence: if the next line
+starts a copy too, that one reaches at least as far, so only the last start of each stretch
+is followed on, through digests of the lines after its least run; these hold fewer than
+``min_words`` words, or the next line would start a copy. All lines of the longest common
+runs are deleted. Overlapping deletions of a document join into its maximal runs.
 
 Ids and ranks travel, texts don't, until the runs meet their documents. A line that a
 third of all documents share is one row per interval after partial aggregation, and its
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest as digest
 
@@ -97,8 +101,17 @@ def repeated(frame: DataFrame, *by: str) -> DataFrame:
     return frame.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1").drop("n")
 
 
-def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
-    """(``row``, ``line``, ``need``) of every least run that occurs before; ``docs`` has __row, __first, __text."""
+def place() -> Column:
+    """Order of occurrences: by id, those without one last, then by row and line."""
+    return F.struct(F.col("first").isNull().alias("nameless"), "first", "row", "line")
+
+
+def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
+    """Every line that starts a least run which occurs twice or more; ``docs`` has __row, __first, __text.
+
+    ``row``, ``first``, ``line``, ``need`` lines of the run, its ``interval`` of the suffix array, and
+    whether the run is a ``later`` one there.
+    """
     lines = materialize(line_ids(docs, min_words), "lines")
     ranks = ranked(materialize(repeated(lines, "id"), "repeated-lines"), "id")
     suffixes = materialize(lines.join(ranks, "id").select("row", "first", "line", "need", "rank"), "suffixes")
@@ -109,19 +122,19 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
         due = suffixes.where(F.col("need").between(depth, 2 * depth - 1)).withColumn("end", F.expr(f"line + need - {depth}"))
         runs = due.join(ends, ["row", "end"]).select("row", "first", "line", "need", "rank", "rank2")
         runs = materialize(runs, "runs")
-        place = F.struct(F.col("first").isNull().alias("nameless"), "first", "row", "line")
         firsts = (
             runs.groupBy(F.col("need").alias("need_"), F.col("rank").alias("rank_"), F.col("rank2").alias("rank2_"))
-            .agg(F.min(place).alias("kept"), F.count("*").alias("n"))
+            .agg(F.min(place()).alias("kept"), F.count("*").alias("n"))
             .where("n > 1")
         )
         # Written, so that the runs' own shuffle feeds the join alone and its hot run can be split.
         firsts = materialize(firsts, "first-runs")
         same = (F.col("need") == F.col("need_")) & (F.col("rank") == F.col("rank_")) & (F.col("rank2") == F.col("rank2_"))
-        copies = runs.join(firsts, same).where(place > F.col("kept")).select("row", "line", "need")
+        interval = F.concat_ws(":", "need", "rank", "rank2").alias("interval")
+        copies = runs.join(firsts, same).select("row", "first", "line", "need", interval, (place() > F.col("kept")).alias("later"))
         found = copies if found is None else found.union(copies)
         if suffixes.where(F.col("need") >= 2 * depth).isEmpty():
-            return found
+            return materialize(found, "repeated-runs")
         # The double's ranks: pairs of ranks, one depth apart.
         pairs = suffixes.withColumn("end", F.col("line") + depth).join(ends, ["row", "end"])
         pairs = materialize(pairs.select("row", "first", "line", "need", F.col("rank").alias("l"), F.col("rank2").alias("r")), "pairs")
@@ -130,6 +143,57 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
         depth *= 2
 
 
+def tail_digests(lines: list[bytes], line: int, need: int, interval: str, min_words: int) -> Iterator[tuple[int, bytes]]:
+    """Where the run from ``line`` could end beyond its least run, with a digest of the run up to there."""
+    words = sum(len(x.split()) for x in lines[line + 1 : line + need])
+    seen = digest(interval.encode())
+    for end in range(line + need, len(lines)):
+        words += len(lines[end].split())
+        if words >= min_words:
+            return
+        seen = digest(seen + digest(lines[end]))
+        yield end + 1, seen
+
+
+def longest_runs(docs: DataFrame, runs: DataFrame, min_words: int) -> DataFrame:
+    """(``row``, ``line``, ``end``) of the runs of later copies, up to where no earlier occurrence agrees any more."""
+    copies = runs.where("later")
+    following = F.lead("line").over(Window.partitionBy("row").orderBy("line"))
+    lasts = copies.withColumn("next", following).where("next is null or next > line + 1")
+    lasts = materialize(lasts.select("row", "line", "interval"), "last-starts")
+    wanted = materialize(lasts.select("interval").distinct(), "open-intervals")
+    members = runs.join(wanted, "interval", "left_semi").join(lasts.select("row", "line", F.lit(True).alias("asks")), ["row", "line"], "left")
+    start = F.struct("line", "need", "interval", F.coalesce("asks", F.lit(False)).alias("asks"))
+    # One list per document, of its own lines.
+    starts = members.groupBy("row").agg(F.collect_list(start).alias("starts"))
+    met = docs.join(materialize(starts, "starts"), F.col("__row") == F.col("row"))
+
+    def tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row, first, text, own in zip(batch["row"], batch["__first"], batch["__text"], batch["starts"], strict=True):
+                lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+                for s in own:
+                    for end, seen in tail_digests(lines, s["line"], s["need"], s["interval"], min_words):
+                        out.append((row, first, s["line"], end, seen, s["asks"]))
+                if len(out) > MOST_LINES:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
+
+    names = ["row", "first", "line", "end", "digest", "asks"]
+    # The id goes through as text: next to a null pandas would make it a rounded number.
+    found = met.select("row", "__first", "__text", "starts").mapInPandas(
+        tails, "row long, first string, line int, end int, digest binary, asks boolean"
+    )
+    found = materialize(found.withColumn("first", F.col("first").cast("long")), "tails")
+    firsts = found.groupBy(F.col("digest").alias("digest_")).agg(F.min(place()).alias("kept"), F.count("*").alias("n")).where("n > 1")
+    firsts = materialize(firsts, "first-tails")
+    longer = found.where("asks").join(firsts, F.col("digest") == F.col("digest_")).where(place() > F.col("kept"))
+    longer = longer.groupBy("row", "line").agg(F.max("end").alias("end"))
+    return copies.select("row", "line", F.expr("line + need").alias("end")).unionByName(longer)
+
+
 def dedup(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later copies cut out of the text, ``n_lines``, ``n_deleted`` and ``deleted_runs``.
 
@@ -138,9 +202,9 @@ def dedup(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", text: st
     numbered = row_ids(docs)
     narrow = numbered.select("__row", F.col(doc_id).cast("string").alias("__first"), F.col(text).alias("__text"))
     runs = (
-        later_copies(narrow, min_words)
+        longest_runs(narrow, repeated_runs(narrow, min_words), min_words)
         .groupBy("row")
-        .agg(F.sort_array(F.collect_set(F.struct("line", (F.col("line") + F.col("need")).alias("end")))).alias("spans"))
+        .agg(F.sort_array(F.collect_set(F.struct("line", "end"))).alias("spans"))
     )
     joined = F.expr(
         """aggregate(spans, cast(array() as array<struct<line: int, end: int>>), (a, s) ->

@@ -18,21 +18,24 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def deleted_lines(rows, min_words):
-    """All windows in order; a window seen before loses its lines."""
-    seen, gone = set(), {}
+    """From each line the longest run that equals one at an earlier place; runs of enough words lose all their lines."""
+    texts, at = {}, {}
     for n, (doc, text) in sorted(enumerate(rows), key=lambda x: (x[1][0] is None, x[1][0] or 0, x[0])):
         lines = text.split("\n") if text is not None else []
-        gone[n] = set()
-        for i in range(len(lines)):
-            words, end = 0, i
-            while words < min_words and end < len(lines):
-                words += len(brute.WORD.findall(lines[end]))
-                end += 1
-            if words >= min_words:
-                run = tuple(lines[i:end])
-                if run in seen:
-                    gone[n].update(range(i, end))
-                seen.add(run)
+        texts[n] = lines
+    gone = {n: set() for n in texts}
+    words = {n: [len(brute.WORD.findall(x)) for x in lines] for n, lines in texts.items()}
+    for n, lines in texts.items():
+        for i, line in enumerate(lines):
+            best = 0
+            for m, j in at.get(line, []):
+                k = 0
+                while i + k < len(lines) and j + k < len(texts[m]) and lines[i + k] == texts[m][j + k]:
+                    k += 1
+                best = max(best, k)
+            if sum(words[n][i : i + best]) >= min_words:
+                gone[n].update(range(i, i + best))
+            at.setdefault(line, []).append((n, i))
     return gone
 
 
@@ -65,6 +68,19 @@ def test_line_runs_of_the_table(spark):
     assert QUERIES["op3_line_runs"](spark, SF_DIR).count() == len(rows)
 
 
+def test_whole_runs_go(spark):
+    """The last lines of a copy go with it, though they hold few words; blank lines in between count as lines."""
+    say = lambda n, tag: " ".join(f"{tag}{i}" for i in range(n))
+    a, b = say(60, "a"), say(30, "b")
+    c, d, e = say(25, "c"), say(25, "d"), say(20, "e")
+    rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{b}"), (3, f"{c}\n{d}\n{e}"), (4, f"x\n{c}\n{d}\n{e}\ny"), (5, f"{a}\n{e}\n{b}"), (6, f"{a}\n{e}\nz")]
+    rows += [(7, f"{a}\n\n\n{b}\n\nq"), (8, f"{a}\n\n\n{b}\n\nr"), (9, "\n".join([a] * 4 + [b])), (10, a)]
+    check_runs(spark, rows, 50)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["text"], r["deleted_runs"]) for r in line_runs.dedup(df, 50).collect()}
+    assert got[2] == ("", "0:2") and got[4] == ("x\ny", "1:4") and got[6] == ("z", "0:2") and got[8] == ("r", "0:5")
+
+
 def test_line_runs_keep_columns(spark):
     df = spark.createDataFrame([(1, "a b", "old", 7)], "doc_id long, text string, deleted_runs string, row int")
     assert line_runs.dedup(df, 1).columns == ["doc_id", "row", "text", "n_lines", "n_deleted", "deleted_runs"]
