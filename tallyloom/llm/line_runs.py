@@ -54,6 +54,12 @@ def least_runs(words: list[int], min_words: int) -> list[int]:
     return out
 
 
+def rooms(need: list[int]) -> list[int]:
+    """For each line how many lines after it hold fewer than ``min_words`` words, from the least runs."""
+    following = [*need[1:], 0][: len(need)]
+    return [n - 1 if n else len(need) - 1 - i for i, n in enumerate(following)]
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``most`` lines together, one text at least."""
     begin, held = 0, 0
@@ -67,7 +73,7 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 
 def line_ids(docs: DataFrame, min_words: int) -> DataFrame:
-    """One row per line: document, place, 128-bit id and length of the least run."""
+    """One row per line: document, place, 128-bit id, length of the least run and lines it may go on for."""
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -76,18 +82,20 @@ def line_ids(docs: DataFrame, min_words: int) -> DataFrame:
             for a, b in slices([len(t) for t in texts], MOST_LINES):
                 rows, parts = kept.iloc[a:b], texts[a:b]
                 sizes = [len(p) for p in parts]
+                needs = [least_runs([len(x.split()) for x in p], min_words) for p in parts]
                 yield pd.DataFrame(
                     {
                         "row": rows["__row"].repeat(sizes).to_numpy(),
                         "first": rows["__first"].repeat(sizes).to_numpy(),
                         "line": np.concatenate([np.arange(n) for n in sizes]),
                         "id": [digest(x) for p in parts for x in p],
-                        "need": np.concatenate([least_runs([len(x.split()) for x in p], min_words) for p in parts]),
+                        "need": np.concatenate(needs),
+                        "room": np.concatenate([rooms(n) for n in needs]),
                     }
                 )
 
     # The id goes through as text: next to a null pandas would make it a rounded number.
-    out = docs.mapInPandas(lines, "row long, first string, line int, id binary, need int")
+    out = docs.mapInPandas(lines, "row long, first string, line int, id binary, need int, room int")
     return out.withColumn("first", F.col("first").cast("long"))
 
 
@@ -106,21 +114,20 @@ def place() -> Column:
     return F.struct(F.col("first").isNull().alias("nameless"), "first", "row", "line")
 
 
-def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
-    """Every line that starts a least run which occurs twice or more; ``docs`` has __row, __first, __text.
+def repeated_runs(lines: DataFrame) -> DataFrame:
+    """Every one of :func:`line_ids` that starts a least run which occurs twice or more.
 
-    ``row``, ``first``, ``line``, ``need`` lines of the run, its ``interval`` of the suffix array, and
-    whether the run is a ``later`` one there.
+    ``row``, ``first``, ``line``, ``need``, ``room``, the run's ``interval`` of the suffix array, and
+    whether it is a ``later`` one there.
     """
-    lines = materialize(line_ids(docs, min_words), "lines")
     ranks = ranked(materialize(repeated(lines, "id"), "repeated-lines"), "id")
-    suffixes = materialize(lines.join(ranks, "id").select("row", "first", "line", "need", "rank"), "suffixes")
+    suffixes = materialize(lines.join(ranks, "id").select("row", "first", "line", "need", "room", "rank"), "suffixes")
     depth, found = 1, None
     while True:
         ends = suffixes.select("row", F.col("line").alias("end"), F.col("rank").alias("rank2"))
         # Runs between this depth and its double: two overlapping prefixes name them.
         due = suffixes.where(F.col("need").between(depth, 2 * depth - 1)).withColumn("end", F.expr(f"line + need - {depth}"))
-        runs = due.join(ends, ["row", "end"]).select("row", "first", "line", "need", "rank", "rank2")
+        runs = due.join(ends, ["row", "end"]).select("row", "first", "line", "need", "room", "rank", "rank2")
         runs = materialize(runs, "runs")
         firsts = (
             runs.groupBy(F.col("need").alias("need_"), F.col("rank").alias("rank_"), F.col("rank2").alias("rank2_"))
@@ -131,62 +138,42 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
         firsts = materialize(firsts, "first-runs")
         same = (F.col("need") == F.col("need_")) & (F.col("rank") == F.col("rank_")) & (F.col("rank2") == F.col("rank2_"))
         interval = F.concat_ws(":", "need", "rank", "rank2").alias("interval")
-        copies = runs.join(firsts, same).select("row", "first", "line", "need", interval, (place() > F.col("kept")).alias("later"))
+        copies = runs.join(firsts, same).select("row", "first", "line", "need", "room", interval, (place() > F.col("kept")).alias("later"))
         found = copies if found is None else found.union(copies)
         if suffixes.where(F.col("need") >= 2 * depth).isEmpty():
             return materialize(found, "repeated-runs")
         # The double's ranks: pairs of ranks, one depth apart.
         pairs = suffixes.withColumn("end", F.col("line") + depth).join(ends, ["row", "end"])
-        pairs = materialize(pairs.select("row", "first", "line", "need", F.col("rank").alias("l"), F.col("rank2").alias("r")), "pairs")
+        pairs = materialize(pairs.select("row", "first", "line", "need", "room", F.col("rank").alias("l"), F.col("rank2").alias("r")), "pairs")
         ranks = ranked(materialize(repeated(pairs, "l", "r"), "repeated-pairs"), "l", "r")
         suffixes = materialize(pairs.join(ranks, ["l", "r"]).drop("l", "r"), "suffixes")
         depth *= 2
 
 
-def tail_digests(lines: list[bytes], line: int, need: int, interval: str, min_words: int) -> Iterator[tuple[int, bytes]]:
-    """Where the run from ``line`` could end beyond its least run, with a digest of the run up to there."""
-    words = sum(len(x.split()) for x in lines[line + 1 : line + need])
-    seen = digest(interval.encode())
-    for end in range(line + need, len(lines)):
-        words += len(lines[end].split())
-        if words >= min_words:
-            return
-        seen = digest(seen + digest(lines[end]))
-        yield end + 1, seen
+#: Digests of a run with one more line each, from those of the lines after its least run.
+GROWING = """
+aggregate(array_sort(ids), named_struct('seen', md5(cast(interval as binary)), 'out', cast(array() as array<struct<end: int, digest: string>>)),
+  (a, x) -> transform(array(md5(concat(cast(a.seen as binary), x.id))), d -> named_struct(
+    'seen', d, 'out', concat(a.out, array(named_struct('end', x.at + 1, 'digest', d)))))[0],
+  a -> a.out)
+"""
 
 
-def longest_runs(docs: DataFrame, runs: DataFrame, min_words: int) -> DataFrame:
+def longest_runs(lines: DataFrame, runs: DataFrame) -> DataFrame:
     """(``row``, ``line``, ``end``) of the runs of later copies, up to where no earlier occurrence agrees any more."""
     copies = runs.where("later")
     following = F.lead("line").over(Window.partitionBy("row").orderBy("line"))
     lasts = copies.withColumn("next", following).where("next is null or next > line + 1")
     lasts = materialize(lasts.select("row", "line", "interval"), "last-starts")
     wanted = materialize(lasts.select("interval").distinct(), "open-intervals")
-    members = runs.join(wanted, "interval", "left_semi").join(lasts.select("row", "line", F.lit(True).alias("asks")), ["row", "line"], "left")
-    start = F.struct("line", "need", "interval", F.coalesce("asks", F.lit(False)).alias("asks"))
-    # One list per document, of its own lines.
-    starts = members.groupBy("row").agg(F.collect_list(start).alias("starts"))
-    met = docs.join(materialize(starts, "starts"), F.col("__row") == F.col("row"))
-
-    def tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row, first, text, own in zip(batch["row"], batch["__first"], batch["__text"], batch["starts"], strict=True):
-                lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-                for s in own:
-                    for end, seen in tail_digests(lines, s["line"], s["need"], s["interval"], min_words):
-                        out.append((row, first, s["line"], end, seen, s["asks"]))
-                if len(out) > MOST_LINES:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names)
-
-    names = ["row", "first", "line", "end", "digest", "asks"]
-    # The id goes through as text: next to a null pandas would make it a rounded number.
-    found = met.select("row", "__first", "__text", "starts").mapInPandas(
-        tails, "row long, first string, line int, end int, digest binary, asks boolean"
-    )
-    found = materialize(found.withColumn("first", F.col("first").cast("long")), "tails")
+    members = runs.where("room >= need").join(wanted, "interval", "left_semi")
+    members = members.join(lasts.select("row", "line", F.lit(True).alias("asks")), ["row", "line"], "left")
+    # Lines meet by a shuffle of their ids at any size, never their texts.
+    ahead = members.withColumn("at", F.explode(F.sequence(F.expr("line + need"), F.expr("line + room"))))
+    ids = lines.select("row", F.col("line").alias("at"), "id").hint("merge")
+    met = ahead.join(ids, ["row", "at"]).groupBy("row", "first", "line", "interval", "asks").agg(F.collect_list(F.struct("at", "id")).alias("ids"))
+    found = met.select("row", "first", "line", "asks", F.explode(F.expr(GROWING)).alias("t")).select("row", "first", "line", "asks", "t.*")
+    found = materialize(found, "tails")
     firsts = found.groupBy(F.col("digest").alias("digest_")).agg(F.min(place()).alias("kept"), F.count("*").alias("n")).where("n > 1")
     firsts = materialize(firsts, "first-tails")
     longer = found.where("asks").join(firsts, F.col("digest") == F.col("digest_")).where(place() > F.col("kept"))
@@ -201,8 +188,9 @@ def dedup(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", text: st
     """
     numbered = row_ids(docs)
     narrow = numbered.select("__row", F.col(doc_id).cast("string").alias("__first"), F.col(text).alias("__text"))
+    lines = materialize(line_ids(narrow, min_words), "lines")
     runs = (
-        longest_runs(narrow, repeated_runs(narrow, min_words), min_words)
+        longest_runs(lines, repeated_runs(lines))
         .groupBy("row")
         .agg(F.sort_array(F.collect_set(F.struct("line", "end"))).alias("spans"))
     )
@@ -214,8 +202,8 @@ def dedup(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", text: st
            concat(a, array(s))))"""
     )
     runs = materialize(runs.select(F.col("row").alias("__of"), joined.alias("__runs")), "deleted-runs")
-    lines = F.split(F.col(f"`{text}`"), "\n", -1)
-    met = numbered.join(runs, F.col("__row") == F.col("__of"), "left").withColumn("__lines", lines)
+    parts = F.split(F.col(f"`{text}`"), "\n", -1)
+    met = numbered.join(runs, F.col("__row") == F.col("__of"), "left").withColumn("__lines", parts)
     gone = F.expr("coalesce(aggregate(__runs, 0, (a, r) -> a + r.end - r.line), 0)")
     edges = (  # what lies between the runs
         "transform(concat(array(named_struct('line', 0, 'end', 0)), __runs), (r, i) ->"
