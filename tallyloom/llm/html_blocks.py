@@ -6,9 +6,11 @@ import html
 import re
 from dataclasses import dataclass, field
 
-#: Comments, declarations and tags; a tag that the page's end cuts off counts to the end.
+#: Comments, declarations and tags; a tag that the page's end cuts off counts to the end. A
+#: quote opens a value only after an equals sign; anywhere else it is a character of the tag.
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -37,23 +39,42 @@ CLOSED_BY = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
              "td": {"td", "th"}, "th": {"td", "th"}}
 
 
+#: Elements whose own class says nothing about what they hold, and words before a class part that deny it.
+WHOLE = {"html", "body"}
+DENIED = {"has", "with", "no", "without", "is"}
+#: Share of a page's words from which on an element is the page itself, whatever it is called.
+WRAPPER = 0.9
+
+
 @dataclass
 class Block:
-    """Text between two block-level tags."""
+    """Text between two block-level tags, and the elements it stands in."""
 
     text: str
     words: int
     linked: int
+    heading: bool
+    inside: list[Element]
+    content: bool = False
+    boilerplate: bool = False
+
+
+@dataclass
+class Element:
+    """An open element: what its name and its class, id or role say, and the words in it."""
+
+    name: str
     content: bool
     boilerplate: bool
-    heading: bool
+    hinted: bool
+    words: int = 0
 
 
 @dataclass
 class _Reader:
     """Open elements and the text of the block under way."""
 
-    stack: list[tuple[str, bool, bool]] = field(default_factory=list)  # name, is content, is boilerplate
+    stack: list[Element] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     in_link: bool = False
@@ -69,36 +90,48 @@ class _Reader:
         if text:
             words = len(text.split())
             linked = len(html.unescape(" ".join(self.linked)).split()) if self.linked else 0
-            content = boilerplate = False
-            for name, inside, outside in self.stack:
-                # A page header is boilerplate, one that opens an article belongs to it.
-                if inside:
-                    content, boilerplate = True, False
-                elif outside and not (name == "header" and content):
-                    boilerplate = True
-            heading = bool(self.stack) and self.stack[-1][0] in HEADINGS
-            self.blocks.append(Block(text, words, min(linked, words), content, boilerplate, heading))
+            heading = bool(self.stack) and self.stack[-1].name in HEADINGS
+            for element in self.stack:
+                element.words += words
+            self.blocks.append(Block(text, words, min(linked, words), heading, list(self.stack)))
         self.parts, self.linked = [], []
 
     def open(self, name: str, attributes: str) -> None:
         shut = CLOSED_BY.get(name)
-        if shut and self.stack and self.stack[-1][0] in shut:
+        if shut and self.stack and self.stack[-1].name in shut:
             self.stack.pop()
-        self.stack.append((name, name in CONTENT, name in BOILERPLATE or hinted(attributes)))
+        self.stack.append(Element(name, name in CONTENT, name in BOILERPLATE, name not in WHOLE and hinted(attributes)))
 
     def close(self, name: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == name:
+            if self.stack[i].name == name:
                 del self.stack[i:]
                 return
 
+    def finished(self) -> list[Block]:
+        """The blocks with their marks, now that the words of every element are known."""
+        whole = WRAPPER * sum(b.words for b in self.blocks)
+        for b in self.blocks:
+            for e in b.inside:
+                # A page header is boilerplate, one that opens an article belongs to it. A form
+                # or a class around nearly the whole page says nothing about its parts.
+                wraps = e.words > whole
+                outside = e.boilerplate and not (e.name == "form" and wraps) or e.hinted and not wraps
+                if e.content:
+                    b.content, b.boilerplate = True, False
+                elif outside and not (e.name == "header" and b.content):
+                    b.boilerplate = True
+        return self.blocks
+
 
 def hinted(attributes: str) -> bool:
     """Whether class, id, role or visibility name something other than content."""
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and not HINTS.isdisjoint(TOKEN.findall(value)):
-            return True
+        if name in ("class", "id"):
+            for part in map(TOKEN.findall, value.split()):
+                if part and part[0] not in DENIED and not HINTS.isdisjoint(part):
+                    return True
         if name == "role" and value.strip() in ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -140,7 +173,7 @@ def blocks_of(page: str | None) -> list[Block]:
     if at < len(page):
         reader.add(page[at:])
     reader.end_block()
-    return reader.blocks
+    return reader.finished()
 
 
 def facts(blocks: list[Block]) -> list[list[float]]:
