@@ -1,10 +1,11 @@
 """Benchmark decontamination by word n-grams, with built-in functions alone.
 
-Benchmark texts become windows of ``n`` words (a shorter text is one window). While
-their number is within ``max_set``, the windows travel in the plan as hash sets: every
-token window of a document is looked up by a 64-bit hash and a hit is verified by the
-words themselves, so a document is scanned once and nothing of it is shuffled. A larger
-benchmark takes an exact join instead: all token windows against all benchmark windows.
+Benchmark texts become windows of ``n`` words (a shorter text is one window). They travel to
+every task as one hashed vector, a slot per hash with the windows filed there: each token
+window of a document is looked up by a 64-bit hash and a hit is verified by the words
+themselves, so a document is scanned once and nothing of it is shuffled. The vector's size
+is checked; a benchmark beyond ``limit`` bytes takes a join of the hashes of all token
+windows instead, whose hits are verified by their words alike.
 
 Defined results: a null or wordless text has no words, no hits and no items; a null or
 wordless benchmark text gives no window; a null item id is written as the empty string;
@@ -25,8 +26,8 @@ from tallyloom.session import materialize
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same for original text.
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Benchmark windows that may travel in the plan; more are joined.
-MAX_SET = 200_000
+#: Bytes of benchmark windows that may travel to every task; more are joined.
+VECTOR_BYTES = 128 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -49,31 +50,29 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_id: str, text: str) ->
     return windows.selectExpr("item", "len", "array_join(slice(w, at, len), ' ') as gram").distinct()
 
 
-def read_sets(windows: DataFrame, max_set: int) -> dict[int, list[str]] | None:
-    """Distinct windows by length, or None if there are more than ``max_set``."""
-    distinct = windows.select("len", "gram").distinct()
-    if distinct.count() > max_set:
-        return None
-    sets: dict[int, list[str]] = {}
-    for r in distinct.orderBy("len", "gram").collect():
-        sets.setdefault(r["len"], []).append(r["gram"])
-    return sets
-
-
-def hits_expr(sets: dict[int, list[str]], spark) -> str:
-    """SQL for the verified hits in the word array ``w``: structs of start (from 1), len and gram."""
-    parts = ["cast(array() as array<struct<start: int, len: int, gram: string>>)"]
-    for length, grams in sets.items():
-        hashed = spark.createDataFrame([(g.split(" "),) for g in grams], "w array<string>").selectExpr("xxhash64(w) as h")
-        numbers = ", ".join(str(r["h"]) + "L" for r in hashed.distinct().collect())
-        # Benchmark words hold neither quotes nor backslashes: both separate words.
-        texts = ", ".join(f"'{g}'" for g in grams)
-        parts.append(
-            f"if(size(w) >= {length}, filter(transform(filter(sequence(1, size(w) - {length - 1}),"
-            f" i -> xxhash64(slice(w, i, {length})) in ({numbers})),"
-            f" i -> named_struct('start', i, 'len', {length}, 'gram', array_join(slice(w, i, {length}), ' '))),"
-            f" h -> h.gram in ({texts})), cast(array() as array<struct<start: int, len: int, gram: string>>))"
-        )
+def vector_of(windows: DataFrame) -> tuple[DataFrame, int]:
+    """One written row with a slot per hash, each the windows filed there, and the number of slots."""
+    distinct = windows.select("gram").distinct().withColumn("h", F.xxhash64(F.split("gram", " ")))
+    slots = max(2 * distinct.count(), 1)
+    filed = distinct.groupBy(F.pmod("h", F.lit(slots)).alias("slot")).agg(F.collect_list(F.struct("h", "gram")).alias("entries"))
+    every = windows.sparkSession.range(slots).withColumnRenamed("id", "slot").join(filed, "slot", "left")
+    in_order = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("entries", F.array()).alias("entries"))))
+    return materialize(every.agg(F.transform(in_order, lambda x: x["entries"]).alias("vector")), "window-vector"), slots
+
+
+NOTHING = "cast(array() as array<struct<start: int, len: int, gram: string>>)"
+
+
+def hits_expr(lengths: list[int], slots: int) -> str:
+    """SQL for the verified hits in the word array ``w`` by the vector ``v``: structs of start (from 1), len and gram."""
+    parts = [NOTHING]
+    for k in lengths:
+        at = lambda h: f"get(v, cast(pmod({h}, {slots}L) as int))"
+        hashed = f"transform(sequence(1, size(w) - {k - 1}), i -> named_struct('i', i, 'h', xxhash64(slice(w, i, {k}))))"
+        likely = f"filter({hashed}, x -> exists({at('x.h')}, e -> e.h = x.h))"
+        shown = f"transform({likely}, x -> named_struct('at', x.h, 's', named_struct('start', x.i, 'len', {k}, 'gram', array_join(slice(w, x.i, {k}), ' '))))"
+        verified = f"transform(filter({shown}, x -> exists({at('x.at')}, e -> e.gram = x.s.gram)), x -> x.s)"
+        parts.append(f"if(size(w) >= {k}, {verified}, {NOTHING})")
     return f"concat({', '.join(parts)})"
 
 
@@ -91,7 +90,7 @@ def find(
     docs: DataFrame,
     benchmark: DataFrame,
     n: int = 10,
-    max_set: int = MAX_SET,
+    limit: int = VECTOR_BYTES,
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
@@ -101,39 +100,39 @@ def find(
     The first frame has the columns of ``docs``, ``__row``, ``n_words`` and ``spans``, an
     array of (start, len, gram) of the words covered.
     """
-    spark = docs.sparkSession
     windows = materialize(benchmark_windows(benchmark, n, item_id, item_text), "benchmark-windows")
-    sets = read_sets(windows, max_set)
-    if sets is not None:
+    sizes = windows.groupBy("len").agg(F.sum(F.octet_length("gram") + 96).alias("bytes")).collect()  # n rows at most
+    lengths = sorted(r["len"] for r in sizes)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "spans")]
+    if sum(r["bytes"] for r in sizes) <= limit:
+        vector, slots = vector_of(windows)
         # A variable of a lambda holds the words: they are split once per row. A column of an
         # earlier projection would not do, since a filter that the optimizer moves below it
-        # repeats the column's whole expression in every inner loop.
+        # repeats the column's whole expression in every inner loop. The vector is named once for
+        # the like reason: a column used twice would be copied into every row.
         once = F.expr(
-            f"transform(array({words_sql(text)}), w -> named_struct('n_words', cast(size(w) as bigint),"
-            f" 'spans', {hits_expr(sets, spark)}))[0]"
+            f"transform(array(__vector), v -> transform(array({words_sql(text)}), w -> named_struct('n_words',"
+            f" cast(size(w) as bigint), 'spans', {hits_expr(lengths, slots)}))[0])[0]"
         )
-        found = row_ids(docs).withColumn("__found", once)
-        added = [F.col("__found.n_words"), F.col("__found.spans")]
-        kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "spans")]
-        return found.select(*kept, "__row", *added), windows
+        found = row_ids(docs).withColumn("__vector", vector.scalar()).withColumn("__found", once)
+        return found.select(*kept, "__row", F.col("__found.n_words"), F.col("__found.spans")), windows
     counted = row_ids(docs).withColumn("w", words_of(F.col(text)))
-    lengths = [r["len"] for r in windows.select("len").distinct().collect()]
-    every = " , ".join(
+    every = ", ".join(
         f"if(size(w) >= {k}, transform(sequence(1, size(w) - {k - 1}), i -> named_struct('start', i, 'len', {k},"
-        f" 'gram', array_join(slice(w, i, {k}), ' '))), cast(array() as array<struct<start: int, len: int, gram: string>>))"
+        f" 'h', xxhash64(slice(w, i, {k})))), cast(array() as array<struct<start: int, len: int, h: bigint>>))"
         for k in lengths
     )
+    hashed = windows.select("len", "gram", F.xxhash64(F.split("gram", " ")).alias("h")).distinct()
     hit = (
-        counted.select(F.col("__row").alias("__of"), F.explode(F.expr(f"concat({every})")).alias("h"))
-        .select("__of", "h.*")
-        .join(windows.select("gram").distinct(), "gram", "left_semi")
+        counted.select(F.col("__row").alias("__of"), F.explode(F.expr(f"concat({every})")).alias("x"))
+        .select("__of", "x.*")
+        .join(hashed, ["len", "h"])
         .groupBy("__of")
-        .agg(F.collect_list(F.struct("start", "len", "gram")).alias("spans"))
+        .agg(F.collect_list(F.struct("start", "len", "gram")).alias("__spans"))
     )
-    narrow = counted.withColumn("n_words", F.size("w").cast("long")).drop("w", "spans")
-    found = narrow.join(hit, F.col("__row") == F.col("__of"), "left")
-    nothing = F.expr("cast(array() as array<struct<start: int, len: int, gram: string>>)")
-    return found.withColumn("spans", F.coalesce("spans", nothing)).drop("__of"), windows
+    found = counted.join(materialize(hit, "likely-hits"), F.col("__row") == F.col("__of"), "left")
+    verified = F.expr(f"coalesce(filter(__spans, s -> s.gram = array_join(slice(w, s.start, s.len), ' ')), {NOTHING})")
+    return found.select(*kept, "__row", F.size("w").cast("long").alias("n_words"), verified.alias("spans")), windows
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = 10, doc_id: str = "doc_id", **options) -> DataFrame:

@@ -93,8 +93,8 @@ def test_decontamination_of_odd_rows(spark, odd):
         [(10, "Word5x5, WORD6x6!"), (9, "word1x1 " * 3), (7, None), (8, "..."), (9, "one"), (None, "zoë çé")],
         "item_id long, text string",
     )
-    for bound in (100, 0):  # as sets, and joined
-        rows = decontamination.report(odd, items, max_set=bound).collect()
+    for limit in (decontamination.VECTOR_BYTES, 0):  # as a vector, and joined
+        rows = decontamination.report(odd, items, limit=limit).collect()
         assert len(rows) == odd.count()
         got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in rows}
         assert got[1] == got[2] == got[3] == (0, 0, 0, False)
@@ -112,6 +112,19 @@ def test_decontamination_of_odd_rows(spark, odd):
     assert decontamination.report(odd, empty(spark, "item_id long, text string")).where("n_hit > 0").count() == 0
 
 
+def test_many_benchmark_windows(spark):
+    """A quarter of a million windows: more than fit a plan's text. Both ways find the same."""
+    items = spark.range(250).selectExpr("id as item_id", "concat_ws(' ', transform(sequence(0, 1008), i -> concat('w', id * 1009 + i))) as text")
+    texts = [" ".join(f"w{i}" for i in range(5 + 1009 * k, 20 + 1009 * k)) for k in (0, 77, 249)] + ["w1 w2 w3", "q " * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ways = [decontamination.report(docs, items, limit=limit).collect() for limit in (decontamination.VECTOR_BYTES, 0)]
+    assert sorted(map(tuple, ways[0])) == sorted(map(tuple, ways[1]))
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in ways[0]}
+    assert got == {0: (15, 1), 1: (15, 1), 2: (15, 1), 3: (0, 0), 4: (0, 0)}
+    plan = decontamination.find(docs, items)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Subquery")[0] and len(plan) < 200_000
+
+
 def test_personal_data(spark, texts):
     for r in QUERIES["op9_pii"](spark, SF_DIR).collect():
         counts, digest, listed = brute.pii(texts[r["doc_id"]])
