@@ -34,10 +34,22 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
-    Taken from ``spark.checkpoint.dir``, else a folder below the warehouse.
+    Taken from ``spark.checkpoint.dir``, else a folder below the warehouse. On a cluster a
+    warehouse on the driver's own disk won't do: that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not shared(spark.sparkContext.master, warehouse):
+        raise ValueError(f"executors can't see {warehouse}: set spark.checkpoint.dir to a folder that all of them share")
+    return f"{warehouse}/scratch"
+
+
+def shared(master: str, folder: str) -> bool:
+    """Whether all executors can see a folder: it lies in a store, or there is only one machine."""
+    scheme, colon, _ = folder.partition(":")
+    return master.startswith("local") or bool(colon) and scheme != "file"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -76,5 +88,10 @@ def scratch_tables() -> Iterator[None]:
     finally:
         _HELD.remove(held)
         for spark, path in held:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a written table that is no longer read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

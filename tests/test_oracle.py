@@ -29,7 +29,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_exact_query_has_sql():
+    assert set(QUERIES) - set(ORACLES) == {"partner_counts"}  # estimates; test_graph.py holds them against brute force
     assert set(QUERIES) <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())

@@ -87,3 +87,10 @@ def test_dictionary(spark, tmp_path, rows):
     path = tmp_path / "ref.dict"
     path.write_text("@HD\tVN:1.0\tSO:unsorted\n@SQ\tSN:chrM\tLN:100\n@SQ\tSN:chr1\tLN:5000\n@SQ\tSN:chr2\tLN:oops\n")
     assert rows(read_dictionary(spark, str(path))) == [(0, "chrM", 100), (1, "chr1", 5000), (2, "chr2", 0)]
+
+
+def test_scratch_folder_must_be_shared():
+    from tallyloom.session import shared
+
+    assert shared("local[8]", "file:/tmp/warehouse") and shared("yarn", "hdfs://names/warehouse") and shared("yarn", "s3a://bucket/w")
+    assert not shared("yarn", "file:/home/me/warehouse") and not shared("spark://host:7077", "/home/me/warehouse")
