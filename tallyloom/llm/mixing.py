@@ -19,7 +19,7 @@ added column is replaced. Repeated weights of a source add up.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
@@ -35,25 +35,23 @@ def uniform(*parts: Column) -> Column:
     return (digits.cast("double") + 0.5) / F.lit(float(16**UNIFORM_DIGITS))
 
 
-def poisson_table(rate: Column) -> Column:
-    """P(count <= k) for k from 0 to where the rest is below the resolution of a double.
+def poisson_tables(rates: DataFrame) -> DataFrame:
+    """``__source``, ``rate`` and ``__sums``: P(count <= k) for k from 0 to where the rest is below the resolution of a double.
 
     Twelve deviations and forty more cover rates of any size; terms are kept as
-    logarithms, so that a large mean doesn't underflow.
+    logarithms, so that a large mean doesn't underflow, and added up by a window, so that a
+    large table takes time in proportion to its length. A rate of zero has no table.
     """
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    state = F.struct(
-        (-rate).alias("log_term"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("sums")
-    )
-
-    def add(acc: Column, k: Column) -> Column:
-        term = acc["log_term"] + F.log(rate) - F.log(k.cast("double"))
-        total = acc["sum"] + F.exp(term)
-        return F.struct(
-            term.alias("log_term"), total.alias("sum"), F.concat(acc["sums"], F.array(total)).alias("sums")
-        )
-
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last), state, add, lambda acc: acc["sums"]))
+    last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
+    terms = rates.where("rate > 0").select("__source", "rate", F.explode(F.sequence(F.lit(1), last)).alias("k"))
+    so_far = Window.partitionBy("__source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    factorial = F.sum(F.log(F.col("k").cast("double"))).over(so_far)
+    terms = terms.withColumn("term", F.exp(F.col("k") * F.log("rate") - F.col("rate") - factorial))
+    terms = terms.select("__source", "k", (F.exp(-F.col("rate")) + F.sum("term").over(so_far)).alias("sum"))
+    listed = terms.groupBy(F.col("__source").alias("__of")).agg(F.sort_array(F.collect_list(F.struct("k", "sum"))).alias("listed"))
+    sums = F.concat(F.array(F.exp(-F.col("rate"))), F.transform("listed", lambda x: x["sum"]))
+    joined = rates.join(listed, F.col("__source").eqNullSafe(F.col("__of")), "left")
+    return joined.select("__source", "rate", F.when(F.col("rate") > 0, sums).alias("__sums"))
 
 
 def target_rates(docs: DataFrame, weights: DataFrame | None, temperature: float, source: str, text: str) -> DataFrame:
@@ -84,7 +82,7 @@ def target_rates(docs: DataFrame, weights: DataFrame | None, temperature: float,
     else:
         rate = F.col("weight") / F.lit(float(total["weight"])) * F.lit(float(total["bytes"])) / F.col("bytes")
     rates = weighed.select("__source", rate.alias("rate"))
-    return materialize(rates.withColumn("__sums", poisson_table(F.col("rate"))), "source-rates")
+    return materialize(poisson_tables(materialize(rates, "rates")), "source-rates")
 
 
 def mix(

@@ -16,11 +16,13 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,20 +77,24 @@ class Features:
 
 
 def partition_sums(labelled: DataFrame, make, n: int) -> np.ndarray:
-    """The sum over all rows of the outer products of ``make(batch)``'s rows, added by Spark."""
+    """The sum over all rows of the outer products of ``make(batch)``'s rows, added by Spark.
+
+    Partitions are added in two steps, so that no task adds up a row of every one of them.
+    """
+    fan = max(1, math.isqrt(labelled.rdd.getNumPartitions()))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((n, n))
         for batch in batches:
             rows = make(batch)
             total += rows.T @ rows
-        yield pd.DataFrame({"i": np.arange(n), "row": list(total)})
+        yield pd.DataFrame({"i": np.arange(n), "part": TaskContext.get().partitionId() % fan, "row": list(total)})
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"i": batch["i"].iloc[:1], "row": [np.sum(np.stack(batch["row"]), axis=0)]})
 
-    parts = labelled.mapInPandas(sums, "i int, row array<double>")
-    rows = parts.groupBy("i").applyInPandas(add, "i int, row array<double>").collect()
+    parts = labelled.mapInPandas(sums, "i int, part int, row array<double>").groupBy("i", "part")
+    rows = parts.applyInPandas(add, "i int, row array<double>").groupBy("i").applyInPandas(add, "i int, row array<double>").collect()
     out = np.zeros((n, n))
     for r in rows:
         out[r["i"]] = r["row"]

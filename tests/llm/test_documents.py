@@ -371,10 +371,68 @@ def test_mixing_reaches_its_rates(spark):
     assert draws.where("n_copies > 1").count() > 700  # rate 3: P(more than one copy) is 0.8
 
 
-def test_large_poisson_rates(spark):
-    rate = spark.range(1).selectExpr("cast(2000 as double) as r").select(mixing.poisson_table(__import__("pyspark").sql.functions.col("r")).alias("s"))
-    sums = rate.first()["s"]
-    assert abs(sums[-1] - 1) < 1e-9 and sum(p < 0.5 for p in sums) == 2000
+def test_poisson_tables(spark):
+    """Equal to the sums of the probabilities; a rate of a million ends soon; none for a rate of zero."""
+    import math
+    import time
+
+    begin = time.time()
+    rows = spark.createDataFrame([("a", 2000.0), ("b", 0.7), (None, 3.0), ("zero", 0.0), ("big", 1e6)], "__source string, rate double")
+    sums = {r["__source"]: r["__sums"] for r in mixing.poisson_tables(rows).collect()}
+    assert sums["zero"] is None and time.time() - begin < 60
+    for source, rate in (("b", 0.7), (None, 3.0), ("a", 2000.0)):
+        total = 0.0
+        for k, got in enumerate(sums[source]):
+            total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+            assert abs(got - total) < 1e-10
+    assert abs(sums["big"][-1] - 1) < 1e-6 and abs(sum(p < 0.5 for p in sums["big"]) - 10**6) <= 1
+
+
+def test_normal_equations_are_the_sum_over_all_rows(spark):
+    """Added in two steps over many partitions: the outer products of all rows."""
+    import numpy as np
+
+    rows = [(float(i % 7), float(i * i % 11), float(-i % 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(17)
+    got = quality_classifier.partition_sums(df, lambda batch: batch.to_numpy(), 3)
+    x = np.array(rows)
+    assert np.allclose(got, x.T @ x) and np.allclose(quality_classifier.partition_sums(df.limit(0), lambda b: b.to_numpy(), 3), 0)
+
+
+def test_features_are_random_cosines():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    f = quality_classifier.Features(rng.normal(size=3), rng.uniform(1, 2, 3), rng.normal(size=(3, 8)), rng.uniform(0, 6, 8))
+    s = rng.normal(size=(5, 3))
+    for row, got in zip(s, f(s), strict=True):
+        want = [1.0]
+        for j in range(8):
+            angle = sum((row[i] - f.mean[i]) / f.scale[i] * f.directions[i][j] for i in range(3)) + f.phases[j]
+            want.append((2 / 8) ** 0.5 * np.cos(angle))
+        assert np.allclose(got, want)
+    # Many directions: inner products come near the Gaussian kernel.
+    wide = quality_classifier.Features(np.zeros(3), np.ones(3), rng.normal(size=(3, 40_000)), rng.uniform(0, 2 * np.pi, 40_000))
+    z = wide(s)[:, 1:]
+    kernel = np.exp(-((s[:, None] - s[None]) ** 2).sum(-1) / 2)
+    assert np.abs(z @ z.T - kernel).max() < 0.05
+
+
+def test_isotonic_map_against_its_definition():
+    """At each cell the greatest, over starts before, of the least mean, over ends after."""
+    import random
+
+    rng = random.Random(4)
+    for _ in range(60):
+        tally = [(c, float(rng.randrange(0, n + 1)), n) for c in sorted(rng.sample(range(50), 8)) for n in [rng.randrange(1, 5)]]
+        mean = lambda a, b, t=tally: sum(x[1] for x in t[a : b + 1]) / sum(x[2] for x in t[a : b + 1])
+        want = [max(min(mean(a, b) for b in range(i, 8)) for a in range(i + 1)) for i in range(8)]
+        at, p = quality_classifier.isotonic(tally)
+        centre = lambda c: (c + 0.5) / quality_classifier.CELLS * 2 - 0.5
+        for (c, _, _), w in zip(tally, want, strict=True):
+            import numpy as np
+
+            assert abs(np.interp(centre(c), at, p) - w) < 1e-9
 
 
 def test_classifier_on_held_out_rows(spark):

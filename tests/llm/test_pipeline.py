@@ -11,6 +11,7 @@ import corpus_pipeline
 from tallyloom.llm import quality_rules
 from tallyloom.llm import queries as _  # noqa: F401
 from tallyloom.llm.registry import ORACLES, QUERIES
+from tallyloom.session import materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -67,7 +68,7 @@ def test_stages_and_run(spark):
         assert Counter(r["doc_id"] for r in docs.select("doc_id").collect()) == expected, name
         if name != "sharding":
             assert docs.columns == table.columns
-        docs = corpus_pipeline.materialize(docs, "test-stage")
+        docs = materialize(docs, "test-stage")
     for final in (docs, corpus_pipeline.run(spark, SF_DIR)):
         loads = Counter()
         for r in final.collect():
@@ -85,4 +86,39 @@ def test_stages_on_empty_documents(spark):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_odd_documents_through_the_whole_run(spark, tmp_path):
+    """Null texts and ids, repeated ids and rows, long texts, clashing columns; and empty tables."""
+    good = " ".join(f"word{i}" for i in range(80))
+    long = " ".join(f"w{i % 9000}x" for i in range(60_000))
+    rows = [
+        (1, good, "en", "a", 1, "x"),
+        (1, good + " more", "en", "a", 2, "x"),
+        (2, good, "en", "a", 3, None),
+        (2, good, "en", "a", 3, None),
+        (3, None, "en", "b", None, "y"),
+        (4, "", None, None, 0, "y"),
+        (None, " ".join(f"other{i}" for i in range(70)), "de", None, 9, "z"),
+        (5, long, "de", "b", 4, "z"),
+        (6, " ".join(f"bench{i}" for i in range(60)), "de", "b", 5, "z"),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, shard string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/full/documents.parquet")
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    for folder in ("full", "empty"):
+        spark.createDataFrame([(1, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{folder}/labels.parquet")
+        items = [(7, " ".join(f"bench{i}" for i in range(20, 35))), (None, None)]
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, f"{tmp_path}/full")
+        assert docs.columns == schema.replace(" long", "").replace(" string", "").split(", ")
+        docs = spark.createDataFrame(docs.collect(), schema)
+    out = corpus_pipeline.run(spark, f"{tmp_path}/full")
+    got = out.collect()
+    assert {r["doc_id"] for r in got} <= {1, 2, None, 5}  # wordless ones, near copies and benchmark texts are gone
+    assert len({r["doc_id"] for r in got} & {1, 2}) <= 1
+    assert all(0 <= r["shard"] < 8 for r in got)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
