@@ -28,6 +28,7 @@ def one_line(text: Column) -> Column:
 
 def clean_tweet(text: Column) -> Column:
     """Drop the first ``RT``, then mentions, then links with one blank after them."""
+    # The three patterns.
     text = F.regexp_replace(text, r"(?s)^(.*?)RT", "$1")
     text = F.regexp_replace(text, r"@\p{L}+", "")
     return F.regexp_replace(text, r"https?://\S+\s?", "")
