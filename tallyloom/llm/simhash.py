@@ -5,7 +5,9 @@ at most one bit in some segment. Each distinct fingerprint is filed under its se
 values and probes them with the small Hamming ball around its own: the value itself and
 each value that sets one bit more (of two values one bit apart, one sets a bit that the
 other lacks, so each such pair meets once). Matches are verified over all bits. Exact
-copies share a fingerprint and enter as one row, whatever their number.
+copies share a fingerprint and enter as one row, whatever their number. Values that many
+fingerprints share are split by further segments; at distance 3 what then meets agrees in
+48 bits but two, so no bucket can hold more than 65,536 fingerprints.
 
 Components are found by passing smallest labels along links and jumping to the labels of
 labels; every round is written, and only linked fingerprints take part.
@@ -33,6 +35,8 @@ BITS = 64
 SEED = 42
 #: Hashes counted at once: bounds the memory that a very long text takes.
 BLOCK = 1 << 16
+#: Fingerprints of one segment value that are compared without a further split.
+LARGE = 512
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -62,19 +66,52 @@ def fingerprints(text: Column, shingle: int = 3) -> Column:
     return signed(text)
 
 
-def segments(distance: int) -> list[tuple[int, int]]:
-    """(shift, width) of segments, few enough that one of them differs by at most one bit."""
+def segments(distance: int, bits: int = BITS) -> list[tuple[int, int]]:
+    """(shift, width) of segments of ``bits``, few enough that one of them differs by at most one bit."""
     n = max(2, distance // 2 + 1)
-    edges = [BITS * i // n for i in range(n + 1)]
+    edges = [bits * i // n for i in range(n + 1)]
     return list(zip(edges, (b - a for a, b in zip(edges, edges[1:], strict=False)), strict=False))
 
 
-def links(prints: DataFrame, distance: int) -> DataFrame:
-    """Pairs (``a``, ``b``) of distinct fingerprints at most ``distance`` bits apart; ``prints`` has ``fp``."""
+def _bits(fp: str, shift: int, width: int) -> str:
+    """SQL for ``width`` bits of a long above its lowest ``shift`` ones."""
+    return f"(shiftrightunsigned({fp}, {shift}) & {(1 << width) - 1}L)"
+
+
+def _others(fp: str, shift: int, width: int) -> str:
+    """SQL for the bits outside a segment, moved together."""
+    low = _bits(fp, 0, shift) if shift else "0L"
+    top = shift + width
+    return f"({low} | shiftleft({_bits(fp, top, BITS - top)}, {shift}))" if top < BITS else low
+
+
+def _split(rows: DataFrame, fp: str, distance: int, ball: bool) -> DataFrame:
+    """Each row once per segment of the bits outside its ``part``: ``sub`` and ``subvalue``, with their balls if asked."""
+    entries = []
+    for i, (shift, width) in enumerate(segments(distance)):
+        others = _others(fp, shift, width)
+        here = []
+        for j, (at, wide) in enumerate(segments(distance, BITS - width)):
+            value = _bits(others, at, wide)
+            values = f"concat(array({value}), transform(sequence(0, {wide - 1}), b -> {value} ^ shiftleft(1L, b)))"
+            here.append(f"transform({values if ball else f'array({value})'}, v -> named_struct('sub', {j}, 'subvalue', v))")
+        entries.append(f"when {i} then concat({', '.join(here)})")
+    keys = F.explode(F.expr(f"case part {' '.join(entries)} end")).alias("k")
+    return rows.select("*", keys).select(*rows.columns, "k.sub", "k.subvalue")
+
+
+def links(prints: DataFrame, distance: int, large: int = LARGE) -> DataFrame:
+    """Pairs (``a``, ``b``) of distinct fingerprints at most ``distance`` bits apart; ``prints`` has ``fp``.
+
+    A pair may come more than once. A segment's value that more than ``large`` fingerprints
+    share, as in a family of near copies, is split by the bits outside the segment, which
+    are cut and probed with balls in the same way. No link is lost: those bits differ by
+    ``distance`` at most, so in one of their segments by one at most.
+    """
     parts = segments(distance)
     filed, probed = [], []
     for i, (shift, width) in enumerate(parts):
-        value = f"(shiftrightunsigned(fp, {shift}) & {(1 << width) - 1}L)"
+        value = _bits("fp", shift, width)
         filed.append(f"named_struct('part', {i}, 'value', {value})")
         ball = f"array(named_struct('part', {i}, 'value', {value}, 'flips', 0))"
         if distance >= len(parts):
@@ -87,8 +124,16 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     probes = prints.selectExpr("fp as a", f"explode(concat({', '.join(probed)})) as p").selectExpr(
         "a", "p.part", "p.value", "p.flips"
     )
+    key = ["part", "value"]
     near = F.expr(f"bit_count(a ^ b) <= {distance} and a <> b and (flips = 1 or a < b)")
-    return probes.join(files, ["part", "value"]).where(near).select("a", "b")
+    # Written: at most 1 / large of the rows of files, and the planner sees how few.
+    crowded = materialize(files.groupBy(*key).count().where(F.col("count") > large).select(*key), "large-buckets")
+    small = probes.join(files.join(crowded, key, "left_anti"), key)
+    if crowded.isEmpty():
+        return small.where(near).select("a", "b")
+    of = lambda rows, fp, ball: _split(rows.join(crowded, key, "left_semi"), fp, distance, ball)
+    split = of(probes, "a", True).join(of(files, "b", False), [*key, "sub", "subvalue"])
+    return small.select("a", "b", "flips").unionAll(split.select("a", "b", "flips")).where(near).select("a", "b")
 
 
 def smallest_labels(pairs: DataFrame) -> DataFrame:

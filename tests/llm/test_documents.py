@@ -312,8 +312,10 @@ def test_fingerprints_and_components(spark, texts):
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows} == wanted
 
 
+@pytest.mark.parametrize("large", [1, 512])
 @pytest.mark.parametrize("distance", [0, 1, 2, 3, 4, 5, 7])
-def test_links_of_near_fingerprints(spark, distance):
+def test_links_of_near_fingerprints(spark, distance, large):
+    """Segment values that many share are split without losing a link."""
     import random
 
     rng = random.Random(distance)
@@ -326,13 +328,28 @@ def test_links_of_near_fingerprints(spark, distance):
             prints.add(base)
     signed = {p: p - (1 << 64) if p >> 63 else p for p in prints}
     df = spark.createDataFrame([(s,) for s in signed.values()], "fp long")
-    got = {tuple(sorted(r)) for r in simhash.links(df, distance).collect()}
+    got = {tuple(sorted(r)) for r in simhash.links(df, distance, large).collect()}
     want = {
         tuple(sorted((signed[a], signed[b]))) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= distance
     }
     assert got == want
 
 
+def test_links_of_a_family_that_shares_a_segment(spark):
+    """1,500 fingerprints agree in their upper half, beyond the bound; the lower halves are near each other."""
+    import random
+
+    rng = random.Random(5)
+    lows = set()
+    while len(lows) < 1500:
+        lows.add(sum(1 << b for b in rng.sample(range(32), rng.randint(0, 6))))
+    family = sorted((7 << 32) + low for low in lows)
+    df = spark.createDataFrame([(f,) for f in family], "fp long")
+    assert len(family) > simhash.LARGE
+    got = {tuple(sorted(r)) for r in simhash.links(df, 3).collect()}
+    assert got == {(a, b) for i, a in enumerate(family) for b in family[i + 1 :] if (a ^ b).bit_count() <= 3}
+
+
 def test_labels_of_a_chain(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     assert {tuple(r) for r in simhash.smallest_labels(pairs).collect()} == {(i, 0) for i in range(41)} | {(99, 99), (100, 99)}
