@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import percent_text
 from tallyloom.operators import graph
 from tallyloom.operators.numbering import numbered
+from tallyloom.session import materialize
 
 
 class Degrees(NamedTuple):
@@ -25,16 +26,17 @@ class Degrees(NamedTuple):
 def degrees_of_separation(people: DataFrame, source: str, max_distance: int = graph.MAX_DISTANCE) -> Degrees:
     """Totals, distance counts and the numbered names at the last distance.
 
-    ``people`` holds ``name, sex, movies`` records of both lists.
+    ``people`` holds ``name, sex, movies`` records of both lists. The results are written:
+    a report has many parts, and each reads them again.
     """
     edges = graph.written(graph.edges_of(people))
-    names = graph.people_by_name(people)
+    names = materialize(graph.people_by_name(people), "names")
     reached = graph.distances(edges, source, max_distance)
     return Degrees(
-        totals=graph.people_counts(people),
-        movies=edges.agg(F.countDistinct("movie").alias("movies")),
-        counts=graph.distance_counts(reached, names, max_distance),
-        names=names_at(reached, names, max_distance),
+        totals=materialize(graph.people_counts(people), "totals"),
+        movies=materialize(edges.agg(F.countDistinct("movie").alias("movies")), "movies"),
+        counts=materialize(graph.distance_counts(reached, names, max_distance), "distance-counts"),
+        names=materialize(names_at(reached, names, max_distance), "numbered-names"),
         last=max_distance,
     )
 

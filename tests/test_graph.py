@@ -50,6 +50,13 @@ def test_report(people, rows):
     assert text[3, 1] == "Total number of actors from distance 1 to 6 = 3, ratio = 0.500000"
 
 
+def test_report_reads_written_results_only(people):
+    """No part of the report walks the graph or reads the lists again."""
+    everyone = g.all_people(*(p.rows for p in people))
+    plan = d.report_lines(d.degrees_of_separation(everyone, "Root, Actor (I)"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "LogicalRDD" not in plan and "LocalRelation [value" not in plan
+
+
 def test_shares_of_an_empty_list(people, spark, rows):
     male = people[0].rows
     totals = g.people_counts(male)
