@@ -81,7 +81,7 @@ def compounded_totals(totals: DataFrame, size: str, slide: str) -> DataFrame:
 
     ``totals`` is a stream of closed windows: ``window``, ``lang``, ``total_in_language``, as
     :func:`~tallyloom.streaming.retweets.language_totals` gives it. The state store has to be
-    RocksDB. ``size`` must be a multiple of ``slide``.
+    RocksDB: start the stream inside :func:`~tallyloom.session.rocksdb_state`. ``size`` must be a multiple of ``slide``.
     """
     length, step = (int(pd.Timedelta(x).value // 1000) for x in (size, slide))
     if length % step:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallyloom.session import materialize, scratch_path
+from tallyloom.session import materialize, rocksdb_state, scratch_path
 from tallyloom.sources.lines import read_lines
 from tallyloom.sources.tail import tail_lines
 from tallyloom.sources.weblogs import parse_retweet_log
@@ -130,7 +130,8 @@ def window_totals_compounded_stream(spark, sf_dir):
 def window_totals_incremental_stream(spark, sf_dir):
     """The compounded totals, each from the one before by adding a window and subtracting one."""
     totals = S.language_totals(S.windowed(stream_tweets(spark, sf_dir), SIZE, SLIDE, watermark="0 seconds"))
-    return named(S.run_available(incremental.compounded_totals(totals, SIZE, SLIDE), "incremental"))
+    with rocksdb_state(spark):
+        return named(S.run_available(incremental.compounded_totals(totals, SIZE, SLIDE), "incremental"))
 
 
 @query("window_ranking_batch", f"with {BASE} select {BOUNDS}, {TWEET_COLS}, total_in_language from joined")
