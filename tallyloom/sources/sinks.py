@@ -49,15 +49,23 @@ def write_calls(sorted_calls: DataFrame, path: str) -> None:
     sorted_calls.select(F.col("line").alias("value")).write.text(path)
 
 
-def write_sorted_alignments(reads: DataFrame, path: str, n_partitions: int) -> None:
+#: Alignments that one task sorts.
+SORTED_ROWS = 1 << 20
+
+
+def write_sorted_alignments(reads: DataFrame, path: str, n_partitions: int, rows_per_task: int = SORTED_ROWS) -> None:
     """Coordinate-sorted Parquet, one folder per reference.
 
     The ranges are cut over reference, position and read name, so a reference, or
-    one position, that holds much of the data spans several files in order.
+    one position, that holds much of the data spans several files in order. There are
+    ``n_partitions`` of them, or more where each would hold over ``rows_per_task`` rows, so
+    a task's sort doesn't grow with the input. The reads are written first: they are
+    counted and sampled before they are sorted.
     """
     order = ("ref_index", "pos", "qname", "flag")
+    reads = materialize(reads, "unsorted")
     (
-        reads.repartitionByRange(n_partitions, *order)
+        reads.repartitionByRange(max(n_partitions, -(-reads.count() // rows_per_task)), *order)
         .sortWithinPartitions(*order)
         .write.partitionBy("ref_index")
         .parquet(path)
