@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.functions.langnames import with_language_name
 from tallyloom.functions.text import one_line
 from tallyloom.operators.ranking import retweets_in_span
-from tallyloom.session import scratch_path
+from tallyloom.session import materialize, scratch_path
 from tallyloom.sources.single_file import write_single_file
 from tallyloom.sources.weblogs import RETWEET_LOG_HEADER
 
@@ -51,6 +51,8 @@ def windowed(tweets: DataFrame, size: str = WINDOW, slide: str = SLIDE, watermar
     """
     if pd.Timedelta(size) % pd.Timedelta(slide):
         raise ValueError(f"{size} is no multiple of {slide}")
+    if not tweets.isStreaming:
+        return _windowed_batch(tweets, size, slide)
     if watermark is not None:
         tweets = tweets.withWatermark("ts", watermark)
     panes = tweets.groupBy(F.window("ts", slide), "tweet_id").agg(
@@ -65,6 +67,40 @@ def windowed(tweets: DataFrame, size: str = WINDOW, slide: str = SLIDE, watermar
     )
 
 
+def _windowed_batch(tweets: DataFrame, size: str, slide: str) -> DataFrame:
+    """:func:`windowed` of a batch frame, in which a tweet's panes are in order, so no window is folded.
+
+    A window's latest pane with rows has its latest row. Each pane thus makes the windows in
+    which no later pane of its tweet lies, and finds their counts among the panes that end within
+    ``size``. Only panes are shuffled and sorted, never their copies in windows.
+    """
+    length, step = (int(pd.Timedelta(x).value // 1000) for x in (size, slide))
+    slots = length // step
+    # Numbers and times as keys: they sort by prefix, a struct of bounds doesn't.
+    panes = tweets.groupBy(F.unix_micros(F.window("ts", slide)["start"]).alias("pane"), "tweet_id").agg(
+        F.max("retweet_count").alias("max_rt"),
+        F.min("retweet_count").alias("min_rt"),
+        F.max(F.struct("ts", "text", "lang")).alias("last"),
+    )
+    in_order = Window.partitionBy("tweet_id").orderBy("pane")
+    held = F.collect_list(F.struct("pane", "max_rt", "min_rt")).over(in_order.rangeBetween(step - length, Window.currentRow))
+    panes = panes.withColumns({"held": held, "next": F.lead("pane").over(in_order)})
+    # The last pane of each window that this pane closes.
+    ends = F.sequence("pane", F.least(F.col("pane") + (slots - 1) * step, F.col("next") - step), F.lit(step))
+    rows = panes.withColumn("end_pane", F.explode(ends))
+    inside = lambda field: F.transform(F.filter("held", lambda p: p["pane"] > F.col("end_pane") - length), lambda p: p[field])
+    start = F.col("end_pane") + step - length
+    window = F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + length).alias("end"))
+    return rows.select(
+        window.alias("window", metadata={"spark.timeWindow": True}),  # so that windows can be made of it
+        "tweet_id",
+        F.array_max(inside("max_rt")).alias("max_rt"),
+        F.array_min(inside("min_rt")).alias("min_rt"),
+        "last.text",
+        "last.lang",
+    )
+
+
 def language_totals(
     tweets: DataFrame, compounded: bool = False, size: str = WINDOW, slide: str = SLIDE
 ) -> DataFrame:
@@ -83,8 +119,12 @@ def with_language_totals(tweets: DataFrame, totals: DataFrame, salts: int | None
     """Windowed tweets with the total of their language and window.
 
     Each total is copied once per salt and a tweet meets the copy of its own salt, so
-    that one language spreads over as many join tasks as there are shuffle partitions.
+    that one language spreads over as many join tasks as there are shuffle partitions. In a
+    batch the totals are written: their size tells whether they are broadcast, and adaptive
+    execution splits a hot language otherwise.
     """
+    if not tweets.isStreaming and salts is None:
+        return tweets.join(materialize(totals, "language-totals"), ["window", "lang"])
     salts = salts or int(tweets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = tweets.withColumn("salt", F.pmod(F.xxhash64("tweet_id"), F.lit(salts)))
     right = totals.withColumn(
