@@ -95,22 +95,25 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     has the highest sum of qualities, then the greatest name, and its mates share its
     verdict. Secondary and supplementary lines are left alone. Each read comes back once,
     whatever its name: names are folded to a row per template, and the winners, partially
-    aggregated maxima, are joined by library and name.
+    aggregated maxima, are joined by library and name. A hash leads the keys of both steps:
+    their sorts then compare numbers, and not one library's name or a sequence's ends.
     """
     flag = F.col("flag")
     best = (
         templates(reads)
-        .groupBy("library", "ends")
+        .groupBy(F.xxhash64("ends").alias("_hash"), "library", "ends")
         .agg(F.max(F.struct("score", "qname")).alias("best"))
-        .select(F.col("library").alias("_library"), F.col("best.qname").alias("_qname"), F.lit(True).alias("_kept"))
+        .select(
+            F.xxhash64("best.qname").alias("_hash"), F.col("library").alias("_library"), F.col("best.qname").alias("_qname"), F.lit(True).alias("_kept")
+        )
     )
     cleared = flag.bitwiseAND(F.lit(~G.DUPLICATE))
     marked = F.when(F.col("_kept"), cleared).otherwise(cleared.bitwiseOR(F.lit(G.DUPLICATE)))
-    same = F.col("library").eqNullSafe(F.col("_library")) & F.col("qname").eqNullSafe(F.col("_qname"))
+    same = (F.xxhash64("qname") == F.col("_hash")) & F.col("library").eqNullSafe(F.col("_library")) & F.col("qname").eqNullSafe(F.col("_qname"))
     return (
         reads.join(best, same, "left")
         .withColumn("flag", F.when(_contends(flag), marked).otherwise(flag))
-        .drop("_library", "_qname", "_kept")
+        .drop("_hash", "_library", "_qname", "_kept")
     )
 
 
