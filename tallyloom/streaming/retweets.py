@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom.functions.langnames import with_language_name
 from tallyloom.functions.text import one_line
 from tallyloom.operators.ranking import retweets_in_span
-from tallyloom.session import materialize, scratch_path
+from tallyloom.session import materialize, scratch_path, scratch_tables
 from tallyloom.sources.single_file import write_single_file
 from tallyloom.sources.weblogs import RETWEET_LOG_HEADER
 
@@ -133,6 +136,17 @@ def with_language_totals(tweets: DataFrame, totals: DataFrame, salts: int | None
     return left.join(right, ["window", "lang", "salt"]).drop("salt")
 
 
+def closed_with_totals(batch: DataFrame, session: SparkSession) -> DataFrame:
+    """:func:`windowed` tweets of one micro-batch with the total of their language and window.
+
+    All tweets of a window leave a stream in the micro-batch that closes it, so its totals are sums
+    of that batch: the stream folds its windows once, and no row waits in a join of two streams.
+    The rows are written; ``session`` goes on with them, since a micro-batch's own has adaptive execution off.
+    """
+    tweets = materialize(batch, "closed-windows", session)
+    return with_language_totals(tweets, language_totals(tweets))
+
+
 def after_warm_up(rows: DataFrame, start, warm_up: str = WARM_UP) -> DataFrame:
     """Windows that end no sooner than ``warm_up`` after ``start``."""
     return rows.where(F.col("window.end") >= F.lit(start) + F.expr(f"interval {warm_up}"))
@@ -158,30 +172,41 @@ def log_rows(rows: DataFrame, start) -> DataFrame:
     )
 
 
-def write_log_batch(batch: DataFrame, batch_id: int, path: str, start, warm_up: str = WARM_UP) -> None:
-    """One micro-batch as ordered Parquet below ``batch_id=<n>``, replacing an earlier try."""
-    batch = batch.persist()  # the order is sampled before it is written
+@contextmanager
+def _log_rows_kept(batch: DataFrame, start, warm_up: str, written: bool) -> Iterator[DataFrame]:
+    """Rows after the warm-up, persisted unless they are ``written``: their order is sampled before they are logged."""
+    batch = after_warm_up(batch, start, warm_up)
+    if written:
+        yield batch
+        return
+    batch.persist()
     try:
-        rows = log_rows(after_warm_up(batch, start, warm_up), start)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        yield batch
     finally:
         batch.unpersist()
 
 
-def write_log_text(batch: DataFrame, batch_id: int, path: str, start, warm_up: str = WARM_UP) -> None:
+def write_log_batch(
+    batch: DataFrame, batch_id: int, path: str, start, warm_up: str = WARM_UP, written: bool = False
+) -> None:
+    """One micro-batch as ordered Parquet below ``batch_id=<n>``, replacing an earlier try."""
+    with _log_rows_kept(batch, start, warm_up, written) as kept:
+        log_rows(kept, start).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def write_log_text(
+    batch: DataFrame, batch_id: int, path: str, start, warm_up: str = WARM_UP, written: bool = False
+) -> None:
     """One micro-batch as ordered text under the log's heading, in a file of its own that replaces an earlier try.
 
     Fields are set apart by commas; the text, which comes last, keeps its own. A batch
     without rows leaves no file. :func:`~tallyloom.sources.weblogs.parse_retweet_log` reads it.
     """
-    batch = batch.persist()  # the order is sampled before it is written
-    try:
-        rows = log_rows(after_warm_up(batch, start, warm_up), start)
-        if not rows.isEmpty():
+    with _log_rows_kept(batch, start, warm_up, written) as kept:
+        if not kept.isEmpty():
+            rows = log_rows(kept, start)
             lines = rows.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]).alias("value"))
             write_single_file(lines, f"{path}/batch-{batch_id:09d}.csv", [RETWEET_LOG_HEADER])
-    finally:
-        batch.unpersist()
 
 
 def start_log(
@@ -195,27 +220,45 @@ def start_log(
 ) -> StreamingQuery:
     """Log each micro-batch with :func:`write_log_batch`, or as ``text`` with :func:`write_log_text`.
 
-    A batch that runs again after a failure replaces its own folder or file, so nothing is
+    Windowed tweets without totals get those of their micro-batch (:func:`closed_with_totals`). A batch that runs again after a failure replaces its own folder or file, so nothing is
     logged twice. ``interval=None`` processes what is there and stops.
     """
     how = write_log_text if text else write_log_batch
-    write = lambda batch, batch_id: how(batch, batch_id, path, start, warm_up)
+    spark, ranked = rows.sparkSession, "total_in_language" in rows.columns
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if ranked:
+            how(batch, batch_id, path, start, warm_up)
+            return
+        with scratch_tables():
+            how(closed_with_totals(batch, spark), batch_id, path, start, warm_up, written=True)
+
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 
 
-def run_available(rows: DataFrame, label: str) -> DataFrame:
-    """Run a stream over what has arrived, append its rows to files and read them back."""
+def run_available(
+    rows: DataFrame, label: str, each: Callable[[DataFrame, SparkSession], DataFrame] | None = None
+) -> DataFrame:
+    """Run a stream over what has arrived, append its rows to files and read them back.
+
+    With ``each``, what it makes of every micro-batch, given that and the session; a batch that
+    runs again replaces its own folder.
+    """
     spark = rows.sparkSession
     path = scratch_path(spark, label)
-    query = (
-        rows.writeStream.outputMode("append")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .option("path", f"{path}/rows")
-        .format("parquet")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    schemas = [] if each else [rows.schema]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with scratch_tables():
+            made = each(batch, spark)
+            made.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        schemas.append(made.schema)
+
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+    writer = writer.foreachBatch(write) if each else writer.option("path", f"{path}/rows").format("parquet")
+    writer.start().awaitTermination()
+    if not schemas:  # nothing has arrived
+        return each(spark.createDataFrame([], rows.schema), spark)
+    return spark.read.schema(schemas[0]).parquet(f"{path}/rows").select(*schemas[0].names)

@@ -140,14 +140,14 @@ def window_ranking_batch(spark, sf_dir):
     return named(S.with_language_totals(tweets, S.language_totals(tweets)))
 
 
-def _stream_ranking(spark, sf_dir):
-    tweets = S.windowed(stream_tweets(spark, sf_dir), SIZE, SLIDE, watermark="0 seconds")
-    return S.with_language_totals(tweets, S.language_totals(tweets))
+def _stream_windows(spark, sf_dir):
+    """Windowed tweets; the totals are added to each micro-batch."""
+    return S.windowed(stream_tweets(spark, sf_dir), SIZE, SLIDE, watermark="0 seconds")
 
 
 @query("window_ranking_stream", f"with {BASE} select {BOUNDS}, {TWEET_COLS}, total_in_language from joined where {CLOSED}")
 def window_ranking_stream(spark, sf_dir):
-    return named(S.run_available(_stream_ranking(spark, sf_dir), "ranking"))
+    return named(S.run_available(_stream_windows(spark, sf_dir), "ranking", S.closed_with_totals))
 
 
 LOG_SQL = f"""with {BASE}
@@ -161,7 +161,7 @@ LOG_SQL = f"""with {BASE}
 @query("window_log", LOG_SQL)
 def window_log(spark, sf_dir):
     base = scratch_path(spark, "log")
-    S.start_log(_stream_ranking(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours").awaitTermination()
+    S.start_log(_stream_windows(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours").awaitTermination()
     return spark.read.parquet(f"{base}/log").drop("batch_id")
 
 
@@ -169,7 +169,7 @@ def window_log(spark, sf_dir):
 def window_log_text(spark, sf_dir):
     """The log as text with its heading, and parsed again."""
     base = scratch_path(spark, "text-log")
-    query = S.start_log(_stream_ranking(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours", text=True)
+    query = S.start_log(_stream_windows(spark, sf_dir), f"{base}/log", f"{base}/checkpoint", START, None, "30 hours", text=True)
     query.awaitTermination()
     return parse_retweet_log(read_lines(spark, f"{base}/log")).rows
 
