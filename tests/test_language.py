@@ -85,3 +85,28 @@ def test_language_inside_a_stream(spark, rows, model, tmp_path):
     stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(feed)
     got = run_available(L.detect_rows(stream, weights).drop("text"), "detected")
     assert rows(got) == rows(L.detect_rows(texts, weights).drop("text"))
+
+
+def test_trigrams_are_counted_in_their_rows(spark, rows, model):
+    """Neither way makes rows of words; copies of a key, also a null one, are weighed as one text."""
+    texts = spark.createDataFrame(
+        [(1, "the thing 𝒜é"), (1, "and the " * 3000), (None, "haus"), (None, None), (2, "12"), (3, None)], "doc_id int, text string"
+    )
+    found = L.detect(texts, model, "doc_id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "MapInArrow" in plan
+    vector = L.detect_rows(texts, L.row_model(model))
+    assert "aggregate(" not in vector._jdf.queryExecution().executedPlan().toString()
+    merged = texts.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("text")).alias("text"))
+    alone = L.detect_rows(merged, L.row_model(model)).select("doc_id", "detected", F.round("mean_weight", 9))
+    assert rows(found.select("doc_id", "detected", F.round("mean_weight", 9))) == rows(alone)
+    assert vector.count() == 6
+
+
+def test_equal_languages_tie_by_name(spark, rows):
+    """Weights that are equal give equal sums, so the greater name wins both ways."""
+    model = L.train(spark.createDataFrame([(lang, "alpha beta gamma delta alpha") for lang in ("l1", "l2", "l0")], "lang string, text string"))
+    df = spark.createDataFrame([(i, "gamma alpha delta beta " * i) for i in range(1, 40)], "doc_id int, text string")
+    want = [(i, "l2") for i in range(1, 40)]
+    assert rows(L.detect(df, model, "doc_id"), "doc_id", "detected") == want
+    assert rows(L.detect_rows(df, L.row_model(model)), "doc_id", "detected") == want
