@@ -89,12 +89,24 @@ def partner_counts(edges: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
     return alone.unionByName(united.select("actor", "movies", (F.hll_sketch_estimate("cast") - 1).alias("partners")))
 
 
+def _edges_at(edges: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Edges whose ``column`` is among ``keys``.
+
+    Most edges of a step match nothing, and a join finds that out sooner by a number than
+    by a string, so the join key is a hash. The range tells names of equal hash apart: an
+    equality would become part of the join key.
+    """
+    wanted = keys.select(F.xxhash64(column).alias("_hash"), F.col(column).alias("_key"))
+    same = (F.xxhash64(column) == F.col("_hash")) & F.col(column).between(F.col("_key"), F.col("_key"))
+    return edges.select("actor", "movie").join(wanted, same, "left_semi")
+
+
 def _movies_of(edges: DataFrame, actors: DataFrame) -> DataFrame:
-    return edges.join(actors.select("actor"), "actor", "left_semi").select("movie").distinct()
+    return _edges_at(edges, "actor", actors).select("movie").distinct()
 
 
 def _casts_of(edges: DataFrame, movies: DataFrame) -> DataFrame:
-    return edges.join(movies, "movie", "left_semi").select("actor").distinct()
+    return _edges_at(edges, "movie", movies).select("actor").distinct()
 
 
 def partners_of(edges: DataFrame, source) -> DataFrame:

@@ -27,8 +27,9 @@ def degrees_of_separation(people: DataFrame, source: str, max_distance: int = gr
     """Totals, distance counts and the numbered names at the last distance.
 
     ``people`` holds ``name, sex, movies`` records of both lists. The results are written:
-    a report has many parts, and each reads them again.
+    a report has many parts, and each reads them again. So are the records.
     """
+    people = materialize(people.select("name", "sex", "movies"), "people")
     edges = graph.written(graph.edges_of(people))
     names = materialize(graph.people_by_name(people), "names")
     reached = graph.distances(edges, source, max_distance)

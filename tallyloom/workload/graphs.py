@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import graph as g
 from tallyloom.plans import degrees as d
-from tallyloom.session import scratch_path
+from tallyloom.session import materialize, scratch_path
 from tallyloom.sources.castlists import parse_cast_blocks, read_cast_blocks
 from tallyloom.workload.registry import query, table
 
@@ -14,27 +14,42 @@ SOURCE = "p1"
 
 
 def links(spark, sf_dir):
-    """``actor, sex, movie`` of order lines."""
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    movie = F.concat(
-        F.lit("m"), F.col("l_partkey").cast("string"), F.lit("q"),
-        F.year("l_shipdate").cast("string"), F.quarter("l_shipdate").cast("string"),
+    """``l_orderkey, sex, part, year, quarter`` of order lines; a movie with a part missing misses all three.
+
+    Names are made after grouping: the bare key is grouped without another exchange than the join's.
+    """
+    known = F.col("l_partkey").isNotNull() & F.col("l_shipdate").isNotNull()
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.when(known, F.col("l_partkey")).alias("part"),
+        F.when(known, F.year("l_shipdate")).alias("year"),
+        F.when(known, F.quarter("l_shipdate")).alias("quarter"),
     )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat(F.lit("p"), F.col("l_orderkey").cast("string")).alias("actor"),
-        (F.col("o_orderstatus") != "O").alias("sex"),
-        movie.alias("movie"),
+        "l_orderkey", (F.col("o_orderstatus") != "O").alias("sex"), "part", "year", "quarter"
     )
 
 
+def _person():
+    return F.concat(F.lit("p"), F.col("l_orderkey").cast("string"))
+
+
+def _movie():
+    text = lambda name: F.col(name).cast("string")
+    return F.concat(F.lit("m"), text("part"), F.lit("q"), text("year"), text("quarter"))
+
+
 def edges(spark, sf_dir):
-    return links(spark, sf_dir).select("actor", "movie").distinct()
+    """Distinct ``actor, movie`` rows."""
+    lines = links(spark, sf_dir).select("l_orderkey", "part", "year", "quarter").distinct()
+    return lines.select(_person().alias("actor"), _movie().alias("movie"))
 
 
 def people(spark, sf_dir):
     """Cast records; an order has a handful of lines."""
-    return links(spark, sf_dir).groupBy(F.col("actor").alias("name"), "sex").agg(F.collect_set("movie").alias("movies"))
+    records = links(spark, sf_dir).groupBy("l_orderkey", "sex").agg(F.collect_set(_movie()).alias("movies"))
+    return records.select(_person().alias("name"), "sex", "movies")
 
 
 LINKS = """
@@ -135,6 +150,12 @@ def _reached(spark, sf_dir):
     return g.distances(g.written(edges(spark, sf_dir)), SOURCE)
 
 
+def _counted(spark, sf_dir):
+    """Counts per distance and totals, both from names and sexes that are written once."""
+    everyone = materialize(people(spark, sf_dir).select("name", "sex"), "people")
+    return g.distance_counts(_reached(spark, sf_dir), g.people_by_name(everyone)), g.people_counts(everyone)
+
+
 @query("distances", f"with {BFS} select actor, cast(distance as integer) as distance from reached")
 def distances(spark, sf_dir):
     return _reached(spark, sf_dir)
@@ -147,9 +168,7 @@ def distances(spark, sf_dir):
     from counts c, totals t""",
 )
 def distance_counts(spark, sf_dir):
-    everyone = people(spark, sf_dir)
-    counts = g.distance_counts(_reached(spark, sf_dir), g.people_by_name(everyone))
-    return g.distance_shares(counts, g.people_counts(everyone))
+    return g.distance_shares(*_counted(spark, sf_dir))
 
 
 REACH = """
@@ -166,9 +185,7 @@ reach as (
            r.females, round(r.females / t.females, 6) as female_ratio from reach r, totals t""",
 )
 def reach_totals(spark, sf_dir):
-    everyone = people(spark, sf_dir)
-    counts = g.distance_counts(_reached(spark, sf_dir), g.people_by_name(everyone))
-    return g.reach_totals(counts, g.people_counts(everyone))
+    return g.reach_totals(*_counted(spark, sf_dir))
 
 
 @query(
