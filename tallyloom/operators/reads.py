@@ -62,9 +62,12 @@ def _contends(flag: Column) -> Column:
     return ~G.has_flag(flag, G.UNMAPPED | G.SECONDARY | G.SUPPLEMENTARY)
 
 
-def templates(reads: DataFrame) -> DataFrame:
+def templates(reads: DataFrame, row: str | None = None) -> DataFrame:
     """``library, qname, ends, score`` of the primary mapped reads of each name: a pair, or one read.
 
+    With ``row``, a column that numbers the reads, also ``low`` and ``apart``, the least number and
+    how far on the greatest one is, and ``lines``, the number of reads.
+
     ``ends`` holds the unclipped 5' end of each mate, in order; ``score`` is the sum of all base
     qualities. An end is one number made of a 64-bit hash of the sequence's name, the place
     and the strand, so the raw reads go through a hash aggregate and are never sorted.
@@ -75,20 +78,26 @@ def templates(reads: DataFrame) -> DataFrame:
     five_prime = G.unclipped_five_prime(F.col("pos"), F.col("aln_end"), F.col("cigar"), flag).cast("long")
     place = F.shiftleft(five_prime, 1) + G.has_flag(flag, G.REVERSE).cast("long") + F.lit(1 << 33)  # 0 to 2^34
     end = F.xxhash64("rname").cast("decimal(20, 0)") * F.lit(1 << 34).cast("decimal(11, 0)") + place.cast("decimal(11, 0)")
+    number = [F.col(row).alias("row")] if row else []
+    numbers = [F.min("row").alias("low"), (F.max("row") - F.min("row")).alias("apart"), F.count("*").alias("lines")] if row else []
     return (
         reads.where(_contends(flag))
-        .select("library", "qname", second.alias("second"), end.alias("at"), total.cast("long").alias("score"))
+        .select("library", "qname", second.alias("second"), end.alias("at"), total.cast("long").alias("score"), *number)
         .groupBy("library", "qname")
         .agg(
             F.min(F.when(~F.col("second"), F.col("at"))).alias("first"),
             F.min(F.when(F.col("second"), F.col("at"))).alias("last"),
             F.sum("score").alias("score"),
+            *numbers,
         )
-        .select("library", "qname", F.array_sort(F.array_compact(F.array("first", "last"))).alias("ends"), "score")
+        .select("library", "qname", F.array_sort(F.array_compact(F.array("first", "last"))).alias("ends"), "score", *_NUMBERS[: len(numbers)])
     )
 
 
-def mark_duplicates(reads: DataFrame) -> DataFrame:
+_NUMBERS = ("low", "apart", "lines")
+
+
+def mark_duplicates(reads: DataFrame, row: str | None = None) -> DataFrame:
     """Set the duplicate bit on all mapped reads but those of the best template of each fragment.
 
     Templates (see :func:`templates`) are copies if their unclipped 5' ends agree. The best
@@ -97,24 +106,72 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     whatever its name: names are folded to a row per template, and the winners, partially
     aggregated maxima, are joined by library and name. A hash leads the keys of both steps:
     their sorts then compare numbers, and not one library's name or a sequence's ends.
+
+    ``row`` names a column that numbers the reads of a written table (:func:`number_rows`). The
+    verdicts then come back as a bit per read (:func:`kept_bits`) and the reads stay where they are.
     """
     flag = F.col("flag")
-    best = (
-        templates(reads)
-        .groupBy(F.xxhash64("ends").alias("_hash"), "library", "ends")
-        .agg(F.max(F.struct("score", "qname")).alias("best"))
-        .select(
-            F.xxhash64("best.qname").alias("_hash"), F.col("library").alias("_library"), F.col("best.qname").alias("_qname"), F.lit(True).alias("_kept")
-        )
-    )
     cleared = flag.bitwiseAND(F.lit(~G.DUPLICATE))
     marked = F.when(F.col("_kept"), cleared).otherwise(cleared.bitwiseOR(F.lit(G.DUPLICATE)))
-    same = (F.xxhash64("qname") == F.col("_hash")) & F.col("library").eqNullSafe(F.col("_library")) & F.col("qname").eqNullSafe(F.col("_qname"))
-    return (
-        reads.join(best, same, "left")
-        .withColumn("flag", F.when(_contends(flag), marked).otherwise(flag))
-        .drop("_hash", "_library", "_qname", "_kept")
+    verdict = F.when(_contends(flag), marked).otherwise(flag)
+    if row:
+        bits = kept_bits(reads, row)
+        if bits.count() <= MOST_BITS:
+            bits = F.broadcast(bits)
+        met = reads.join(bits, F.shiftright(row, SLICE) == F.col("_slice"), "left")
+        return met.withColumn("_kept", _bit(row)).withColumn("flag", verdict).drop("_slice", "_words", "_kept")
+    best = _best(templates(reads)).select(
+        F.xxhash64("best.qname").alias("_hash"), F.col("library").alias("_library"), F.col("best.qname").alias("_qname"), F.lit(True).alias("_kept")
     )
+    return reads.join(best, _same_name(), "left").withColumn("flag", verdict).drop("_hash", "_library", "_qname", "_kept")
+
+
+def _best(names: DataFrame) -> DataFrame:
+    """The ``best`` of the templates whose ends agree."""
+    ranked = F.struct("score", "qname", *[c for c in _NUMBERS if c in names.columns])
+    return names.groupBy(F.xxhash64("ends").alias("_hash"), "library", "ends").agg(F.max(ranked).alias("best"))
+
+
+def _same_name() -> Column:
+    return (F.xxhash64("qname") == F.col("_hash")) & F.col("library").eqNullSafe(F.col("_library")) & F.col("qname").eqNullSafe(F.col("_qname"))
+
+
+#: Reads in one row of verdicts, as a power of two; a word holds 2^6 of them.
+SLICE = 10
+#: Rows of verdicts, about 200 bytes each, that may travel to every task; beyond that reads are joined to them.
+MOST_BITS = 1 << 19
+
+
+def number_rows(reads: DataFrame, row: str) -> DataFrame:
+    """Number the reads, from a multiple of 2^33 on in each task. The numbers hold once the table is written."""
+    return reads.withColumn(row, F.monotonically_increasing_id())
+
+
+def _bit(row: str) -> Column:
+    """Whether the read's bit is set in the ``_words`` beside it."""
+    word = F.get("_words", F.shiftright(row, 6).bitwiseAND(F.lit((1 << SLICE - 6) - 1)).cast("int"))
+    return F.coalesce(F.getbit(word, F.col(row).bitwiseAND(F.lit(63)).cast("int")) == 1, F.lit(False))
+
+
+def kept_bits(reads: DataFrame, row: str) -> DataFrame:
+    """``_slice, _words``: a bit for each read of the best template of a fragment, written.
+
+    A template brings the least and the greatest number of its reads, so a name of one or two
+    lines needs no second look; names with more lines, if there are any, are looked up.
+    """
+    named = lambda c: F.when(F.col("best.lines") > 2, F.col(c))
+    kept = _best(templates(reads, row)).select(*[f"best.{c}" for c in _NUMBERS], named("library").alias("_library"), named("best.qname").alias("_qname"))
+    kept = materialize(kept, "kept-templates")
+    rows = kept.where("lines <= 2").select(F.explode(F.array_distinct(F.array("low", F.col("low") + F.col("apart")))).alias("row"))
+    often = kept.where("lines > 2").select(F.xxhash64("_qname").alias("_hash"), "_library", "_qname")
+    if not often.isEmpty():
+        lines = reads.where(_contends(F.col("flag"))).select("library", "qname", F.col(row).alias("row"))
+        rows = rows.unionAll(lines.join(often, _same_name(), "leftsemi").select("row"))
+    at = F.shiftright("row", 6).bitwiseAND(F.lit((1 << SLICE - 6) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("row").bitwiseAND(F.lit(63)).cast("int"))
+    words = [F.coalesce(F.bit_or(F.when(at == i, bit)), F.lit(0).cast("long")) for i in range(1 << SLICE - 6)]
+    slices = rows.groupBy(F.shiftright("row", SLICE).alias("_slice"))
+    return materialize(slices.agg(F.array(*words).alias("_words")), "kept-bits")
 
 
 def duplicate_metrics(marked: DataFrame) -> DataFrame:
@@ -257,11 +314,17 @@ def base_counts(reads: DataFrame, min_mean_quality: float = 30.0) -> DataFrame:
     Counts only; no genotype model. Reads are brought together by tile while they are
     still compact, so that a task folds the depth of its positions before the bases
     are shuffled. The rebalance is free to split a tile with very many reads; the
-    partial aggregate then costs one row per position and task.
+    partial aggregate then costs one row per position and task. Qualities travel as bytes
+    where all of a read's fit.
     """
-    near = reads.select("rname", "pos", "cigar", "seq", "quals", F.expr(f"pos div {TILE}").alias("tile"))
+    fits = F.coalesce((F.array_max("quals") <= 127) & (F.array_min("quals") >= -128), F.lit(False))
+    near = reads.select(
+        "rname", "pos", "cigar", "seq", F.expr(f"pos div {TILE}").alias("tile"),
+        F.when(fits, F.col("quals").cast("array<tinyint>")).alias("bytes"), F.when(~fits, F.col("quals")).alias("quals"),
+    )
+    near = near.hint("rebalance", "rname", "tile").withColumn("quals", F.coalesce(F.col("bytes").cast("array<int>"), "quals"))
     return (
-        aligned_bases(near.hint("rebalance", "rname", "tile"))
+        aligned_bases(near)
         .groupBy("rname", "position", "base")
         .agg(F.count("*").alias("depth"), F.sum("quality").alias("quality_sum"))
         .where(F.col("quality_sum") >= min_mean_quality * F.col("depth"))

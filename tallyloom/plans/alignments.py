@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import genome as G
 from tallyloom.operators import intervals
 from tallyloom.operators import reads as R
-from tallyloom.session import materialize
+from tallyloom.session import materialize, shuffles_dropped
 from tallyloom.sources.alignments import mapped_reads, parse_sam, with_reference
 from tallyloom.sources.lines import Parsed
 
@@ -43,12 +43,10 @@ class CallInput(NamedTuple):
 
 
 def call_input(reads: DataFrame, targets: DataFrame, min_mean_quality: float = 30.0) -> CallInput:
-    """Written reads, so that the lines are parsed once for all three results."""
-    reads = materialize(reads, "reads")
-    marked = R.mark_duplicates(reads)
+    """Written reads, so that the lines are parsed once for all three results, and numbered, so that they are marked where they lie."""
+    with shuffles_dropped(reads.sparkSession):
+        numbered = materialize(R.number_rows(reads, "_row"), "reads", compression="zstd")
+        marked = R.mark_duplicates(numbered, "_row").drop("_row")
+        regions = intervals.intersect(targets, regions_of(numbered))
     unique = marked.where(~G.has_flag(F.col("flag"), G.DUPLICATE))
-    return CallInput(
-        marked,
-        intervals.intersect(targets, regions_of(reads)),
-        R.base_counts(unique, min_mean_quality),
-    )
+    return CallInput(marked, regions, R.base_counts(unique, min_mean_quality))
